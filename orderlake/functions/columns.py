@@ -26,6 +26,9 @@ __all__ = [
     "nonblank",
     "pct",
     "safe_div",
+    "cents",
+    "money_sum",
+    "money_avg",
 ]
 
 
@@ -96,3 +99,19 @@ def safe_div(num: Column, den: Column) -> Column:
 
 def pct(num: Column, den: Column, digits: int = 2) -> Column:
     return F.round(safe_div(num, den) * F.lit(100.0), digits)
+
+
+def cents(c: Column | str) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c * F.lit(100)).cast("long")
+
+
+def money_sum(c: Column | str) -> Column:
+    """Sum of a money column, exact in cents: the result does not depend on the
+    order in which partial sums meet after a shuffle, so reruns are bit-identical."""
+    return F.sum(cents(c)) / F.lit(100.0)
+
+
+def money_avg(c: Column | str) -> Column:
+    """Average of a money column from the exact cent sum (NULLs ignored like ``avg``)."""
+    return F.sum(cents(c)) / F.count(F.col(c) if isinstance(c, str) else c) / F.lit(100.0)

@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake import config as C
-from orderlake.functions.columns import millis_to_date, payload_double
+from orderlake.functions.columns import millis_to_date, money_avg, money_sum, payload_double
 
 
 def hourly_orders(silver: DataFrame) -> DataFrame:
-    """A1: placed orders by (event_date, event_hour, city, category)."""
+    """A1: placed orders by (event_date, event_hour, city, category).
+
+    Money is aggregated exactly in cents (``money_sum``/``money_avg``).
+    """
     return (
         silver.where(F.col("event_type") == "ORDER_PLACED")
         .groupBy("event_date", "event_hour", "city", "category")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
-            F.sum("amount").alias("gross_revenue"),
-            F.avg("amount").alias("avg_order_value"),
+            money_sum("amount").alias("gross_revenue"),
+            money_avg("amount").alias("avg_order_value"),
             F.sum("item_count").alias("total_items"),
             F.countDistinct("customer_id").alias("unique_customers"),
             F.avg("discount_pct").alias("avg_discount_pct"),
@@ -80,8 +83,8 @@ def payment_health(silver: DataFrame) -> DataFrame:
         .groupBy("event_date", "event_type")
         .agg(
             F.count(F.lit(1)).alias("event_count"),
-            F.sum("amount").alias("total_amount"),
-            F.avg("amount").alias("avg_amount"),
+            money_sum("amount").alias("total_amount"),
+            money_avg("amount").alias("avg_amount"),
         )
     )
 
@@ -111,8 +114,8 @@ def payment_health_by_gateway(payments: DataFrame) -> DataFrame:
         payments.groupBy(millis_to_date("occurred_at").alias("event_date"), "gateway", "status")
         .agg(
             F.count(F.lit(1)).alias("event_count"),
-            F.sum("amount").alias("total_amount"),
-            F.avg("amount").alias("avg_amount"),
+            money_sum("amount").alias("total_amount"),
+            money_avg("amount").alias("avg_amount"),
         )
     )
 

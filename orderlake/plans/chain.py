@@ -65,8 +65,12 @@ class Lake:
         return gold.payment_health(self.silver)
 
 
-def present(df: DataFrame) -> DataFrame:
-    """Comparison-friendly rendering: dates as text, timestamps as epoch millis, doubles to 4 places."""
+def present(df: DataFrame, fuzzy: tuple[str, ...] = ()) -> DataFrame:
+    """Comparison-friendly rendering: dates as text, timestamps as epoch millis.
+
+    Doubles are left as computed (the operators make them order-independent);
+    only ``fuzzy`` columns — averages of inexact doubles — are rounded to 6 places.
+    """
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -74,8 +78,8 @@ def present(df: DataFrame) -> DataFrame:
             cols.append(F.date_format(c, "yyyy-MM-dd").alias(f.name))
         elif isinstance(f.dataType, TimestampType):
             cols.append(F.unix_millis(c).alias(f.name))
-        elif isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(c, 4).alias(f.name))
+        elif isinstance(f.dataType, (DoubleType, FloatType)) and f.name in fuzzy:
+            cols.append(F.round(c, 6).alias(f.name))
         else:
             cols.append(c)
     return df.select(*cols)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderlake.plans.oracle_base import d, r, with_ctes
+from orderlake.plans.oracle_base import d, f6, r, with_ctes
 
 ORACLE: dict[str, str] = {}
 
@@ -33,3 +33,221 @@ SELECT {d('event_date')}, event_hour, city, category, order_count, {r('gross_rev
        {r('avg_order_value', 'avg_order_value')}, total_items, unique_customers,
        {r('avg_discount_pct', 'avg_discount_pct')}
 FROM hourly"""
+
+# --- gold ----------------------------------------------------------------------
+
+ORACLE["j1_fulfillment"] = with_ctes("gold") + f"""
+SELECT order_id, customer_id, city, placed_ms, {d('placed_date')}, delivered_ms,
+       {r('delivery_hours', 'delivery_hours')},
+       (delivered_ms IS NOT NULL AND delivery_hours <= 48) AS sla_met, delivery_status
+FROM fulfil"""
+
+ORACLE["a2_daily_sla"] = with_ctes("gold") + f"""
+SELECT {d('event_date')}, city, delivery_status, order_count, {f6('avg_delivery_hours', 'avg_delivery_hours')}
+FROM sla"""
+
+ORACLE["a3_payment_health"] = with_ctes("gold") + f"""
+SELECT {d('event_date')}, event_type, event_count, {r('total_amount', 'total_amount')},
+       {r('avg_amount', 'avg_amount')}
+FROM payments"""
+
+ORACLE["a4_payment_health_by_gateway"] = with_ctes("silver") + f"""
+SELECT {d('event_date')}, gateway, status, count(*) AS event_count,
+       CAST(sum(cents) AS DOUBLE) / 100.0 AS total_amount, CAST(sum(cents) AS DOUBLE) / count(*) / 100.0 AS avg_amount
+FROM (SELECT CAST(epoch_ms(occurred_at) AS DATE) AS event_date, p_gateway AS gateway,
+             substr(event_type, 9) AS status,
+             CAST(round(coalesce(try_cast(p_amount AS DOUBLE), 0.0) * 100) AS BIGINT) AS cents
+      FROM bronze WHERE event_type LIKE 'PAYMENT\\_%' ESCAPE '\\' AND is_duplicate = 'false')
+GROUP BY event_date, gateway, status"""
+
+ORACLE["p15_late_events"] = with_ctes("silver") + f"""
+SELECT event_id, event_type, {d('event_date')}, {r('(ingested_at - occurred_at) / 1000.0', 'lateness_seconds')}
+FROM silver WHERE (ingested_at - occurred_at) / 1000.0 > 600"""
+
+# --- serving ---------------------------------------------------------------------
+
+ORACLE["x1_daily_revenue"] = with_ctes("gold") + f"""
+SELECT {d('event_date')}, CAST(sum(order_count) AS BIGINT) AS total_orders,
+       CAST(sum(CAST(round(gross_revenue * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total_revenue,
+       {f6('avg(avg_order_value)', 'avg_order_value')},
+       CAST(sum(unique_customers) AS BIGINT) AS unique_customers
+FROM hourly GROUP BY event_date"""
+
+ORACLE["x2_city_leaderboard"] = with_ctes("gold") + f"""
+SELECT {d('event_date')}, city, CAST(sum(order_count) AS BIGINT) AS total_orders,
+       CAST(sum(CAST(round(gross_revenue * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total_revenue,
+       CAST(rank() OVER (PARTITION BY event_date ORDER BY sum(gross_revenue) DESC) AS INTEGER) AS revenue_rank
+FROM hourly GROUP BY event_date, city"""
+
+ORACLE["x3_sla_compliance"] = with_ctes("gold") + f"""
+SELECT {d('event_date')}, city,
+       CAST(sum(CASE WHEN delivery_status = 'ON_TIME' THEN order_count ELSE 0 END) AS BIGINT) AS on_time_orders,
+       CAST(sum(order_count) AS BIGINT) AS total_orders,
+       round(100.0 * sum(CASE WHEN delivery_status = 'ON_TIME' THEN order_count ELSE 0 END)
+             / nullif(sum(order_count), 0), 2) AS sla_compliance_pct
+FROM sla GROUP BY event_date, city"""
+
+ORACLE["x4_payment_failure_rate"] = with_ctes("gold") + f"""
+SELECT {d('event_date')},
+       CAST(sum(CASE WHEN event_type = 'PAYMENT_SUCCESS' THEN event_count ELSE 0 END) AS BIGINT) AS successful_payments,
+       CAST(sum(CASE WHEN event_type = 'PAYMENT_FAILED' THEN event_count ELSE 0 END) AS BIGINT) AS failed_payments,
+       round(100.0 * sum(CASE WHEN event_type = 'PAYMENT_FAILED' THEN event_count ELSE 0 END)
+             / nullif(sum(event_count), 0), 2) AS failure_rate_pct
+FROM payments GROUP BY event_date"""
+
+ORACLE["x5_today_hourly"] = with_ctes("gold") + f"""
+SELECT event_hour, city, category, order_count, {r('gross_revenue', 'gross_revenue')},
+       {r('avg_order_value', 'avg_order_value')}
+FROM hourly WHERE event_date = DATE '1998-06-15'"""
+
+ORACLE["x6_exact_daily_revenue"] = with_ctes("silver") + f"""
+SELECT {d('event_date')}, count(*) AS total_orders, CAST(sum(cents) AS DOUBLE) / 100.0 AS total_revenue,
+       CAST(sum(cents) AS DOUBLE) / count(*) / 100.0 AS avg_order_value, count(DISTINCT customer_id) AS unique_customers
+FROM silver WHERE event_type = 'ORDER_PLACED' GROUP BY event_date"""
+
+ORACLE["t1_top_hours_by_revenue"] = with_ctes("gold") + f"""
+SELECT {d('event_date')}, event_hour, city, category, order_count, {r('gross_revenue', 'gross_revenue')},
+       {r('avg_order_value', 'avg_order_value')}
+FROM hourly ORDER BY gross_revenue DESC, event_date, event_hour, city, category LIMIT 10"""
+
+ORACLE["t2_sla_report"] = with_ctes("gold") + f"""
+SELECT {d('event_date')}, city, delivery_status, order_count, {f6('avg_delivery_hours', 'avg_delivery_hours')}
+FROM sla ORDER BY city, delivery_status, event_date LIMIT 20"""
+
+ORACLE["t3_payment_report"] = with_ctes("gold") + f"""
+SELECT {d('event_date')}, event_type, event_count, {r('total_amount', 'total_amount')},
+       {r('avg_amount', 'avg_amount')}
+FROM payments ORDER BY event_type, event_date LIMIT 10"""
+
+ORACLE["s20_contract_hourly"] = with_ctes("gold") + """
+SELECT (SELECT count(*) FROM hourly) AS row_count,
+       (SELECT count_if(event_date IS NULL) FROM hourly) AS null_event_date,
+       (SELECT count_if(event_hour IS NULL) FROM hourly) AS null_event_hour,
+       (SELECT count_if(city IS NULL) FROM hourly) AS null_city,
+       (SELECT count_if(category IS NULL) FROM hourly) AS null_category,
+       (SELECT count(*) FROM (SELECT 1 FROM hourly GROUP BY event_date, event_hour, city, category
+                              HAVING count(*) > 1)) AS duplicate_keys,
+       (SELECT coalesce(CAST(sum(c) AS BIGINT), 0) FROM (SELECT count(*) AS c FROM hourly
+                              GROUP BY event_date, event_hour, city, category HAVING count(*) > 1)) AS duplicate_rows"""
+
+# --- quality ---------------------------------------------------------------------
+
+ORACLE["a6_event_type_distribution"] = with_ctes("bronze") + """
+SELECT event_type, count(*) AS count FROM bronze GROUP BY event_type"""
+
+ORACLE["a7_bronze_profile"] = with_ctes("bronze") + """
+SELECT ingestion_date, count(*) AS total_events, count(DISTINCT event_id) AS unique_events,
+       CAST(sum(CASE WHEN is_duplicate = 'true' THEN 1 ELSE 0 END) AS BIGINT) AS duplicates
+FROM bronze GROUP BY ingestion_date"""
+
+_AS_OF_MS = 996796800000  # 2001-08-03T00:00:00Z
+_TYPES = "'ORDER_PLACED', 'ORDER_CONFIRMED', 'ORDER_CANCELLED', 'PAYMENT_INITIATED', 'PAYMENT_SUCCESS', 'PAYMENT_FAILED', 'ORDER_SHIPPED', 'ORDER_DELIVERED'"
+
+_SUITE_AGG = f"""
+suite_agg AS (
+  SELECT event_date,
+    CAST(count_if(event_id IS NULL) AS DOUBLE) AS m0,
+    CAST(count_if(order_id IS NULL) AS DOUBLE) AS m1,
+    CAST(count(*) AS DOUBLE) AS m2,
+    CAST(count_if(NOT event_type IN ({_TYPES})) AS DOUBLE) AS m3,
+    CAST(count_if(occurred_at > {_AS_OF_MS}) AS DOUBLE) AS m4,
+    round(count_if(amount <= 0) / greatest(count(*), 1) * 100.0, 2) AS m5,
+    count_if(amount > 0) / greatest(count(*), 1) >= 0.95 AS p5,
+    round(count_if(city = 'UNKNOWN') / greatest(count(*), 1) * 100.0, 2) AS m6,
+    count_if(city <> 'UNKNOWN') / greatest(count(*), 1) >= 0.90 AS p6,
+    round(count_if(schema_version = '2.0') / greatest(count(*), 1) * 100.0, 2) AS m7
+  FROM silver GROUP BY event_date
+),
+suite AS (
+  SELECT event_date, CASE WHEN m0 <> 0 OR m1 <> 0 OR m2 < 100 OR m3 <> 0 OR m4 <> 0 THEN 'FAIL' ELSE 'PASS' END AS overall_status,
+         c.name, c.description, c.passed, c.metric_name, c.metric_value, c.severity
+  FROM suite_agg,
+  LATERAL (VALUES
+    ('no_null_event_ids', 'event_id must never be null', m0 = 0, 'null_event_id_count', m0, 'CRITICAL'),
+    ('no_null_order_ids', 'order_id must never be null', m1 = 0, 'null_order_id_count', m1, 'CRITICAL'),
+    ('minimum_record_count', 'Silver must have at least 100 records per day', m2 >= 100, 'total_record_count', m2, 'CRITICAL'),
+    ('valid_event_types_only', 'All event_type values must be in allowed set', m3 = 0, 'invalid_event_type_count', m3, 'CRITICAL'),
+    ('no_future_events', 'event_timestamp must not be in the future', m4 = 0, 'future_event_count', m4, 'CRITICAL'),
+    ('amount_positive_rate', '>=95% of amounts must be positive', p5, 'negative_amount_pct', m5, 'WARNING'),
+    ('city_known_rate', '>=90% of city values must not be UNKNOWN', p6, 'unknown_city_pct', m6, 'WARNING'),
+    ('schema_version_distribution', 'Track schema version spread (for evolution detection)', true, 'schema_v2_pct', m7, 'WARNING')
+  ) c(name, description, passed, metric_name, metric_value, severity)
+)"""
+
+ORACLE["k9_dq_suite"] = with_ctes("silver") + "," + _SUITE_AGG + f"""
+SELECT {d('event_date')}, overall_status, name, description, passed, metric_name,
+       metric_value, severity FROM suite"""
+
+ORACLE["m6_dq_check_flags"] = with_ctes("silver") + "," + _SUITE_AGG + f"""
+SELECT {d('event_date')}, name, severity, CAST(passed AS INTEGER) AS check_result FROM suite"""
+
+_INLINE = """
+per_type AS (
+  SELECT {by} event_type, count(*) AS n, count_if(amount <= 0) AS neg,
+         count_if(city = 'UNKNOWN') AS unk, count_if(customer_id IS NULL) AS nullc
+  FROM silver GROUP BY {by} event_type
+),
+rolled AS (
+  SELECT {by} CAST(coalesce(sum(n), 0) AS BIGINT) AS total_records,
+         CAST(coalesce(sum(neg), 0) AS BIGINT) AS neg_amount_count,
+         CAST(coalesce(sum(unk), 0) AS BIGINT) AS unknown_city_count,
+         CAST(coalesce(sum(nullc), 0) AS BIGINT) AS null_customer_id_count,
+         coalesce(string_agg(coalesce(event_type, 'NULL') || '=' || n, ', '
+                             ORDER BY coalesce(event_type, 'NULL'), n), '') AS event_type_distribution
+  FROM per_type {group}
+),
+dq AS (
+  SELECT *, round(neg_amount_count / greatest(total_records, 1) * 100.0, 2) AS neg_amount_pct,
+            round(unknown_city_count / greatest(total_records, 1) * 100.0, 2) AS unknown_city_pct
+  FROM rolled
+)"""
+
+_DQ_COLS = """total_records, neg_amount_count, neg_amount_pct, unknown_city_count,
+       unknown_city_pct, event_type_distribution, null_customer_id_count,
+       (neg_amount_pct < 5.0 AND unknown_city_pct < 10.0 AND null_customer_id_count = 0) AS dq_passed"""
+
+ORACLE["k10_inline_dq"] = with_ctes("silver") + "," + _INLINE.format(by="event_date,", group="GROUP BY event_date") + f"""
+SELECT {d('event_date')}, {_DQ_COLS} FROM dq"""
+
+ORACLE["a8_global_dq"] = with_ctes("silver") + "," + _INLINE.format(by="", group="") + f"""
+SELECT {_DQ_COLS} FROM dq"""
+
+ORACLE["k11_reconciliation"] = with_ctes("silver") + f""",
+b AS (SELECT CAST(ingestion_date AS DATE) AS pd, count_if(is_duplicate = 'false') AS bronze_count,
+             count(DISTINCT event_id) AS bronze_distinct_ids FROM bronze GROUP BY 1),
+s AS (SELECT event_date AS pd, count(*) AS silver_count FROM silver GROUP BY 1),
+j AS (SELECT coalesce(b.pd, s.pd) AS processing_date, coalesce(bronze_count, 0) AS bronze_count,
+             coalesce(bronze_distinct_ids, 0) AS bronze_distinct_ids, coalesce(silver_count, 0) AS silver_count
+      FROM b FULL OUTER JOIN s ON b.pd = s.pd)
+SELECT {d('processing_date')}, bronze_count, bronze_distinct_ids, silver_count,
+       round(abs(bronze_count - silver_count) / greatest(bronze_count, 1) * 100.0, 4) AS variance_pct,
+       round(abs(bronze_distinct_ids - silver_count) / greatest(bronze_distinct_ids, 1) * 100.0, 4) AS distinct_variance_pct,
+       1.0 AS tolerance_pct,
+       CASE WHEN abs(bronze_count - silver_count) / greatest(bronze_count, 1) * 100.0 <= 1.0 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM j"""
+
+_SRC = """
+src AS (SELECT CAST(epoch_ms(occurred_at) AS DATE) AS pd, count(DISTINCT event_id) AS source_count
+        FROM parsed WHERE event_id IS NOT NULL GROUP BY 1),
+s AS (SELECT event_date AS pd, count(*) AS silver_count FROM silver GROUP BY 1),
+j AS (SELECT coalesce(src.pd, s.pd) AS processing_date, coalesce(source_count, 0) AS source_count,
+             coalesce(silver_count, 0) AS silver_count FROM src FULL OUTER JOIN s ON src.pd = s.pd)"""
+
+ORACLE["k12_backfill_dates"] = with_ctes("silver") + "," + _SRC + f"""
+SELECT {d('processing_date')}, source_count - silver_count AS missing_records FROM j
+WHERE abs(source_count - silver_count) / greatest(source_count, 1) * 100.0 > 1.0"""
+
+ORACLE["k12_missing_ids"] = with_ctes("silver") + f"""
+SELECT DISTINCT p.event_id, {d('CAST(epoch_ms(p.occurred_at) AS DATE)', 'event_date')}
+FROM parsed p WHERE p.event_id IS NOT NULL AND p.event_id NOT IN (SELECT event_id FROM silver)"""
+
+ORACLE["w3_type_share_drift"] = with_ctes("silver") + f""",
+per_day AS (SELECT event_date, event_type, count(*) AS n FROM silver GROUP BY event_date, event_type),
+shares AS (SELECT *, n / sum(n) OVER (PARTITION BY event_date) AS share,
+                  date_diff('day', DATE '1970-01-01', event_date) AS dnum FROM per_day),
+tr AS (SELECT *, avg(share) OVER (PARTITION BY event_type ORDER BY dnum
+                                  RANGE BETWEEN 7 PRECEDING AND 1 PRECEDING) AS trailing_avg_share FROM shares)
+SELECT {d('event_date')}, event_type, n, share, round(trailing_avg_share, 6) AS trailing_avg_share,
+       round(abs(share - trailing_avg_share) / trailing_avg_share, 6) AS share_change,
+       coalesce(abs(share - trailing_avg_share) / trailing_avg_share > 0.5, false) AS drift_alert
+FROM tr"""

@@ -100,14 +100,16 @@ silver AS (
          coalesce(p_device, 'UNKNOWN') AS device,
          p_pincode AS pincode,
          CAST(epoch_ms(occurred_at) AS DATE) AS processing_date,
-         p_gateway AS gateway
+         p_gateway AS gateway,
+         CAST(round(coalesce(try_cast(p_amount AS DOUBLE), 0.0) * 100) AS BIGINT) AS cents
   FROM bronze WHERE is_duplicate = 'false'
 )"""
 
 GOLD = """
 hourly AS (
   SELECT event_date, event_hour, city, category, count(*) AS order_count,
-         sum(amount) AS gross_revenue, avg(amount) AS avg_order_value,
+         CAST(sum(cents) AS DOUBLE) / 100.0 AS gross_revenue,
+         CAST(sum(cents) AS DOUBLE) / count(*) / 100.0 AS avg_order_value,
          CAST(sum(item_count) AS BIGINT) AS total_items,
          count(DISTINCT customer_id) AS unique_customers, avg(discount_pct) AS avg_discount_pct
   FROM silver WHERE event_type = 'ORDER_PLACED'
@@ -133,8 +135,8 @@ sla AS (
   FROM fulfil GROUP BY placed_date, city, delivery_status
 ),
 payments AS (
-  SELECT event_date, event_type, count(*) AS event_count, sum(amount) AS total_amount,
-         avg(amount) AS avg_amount
+  SELECT event_date, event_type, count(*) AS event_count, CAST(sum(cents) AS DOUBLE) / 100.0 AS total_amount,
+         CAST(sum(cents) AS DOUBLE) / count(*) / 100.0 AS avg_amount
   FROM silver WHERE event_type IN ('PAYMENT_INITIATED', 'PAYMENT_SUCCESS', 'PAYMENT_FAILED')
   GROUP BY event_date, event_type
 )"""
@@ -154,5 +156,10 @@ def d(col: str, alias: str | None = None) -> str:
 
 
 def r(expr: str, alias: str) -> str:
-    """Round a double expression to 4 places."""
-    return f"round({expr}, 4) AS {alias}"
+    """A double expression, as computed."""
+    return f"{expr} AS {alias}"
+
+
+def f6(expr: str, alias: str) -> str:
+    """A double expression rounded to 6 places (averages of inexact doubles)."""
+    return f"round({expr}, 6) AS {alias}"

@@ -13,9 +13,9 @@ from orderlake.plans.chain import Lake, present
 QUERIES = {}
 
 
-def query(name):
+def query(name, fuzzy: tuple[str, ...] = ()):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: present(fn(Lake(spark, sf_dir)))
+        QUERIES[name] = lambda spark, sf_dir: present(fn(Lake(spark, sf_dir)), fuzzy)
         return fn
     return deco
 
@@ -61,3 +61,174 @@ def _p12(lake):
 @query("a1_hourly_orders")  # A1
 def _a1(lake):
     return lake.hourly
+
+
+# --- gold ----------------------------------------------------------------------
+
+@query("j1_fulfillment")  # J1, P13, P14
+def _j1(lake):
+    from orderlake.operators import gold
+    return gold.fulfillment(lake.silver).select(
+        "order_id", "customer_id", "city", "placed_ms", "placed_date", "delivered_ms",
+        "delivery_hours", "sla_met", "delivery_status")
+
+
+@query("a2_daily_sla", fuzzy=("avg_delivery_hours",))  # A2
+def _a2(lake):
+    return lake.sla
+
+
+@query("a3_payment_health")  # A3, P11
+def _a3(lake):
+    return lake.payments
+
+
+@query("a4_payment_health_by_gateway")  # A4
+def _a4(lake):
+    from orderlake.operators import gold
+    return gold.payment_health_by_gateway(gold.payment_events(lake.bronze))
+
+
+@query("p15_late_events")  # P15
+def _p15(lake):
+    from orderlake.operators import silver
+    return silver.late_events(lake.silver).select("event_id", "event_type", "event_date", "lateness_seconds")
+
+
+# --- serving views and reports ----------------------------------------------------
+
+AS_OF_DAY = "1998-06-15"  # the "today" of X5
+AS_OF_TS = "2001-08-03T00:00:00"  # the "now" of the future-event check
+
+
+@query("x1_daily_revenue", fuzzy=("avg_order_value",))  # X1, T5
+def _x1(lake):
+    from orderlake.operators import serving
+    return serving.daily_revenue(lake.hourly)
+
+
+@query("x2_city_leaderboard")  # X2, W2
+def _x2(lake):
+    from orderlake.operators import serving
+    return serving.city_leaderboard(lake.hourly)
+
+
+@query("x3_sla_compliance")  # X3, T5
+def _x3(lake):
+    from orderlake.operators import serving
+    return serving.sla_compliance(lake.sla)
+
+
+@query("x4_payment_failure_rate")  # X4, T5
+def _x4(lake):
+    from orderlake.operators import serving
+    return serving.payment_failure_rate(lake.payments)
+
+
+@query("x5_today_hourly")  # X5, T5
+def _x5(lake):
+    from orderlake.operators import serving
+    return serving.today_hourly(lake.hourly, AS_OF_DAY)
+
+
+@query("x6_exact_daily_revenue")  # X6
+def _x6(lake):
+    from orderlake.operators import serving
+    return serving.exact_daily_revenue(lake.silver)
+
+
+@query("t1_top_hours_by_revenue")  # T1
+def _t1(lake):
+    from orderlake.operators import serving
+    return serving.top_hours_by_revenue(lake.hourly)
+
+
+@query("t2_sla_report", fuzzy=("avg_delivery_hours",))  # T2
+def _t2(lake):
+    from orderlake.operators import serving
+    return serving.sla_report(lake.sla)
+
+
+@query("t3_payment_report")  # T3
+def _t3(lake):
+    from orderlake.operators import serving
+    return serving.payment_report(lake.payments)
+
+
+@query("s20_contract_hourly")  # S20
+def _s20(lake):
+    from orderlake.operators import serving
+    from orderlake.schemas import FACT_HOURLY_ORDERS
+    conformed = serving.conform(lake.hourly.withColumn("processing_date", F.col("event_date"))
+                                .withColumn("gold_loaded_at", F.lit(None).cast("timestamp")), FACT_HOURLY_ORDERS)
+    return serving.contract_violations(conformed, FACT_HOURLY_ORDERS)
+
+
+# --- quality ----------------------------------------------------------------------
+
+@query("a6_event_type_distribution")  # A6, T4
+def _a6(lake):
+    from orderlake.operators import quality
+    return quality.event_type_distribution(lake.bronze)
+
+
+@query("a7_bronze_profile")  # A7, T4
+def _a7(lake):
+    from orderlake.operators import quality
+    return quality.bronze_profile(lake.bronze)
+
+
+def _suite(lake):
+    from orderlake.operators import quality
+    return quality.run_suite(lake.silver, quality.silver_suite(quality.as_of_millis(AS_OF_TS)), by=["event_date"])
+
+
+@query("k9_dq_suite")  # K1-K9
+def _k9(lake):
+    return _suite(lake)
+
+
+@query("m6_dq_check_flags")  # M6
+def _m6(lake):
+    from orderlake.operators import quality
+    return quality.check_flags(_suite(lake))
+
+
+@query("k10_inline_dq")  # K10, A8
+def _k10(lake):
+    from orderlake.operators import quality
+    return quality.inline_dq(lake.silver, by=["event_date"])
+
+
+@query("a8_global_dq")  # A8
+def _a8(lake):
+    from orderlake.operators import quality
+    return quality.inline_dq(lake.silver)
+
+
+@query("k11_reconciliation")  # K11
+def _k11(lake):
+    from orderlake.operators import quality
+    return quality.reconcile(lake.bronze, lake.silver)
+
+
+def _source(lake):
+    return lake.parsed.where(F.col("event_id").isNotNull())
+
+
+@query("k12_backfill_dates")  # K11 (source form), K12
+def _k12(lake):
+    from orderlake.operators import quality
+    return quality.backfill_dates(quality.source_reconcile(_source(lake), lake.silver), "source_count")
+
+
+@query("k12_missing_ids")  # K12
+def _k12b(lake):
+    from orderlake.operators import quality
+    return quality.missing_ids(_source(lake), lake.silver)
+
+
+@query("w3_type_share_drift", fuzzy=("trailing_avg_share", "share_change"))  # W3
+def _w3(lake):
+    from orderlake.operators import quality
+    return quality.type_share_drift(lake.silver)
