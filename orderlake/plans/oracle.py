@@ -251,3 +251,136 @@ SELECT {d('event_date')}, event_type, n, share, round(trailing_avg_share, 6) AS
        round(abs(share - trailing_avg_share) / trailing_avg_share, 6) AS share_change,
        coalesce(abs(share - trailing_avg_share) / trailing_avg_share > 0.5, false) AS drift_alert
 FROM tr"""
+
+# --- type-2 customer dimension ------------------------------------------------------
+
+_KNOWN = "{c} IS NOT NULL AND {c} <> 'UNKNOWN'"
+
+
+def _latest(c: str) -> str:
+    return (f"arg_max({c}, struct_pack(o := occurred_at, e := event_id)) "
+            f"FILTER (WHERE {_KNOWN.format(c=c)})")
+
+
+def _snapshot(name: str, source: str) -> str:
+    return f"""
+{name} AS (
+  SELECT customer_id, {_latest('city')} AS city, {_latest('device')} AS device, max(occurred_at) AS last_seen_ms
+  FROM {source} WHERE customer_id IS NOT NULL GROUP BY customer_id
+)"""
+
+
+def _history(name: str, source: str) -> str:
+    p = name
+    return f"""
+{p}_days AS (
+  SELECT customer_id, event_date, {_latest('city')} AS city, {_latest('device')} AS device,
+         max(occurred_at) AS last_seen_ms
+  FROM {source} WHERE customer_id IS NOT NULL GROUP BY customer_id, event_date
+),
+{p}_carried AS (
+  SELECT *, coalesce(last_value(city IGNORE NULLS) OVER (PARTITION BY customer_id ORDER BY event_date
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'UNKNOWN') AS city_c
+  FROM {p}_days
+),
+{p}_flagged AS (
+  SELECT *, CASE WHEN lag(city_c) OVER (PARTITION BY customer_id ORDER BY event_date) IS NOT DISTINCT FROM city_c
+                 THEN 0 ELSE 1 END AS chg
+  FROM {p}_carried
+),
+{p}_vers AS (
+  SELECT *, sum(chg) OVER (PARTITION BY customer_id ORDER BY event_date
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v
+  FROM {p}_flagged
+),
+{p}_v AS (
+  SELECT customer_id, CAST(v AS INTEGER) AS dim_version, min(city_c) AS city,
+         arg_max(device, event_date) FILTER (WHERE device IS NOT NULL) AS device,
+         max(last_seen_ms) AS last_seen_ms, min(event_date) AS effective_from
+  FROM {p}_vers GROUP BY customer_id, v
+),
+{p} AS (
+  SELECT customer_id, city, device, last_seen_ms, effective_from,
+         lead(effective_from) OVER (PARTITION BY customer_id ORDER BY dim_version) AS effective_to,
+         lead(effective_from) OVER (PARTITION BY customer_id ORDER BY dim_version) IS NULL AS is_current,
+         dim_version
+  FROM {p}_v
+)"""
+
+
+def _apply(name: str, dim: str, snap: str, eff: str) -> str:
+    e = f"DATE '{eff}'"
+    return f"""
+{name}_j AS (
+  SELECT c.*, s.customer_id AS s_id, s.city AS s_city, s.device AS s_device, s.last_seen_ms AS s_seen,
+         (c.customer_id IS NOT NULL AND s.customer_id IS NOT NULL AND s.city IS NOT NULL
+          AND s.city IS DISTINCT FROM c.city AND {e} >= c.effective_from) AS changed
+  FROM (SELECT * FROM {dim} WHERE is_current) c FULL OUTER JOIN {snap} s ON c.customer_id = s.customer_id
+),
+{name} AS (
+  SELECT customer_id, city, device, last_seen_ms, effective_from, effective_to, true AS is_current, dim_version
+  FROM {name}_j WHERE s_id IS NULL
+  UNION ALL
+  SELECT s_id, coalesce(s_city, 'UNKNOWN'), s_device, s_seen, {e}, NULL, true, 1
+  FROM {name}_j WHERE customer_id IS NULL
+  UNION ALL
+  SELECT customer_id, city, device, last_seen_ms, effective_from, {e}, false, dim_version
+  FROM {name}_j WHERE customer_id IS NOT NULL AND s_id IS NOT NULL AND changed AND {e} > effective_from
+  UNION ALL
+  SELECT customer_id, s_city, coalesce(s_device, device), greatest(last_seen_ms, s_seen), {e}, NULL, true,
+         dim_version + 1
+  FROM {name}_j WHERE customer_id IS NOT NULL AND s_id IS NOT NULL AND changed AND {e} > effective_from
+  UNION ALL
+  SELECT customer_id, CASE WHEN changed THEN s_city ELSE city END, coalesce(s_device, device),
+         greatest(last_seen_ms, s_seen), effective_from, effective_to, true, dim_version
+  FROM {name}_j WHERE customer_id IS NOT NULL AND s_id IS NOT NULL AND NOT (changed AND {e} > effective_from)
+  UNION ALL
+  SELECT customer_id, city, device, last_seen_ms, effective_from, effective_to, is_current, dim_version
+  FROM {dim} WHERE NOT is_current
+)"""
+
+
+_CUT = "2000-01-01"
+_SPLIT = f""",
+before AS (SELECT * FROM silver WHERE event_date < DATE '{_CUT}'),
+after AS (SELECT * FROM silver WHERE event_date >= DATE '{_CUT}')"""
+
+_DIM_COLS = f"""customer_id, city, device, last_seen_ms AS last_seen_at, {d('effective_from')},
+       {d('effective_to')}, is_current, dim_version"""
+
+ORACLE["a5_customer_snapshot"] = with_ctes("silver") + "," + _snapshot("snap", "silver") + """
+SELECT customer_id, city, device, last_seen_ms AS last_seen_at FROM snap"""
+
+ORACLE["d7_full_history"] = with_ctes("silver") + "," + _history("hist", "silver") + f"""
+SELECT {_DIM_COLS} FROM hist"""
+
+_APPLIED = (with_ctes("silver") + _SPLIT + "," + _history("dim0", "before") + ","
+            + _snapshot("snap", "after") + "," + _apply("dim1", "dim0", "snap", _CUT))
+
+ORACLE["d1_scd2_apply"] = _APPLIED + f"""
+SELECT {_DIM_COLS} FROM dim1"""
+
+ORACLE["d8_dimension_violations"] = _APPLIED + """,
+per_row AS (
+  SELECT customer_id, is_current,
+         CASE WHEN effective_to IS NOT NULL AND effective_to <= effective_from THEN 1 ELSE 0 END AS zero_length,
+         CASE WHEN lead(effective_from) OVER w IS NOT NULL
+                   AND (effective_to IS NULL OR effective_to <> lead(effective_from) OVER w) THEN 1 ELSE 0 END AS bad_link
+  FROM dim1 WINDOW w AS (PARTITION BY customer_id ORDER BY effective_from, dim_version)
+)
+SELECT customer_id, count_if(is_current) AS current_rows, CAST(sum(zero_length) AS BIGINT) AS zero_length_versions,
+       CAST(sum(bad_link) AS BIGINT) AS overlaps_or_gaps
+FROM per_row GROUP BY customer_id
+HAVING count_if(is_current) <> 1 OR sum(zero_length) > 0 OR sum(bad_link) > 0"""
+
+ORACLE["d6_initial_load"] = (with_ctes("silver") + _SPLIT + "," + _snapshot("snap", "before") + f"""
+SELECT customer_id, coalesce(city, 'UNKNOWN') AS city, device, last_seen_ms AS last_seen_at,
+       '{_CUT}' AS effective_from, CAST(NULL AS VARCHAR) AS effective_to, true AS is_current, 1 AS dim_version
+FROM snap""")
+
+ORACLE["j5_city_as_of"] = with_ctes("silver") + "," + _history("hist", "silver") + f"""
+SELECT s.customer_id, {d('s.event_date', 'event_date')}, s.event_id, s.city, h.city AS city_at_event,
+       h.dim_version AS dim_version_at_event
+FROM silver s LEFT JOIN hist h ON s.customer_id = h.customer_id AND s.event_date >= h.effective_from
+     AND (h.effective_to IS NULL OR s.event_date < h.effective_to)
+WHERE s.event_type = 'ORDER_PLACED'"""

@@ -232,3 +232,55 @@ def _k12b(lake):
 def _w3(lake):
     from orderlake.operators import quality
     return quality.type_share_drift(lake.silver)
+
+
+# --- type-2 customer dimension ------------------------------------------------------
+
+SCD_CUTOFF = "2000-01-01"  # the dimension is built from events before it, then a catch-up snapshot is applied
+
+
+def _before(lake):
+    return lake.silver.where(F.col("event_date") < F.lit(SCD_CUTOFF).cast("date"))
+
+
+def _after(lake):
+    return lake.silver.where(F.col("event_date") >= F.lit(SCD_CUTOFF).cast("date"))
+
+
+@query("a5_customer_snapshot")  # A5
+def _a5(lake):
+    from orderlake.operators import scd2
+    return scd2.customer_snapshot(lake.silver)
+
+
+@query("d7_full_history")  # D7
+def _d7(lake):
+    from orderlake.operators import scd2
+    return scd2.scd2_history(lake.silver)
+
+
+@query("d8_dimension_violations")  # D8
+def _d8(lake):
+    from orderlake.operators import scd2
+    dim = scd2.scd2_apply(scd2.scd2_history(_before(lake)), scd2.customer_snapshot(_after(lake)), SCD_CUTOFF)
+    return scd2.dimension_violations(dim)
+
+
+@query("d1_scd2_apply")  # D1-D5, J2, J4
+def _d1(lake):
+    from orderlake.operators import scd2
+    return scd2.scd2_apply(scd2.scd2_history(_before(lake)), scd2.customer_snapshot(_after(lake)), SCD_CUTOFF)
+
+
+@query("d6_initial_load")  # D6
+def _d6(lake):
+    from orderlake.operators import scd2
+    return scd2.scd2_apply(scd2.empty_dimension(lake.spark), scd2.customer_snapshot(_before(lake)), SCD_CUTOFF)
+
+
+@query("j5_city_as_of")  # J5
+def _j5(lake):
+    from orderlake.operators import scd2
+    placed = lake.silver.where(F.col("event_type") == "ORDER_PLACED").select(
+        "event_id", "customer_id", "event_date", "city")
+    return scd2.city_as_of(placed, scd2.scd2_history(lake.silver))
