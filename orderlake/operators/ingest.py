@@ -29,7 +29,7 @@ def kafka_to_strings(raw: DataFrame) -> DataFrame:
     )
 
 
-def parse_messages(raw: DataFrame) -> DataFrame:
+def parse_messages(raw: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Parse the JSON value against ORDER_EVENT and flatten it.
 
     Carries Kafka partition/offset and the raw text (kept for the dead-letter
@@ -40,16 +40,19 @@ def parse_messages(raw: DataFrame) -> DataFrame:
         ORDER_EVENT_PARSE,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
     )
+    carry = list(carry or [])
     return raw.select(
         parsed.alias("_m"),
         F.col("partition").cast("string").alias("kafka_partition"),
         F.col("offset").cast("string").alias("kafka_offset"),
         F.col("value").cast("string").alias("value"),
+        *carry,
     ).select(
         *[F.col(f"_m.{c}").alias(c) for c in _EVENT_COLS],
         "kafka_partition",
         "kafka_offset",
         "value",
+        *carry,
         (F.col("_m").isNull() | F.col("_m._corrupt_record").isNotNull()).alias("malformed"),
     )
 
@@ -110,7 +113,7 @@ def _arrival_order() -> Column:
     )
 
 
-def tag_duplicates(df: DataFrame, key: str = "event_id") -> DataFrame:
+def tag_duplicates(df: DataFrame, key: str | list[str] = "event_id") -> DataFrame:
     """``is_duplicate`` = "true" for every copy of a key but the first to arrive.
 
     Written as a partial aggregate (min arrival per key) joined back on the
@@ -119,9 +122,10 @@ def tag_duplicates(df: DataFrame, key: str = "event_id") -> DataFrame:
     the rows, which a window partition cannot.  Copies with the same
     (partition, offset) are the same Kafka record and are all first.
     """
-    firsts = df.groupBy(key).agg(F.min(_arrival_order()).alias("_first"))
+    keys = [key] if isinstance(key, str) else list(key)
+    firsts = df.groupBy(*keys).agg(F.min(_arrival_order()).alias("_first"))
     return (
-        df.join(firsts, key, "left")
+        df.join(firsts, keys, "left")
         .withColumn(
             "is_duplicate",
             F.when(_arrival_order().eqNullSafe(F.col("_first")), F.lit("false")).otherwise(F.lit("true")),
@@ -201,12 +205,17 @@ def keyed_publish(df: DataFrame, num_partitions: int | None = None) -> DataFrame
 
 
 def sample_messages(parsed: DataFrame, n: int = C.SAMPLE_MESSAGES) -> DataFrame:
-    """S3: the first ``n`` messages from the earliest offsets, projected for inspection."""
+    """S3: the first ``n`` messages from the earliest offsets, projected for inspection.
+
+    A top-k (``TakeOrderedAndProject``): each task keeps its best ``n``.
+    Pass messages parsed with ``carry=["key"]`` to report the Kafka key.
+    """
+    key = F.col("key") if "key" in parsed.columns else F.coalesce("order_id", "event_id")
     return (
         parsed.select(
             F.col("kafka_partition").cast("int").alias("partition"),
             F.col("kafka_offset").cast("long").alias("offset"),
-            F.coalesce("order_id", "event_id").alias("key"),
+            key.alias("key"),
             "event_type",
             "order_id",
         )

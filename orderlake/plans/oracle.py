@@ -384,3 +384,112 @@ SELECT s.customer_id, {d('s.event_date', 'event_date')}, s.event_id, s.city, h.c
 FROM silver s LEFT JOIN hist h ON s.customer_id = h.customer_id AND s.event_date >= h.effective_from
      AND (h.effective_to IS NULL OR s.event_date < h.effective_to)
 WHERE s.event_type = 'ORDER_PLACED'"""
+
+# --- ingest extras ------------------------------------------------------------------
+
+ORACLE["s3_sample_messages"] = with_ctes("lifecycle") + """
+SELECT CAST(kafka_partition AS INTEGER) AS partition, CAST(kafka_offset AS BIGINT) AS offset,
+       coalesce(order_id, event_id) AS key, CASE WHEN malformed THEN NULL ELSE event_type END AS event_type,
+       CASE WHEN malformed THEN NULL ELSE order_id END AS order_id
+FROM events ORDER BY CAST(kafka_offset AS BIGINT), CAST(kafka_partition AS INTEGER) LIMIT 20"""
+
+ORACLE["s19_keyed_publish"] = with_ctes("bronze") + """
+SELECT coalesce(order_id, event_id) AS key, occurred_at, event_id AS json_event_id, order_id AS json_order_id
+FROM bronze WHERE is_duplicate = 'false'"""
+
+_PRODUCER = """
+prod AS (
+  SELECT *, concat_ws(', ', CASE WHEN customer_id IS NULL THEN 'customer_id' END,
+                            CASE WHEN event_id IS NULL THEN 'event_id' END,
+                            CASE WHEN event_type IS NULL THEN 'event_type' END,
+                            CASE WHEN occurred_at IS NULL THEN 'occurred_at' END,
+                            CASE WHEN order_id IS NULL THEN 'order_id' END) AS missing
+  FROM parsed
+),
+prod2 AS (
+  SELECT *, CASE WHEN missing <> '' THEN 'Missing fields: ' || missing
+                 WHEN event_id = '' THEN 'event_id is empty' ELSE '' END AS producer_reason
+  FROM prod
+)"""
+
+ORACLE["v3_producer_check"] = with_ctes("parsed") + "," + _PRODUCER + """
+SELECT kafka_offset, event_id, producer_reason = '' AS producer_valid, producer_reason FROM prod2"""
+
+ORACLE["v4_dlq_envelope"] = with_ctes("parsed") + "," + _PRODUCER + """
+SELECT coalesce(event_id, 'unknown') AS key, producer_reason AS failure_reason, 'orders-raw' AS source_topic,
+       CAST(996796800000 AS BIGINT) AS failed_at
+FROM prod2 WHERE producer_reason <> ''"""
+
+ORACLE["v5_route"] = with_ctes("parsed") + "," + _PRODUCER + """
+SELECT kafka_offset, event_id, CASE WHEN producer_reason = '' THEN 'orders-raw' ELSE 'dlq-events' END AS target_topic
+FROM prod2"""
+
+# --- operational metrics --------------------------------------------------------------
+
+_BATCHES = """,
+vb AS (SELECT *, kafka_ts // 30000 AS batch_id FROM validated),
+tagged AS (
+  SELECT batch_id, row_number() OVER (PARTITION BY batch_id, event_id ORDER BY ingested_at,
+         CAST(kafka_partition AS BIGINT), CAST(kafka_offset AS BIGINT)) > 1 AS dup
+  FROM vb WHERE is_valid
+),
+pv AS (SELECT batch_id, count(*) AS written, count_if(dup) AS duplicates FROM tagged GROUP BY batch_id),
+pd AS (SELECT batch_id, count(*) AS dlq FROM vb WHERE NOT is_valid GROUP BY batch_id),
+batches AS (
+  SELECT coalesce(pv.batch_id, pd.batch_id) AS batch_id, coalesce(written, 0) AS written,
+         coalesce(duplicates, 0) AS duplicates, coalesce(dlq, 0) AS dlq
+  FROM pv FULL OUTER JOIN pd ON pv.batch_id = pd.batch_id
+)"""
+
+ORACLE["m1_batch_metrics"] = with_ctes("parsed") + _BATCHES + """
+SELECT batch_id, written, duplicates, dlq FROM batches"""
+
+ORACLE["w4_running_totals"] = with_ctes("parsed") + _BATCHES + """,
+cum AS (
+  SELECT *, sum(written) OVER w AS tw, sum(duplicates) OVER w AS td, sum(dlq) OVER w AS tq,
+         min(batch_id) OVER () AS start
+  FROM batches WINDOW w AS (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+)
+SELECT batch_id, written, duplicates, dlq, CAST(tw AS BIGINT) AS total_records, CAST(td AS BIGINT) AS total_duplicates,
+       CAST(tq AS BIGINT) AS total_dlq,
+       tw / ((batch_id - start + 1) * CAST(30.0 AS DOUBLE)) AS avg_throughput,
+       td / greatest(tw, 1) AS dup_rate, tq / greatest(tw, 1) AS dlq_rate
+FROM cum"""
+
+ORACLE["m2_records_by_layer"] = with_ctes("silver") + """
+SELECT 'bronze' AS layer, source_system, event_type, count(*) AS records FROM bronze GROUP BY ALL
+UNION ALL
+SELECT 'silver' AS layer, source_system, event_type, count(*) AS records FROM silver GROUP BY ALL"""
+
+ORACLE["m3_dlq_by_reason"] = with_ctes("bronze") + """
+SELECT 'orders-raw' AS source_topic, reason AS failure_reason, count(*) AS dlq_events FROM dlq GROUP BY reason"""
+
+ORACLE["m7_pipeline_lag"] = with_ctes("bronze") + """
+SELECT 'orders-raw' AS source_topic, ingestion_date, max((ingested_at - occurred_at) / 1000.0) AS max_lag_seconds,
+       CASE WHEN max((ingested_at - occurred_at) / 1000.0) >= 300 THEN 'red'
+            WHEN max((ingested_at - occurred_at) / 1000.0) >= 60 THEN 'yellow' ELSE 'green' END AS lag_band
+FROM bronze GROUP BY ingestion_date"""
+
+ORACLE["m8_records_per_minute"] = with_ctes("bronze") + """
+SELECT 'bronze' AS layer, ws AS window_start, ws + 300000 AS window_end,
+       CAST(count(*) AS DOUBLE) / 5.0 AS records_per_minute
+FROM (SELECT (ingested_at // 60000) * 60000 - t.i * 60000 AS ws
+      FROM bronze, (VALUES (0), (1), (2), (3), (4)) t(i))
+GROUP BY ws"""
+
+ORACLE["m9_duplicate_rate"] = with_ctes("bronze") + """
+SELECT 'orders-raw' AS source_topic, ingestion_date,
+       avg(CASE WHEN is_duplicate = 'true' THEN 1.0 ELSE 0.0 END) AS duplicate_rate
+FROM bronze GROUP BY ingestion_date"""
+
+ORACLE["m10_silver_count"] = with_ctes("silver") + f"""
+SELECT {d('processing_date')}, count(*) AS silver_records FROM silver GROUP BY processing_date"""
+
+ORACLE["m11_consumer_lag"] = with_ctes("lifecycle") + """,
+msgs AS (SELECT CAST(kafka_partition AS INTEGER) AS partition, CAST(kafka_offset AS BIGINT) AS "offset",
+                ingested_at AS kafka_timestamp FROM events),
+committed AS (SELECT partition, max("offset") AS committed_offset FROM msgs
+              WHERE kafka_timestamp < 946684800000 GROUP BY partition)
+SELECT 'orders-raw' AS topic, m.partition, max(m."offset") AS log_end_offset, max(c.committed_offset) AS committed_offset,
+       count_if(c.committed_offset IS NULL OR m."offset" > c.committed_offset) AS lag_records
+FROM msgs m LEFT JOIN committed c ON m.partition = c.partition GROUP BY m.partition"""

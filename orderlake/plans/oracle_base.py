@@ -68,7 +68,7 @@ _REQ = " AND ".join(f"({c} IS NOT NULL AND {c} <> '')" for c in C.REQUIRED_FIELD
 PARSED = (
     "parsed AS (\n  SELECT "
     + ",\n    ".join(f"CASE WHEN malformed THEN NULL ELSE {c} END AS {c}" for c in _FIELDS)
-    + ",\n    kafka_partition, kafka_offset, malformed\n  FROM events\n),\n"
+    + ",\n    kafka_partition, kafka_offset, malformed, ingested_at AS kafka_ts\n  FROM events\n),\n"
     + "validated AS (\n  SELECT *,\n"
     + f"    (NOT malformed AND {_REQ} AND event_type IN ({_TYPES})) AS is_valid,\n"
     + f"    CASE WHEN malformed THEN 'malformed_json' WHEN NOT ({_REQ}) THEN 'missing_required_fields'\n"

@@ -284,3 +284,100 @@ def _j5(lake):
     placed = lake.silver.where(F.col("event_type") == "ORDER_PLACED").select(
         "event_id", "customer_id", "event_date", "city")
     return scd2.city_as_of(placed, scd2.scd2_history(lake.silver))
+
+
+# --- ingest extras: sampling, keyed publish, producer checks -------------------------
+
+@query("s3_sample_messages")  # S3
+def _s3(lake):
+    from orderlake.operators import ingest
+    return ingest.sample_messages(ingest.parse_messages(lake.raw, carry=["key"]))
+
+
+@query("s19_keyed_publish")  # S19
+def _s19(lake):
+    from orderlake.operators import ingest
+    pub = ingest.keyed_publish(ingest.non_duplicates(lake.bronze), num_partitions=8)
+    return pub.select("key", "occurred_at",
+                      F.get_json_object("value", "$.event_id").alias("json_event_id"),
+                      F.get_json_object("value", "$.order_id").alias("json_order_id"))
+
+
+@query("v3_producer_check")  # V3
+def _v3(lake):
+    from orderlake.operators import ingest
+    return ingest.producer_check(lake.parsed).select("kafka_offset", "event_id", "producer_valid", "producer_reason")
+
+
+AS_OF_FAILED_MS = 996796800000  # 2001-08-03T00:00:00Z, the failed_at stamp of V4
+
+
+@query("v4_dlq_envelope")  # V4
+def _v4(lake):
+    from orderlake.operators import ingest
+    return ingest.dlq_envelope(lake.parsed, AS_OF_FAILED_MS).drop("original_event")
+
+
+@query("v5_route")  # V5
+def _v5(lake):
+    from orderlake.operators import ingest
+    return ingest.route(lake.parsed).select("kafka_offset", "event_id", "target_topic")
+
+
+# --- operational metrics ------------------------------------------------------------
+
+@query("m1_batch_metrics")  # M1
+def _m1(lake):
+    from orderlake.operators import monitoring
+    return monitoring.batch_metrics(lake.raw)
+
+
+@query("w4_running_totals")  # W4
+def _w4(lake):
+    from orderlake.operators import monitoring
+    return monitoring.running_totals(monitoring.batch_metrics(lake.raw))
+
+
+@query("m2_records_by_layer")  # M2
+def _m2(lake):
+    from orderlake.operators import monitoring
+    return monitoring.records_by_layer(lake.bronze, lake.silver)
+
+
+@query("m3_dlq_by_reason")  # M3
+def _m3(lake):
+    from orderlake.operators import monitoring
+    return monitoring.dlq_by_reason(lake.dlq)
+
+
+@query("m7_pipeline_lag")  # M7
+def _m7(lake):
+    from orderlake.operators import monitoring
+    return monitoring.pipeline_lag(lake.bronze)
+
+
+@query("m8_records_per_minute")  # M8
+def _m8(lake):
+    from orderlake.operators import monitoring
+    return monitoring.records_per_minute(lake.bronze, "bronze")
+
+
+@query("m9_duplicate_rate")  # M9
+def _m9(lake):
+    from orderlake.operators import monitoring
+    return monitoring.duplicate_rate(lake.bronze)
+
+
+@query("m10_silver_count")  # M10
+def _m10(lake):
+    from orderlake.operators import monitoring
+    return monitoring.silver_count_by_processing_date(lake.silver)
+
+
+CONSUMED_BEFORE_MS = 946684800000  # 2000-01-01T00:00:00Z: the consumer of M11 has processed up to here
+
+
+@query("m11_consumer_lag")  # M11
+def _m11(lake):
+    from orderlake.operators import monitoring
+    return monitoring.consumer_lag(lake.raw, monitoring.committed_offsets(lake.raw, CONSUMED_BEFORE_MS))
