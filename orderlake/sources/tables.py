@@ -81,8 +81,15 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """A table exists when its directory holds a committed write (``_SUCCESS``)."""
-    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+    """A table exists when its directory holds visible data (a file or a partition directory).
+
+    Hidden entries (``_SUCCESS``, ``_staging``, ``_log``, ``.crc``) do not count;
+    dynamic partition overwrite does not leave ``_SUCCESS`` at the root.
+    """
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return False
+    return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
