@@ -167,37 +167,68 @@ def append_batch(df: DataFrame, path: str, batch_id: int, partition_cols: tuple[
 # ---------------------------------------------------------------------------
 
 
-def replace_partition(df: DataFrame, path: str, partition_col: str, value, log: bool = True) -> int:
-    """Replace partition ``partition_col = value`` of the table at ``path`` with ``df``.
-
-    Returns the number of rows written.  Rows outside the partition raise
-    inside the write job, before anything is committed.
+def replace_partitions(df: DataFrame, path: str, partition_col: str, values: list, log: bool = True,
+                       operation: str = "REPLACE PARTITIONS") -> dict:
+    """Replace partitions ``partition_col IN values`` of the table at ``path`` with ``df``.
+
+    Rows outside ``values`` raise inside the write job, before anything is
+    committed.  Per-value row counts are observed during the same write;
+    values that received no rows are removed (dynamic overwrite alone would
+    keep their old contents).  Returns rows written per value.
     """
     spark = df.sparkSession
-    lit = F.lit(value) if not isinstance(value, str) else F.lit(value)
+    values = list(values)
+    dtype = df.schema[partition_col].dataType
+    inside = F.col(partition_col).isin(values)
     guarded = df.withColumn(
         partition_col,
-        F.when(F.col(partition_col) == lit, F.col(partition_col)).otherwise(
-            F.raise_error(F.concat(F.lit(f"row outside {partition_col}={_render(value)}: "),
-                                   F.col(partition_col).cast("string"))).cast(df.schema[partition_col].dataType)
+        F.when(inside, F.col(partition_col)).otherwise(
+            F.raise_error(F.concat(F.lit(f"row outside the replaced {partition_col} values: "),
+                                   F.coalesce(F.col(partition_col).cast("string"), F.lit("NULL")))).cast(dtype)
         ),
     )
     obs = Observation(f"replace_{uuid.uuid4().hex[:8]}")
-    guarded = guarded.observe(obs, F.count(F.lit(1)).alias("rows"))
+    guarded = guarded.observe(obs, *[F.count_if(F.col(partition_col) == F.lit(v)).alias(f"v{i}")
+                                     for i, v in enumerate(values)])
     (
         guarded.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(path)
     )
-    rows = int(obs.get.get("rows", 0) or 0)
-    if rows == 0:
-        delete_path(spark, _partition_dir(path, partition_col, _render(value)))
+    got = obs.get
+    rows = {_render(v): int(got.get(f"v{i}", 0) or 0) for i, v in enumerate(values)}
+    for v, n in rows.items():
+        if n == 0:
+            delete_path(spark, _partition_dir(path, partition_col, v))
     if log:
-        log_commit(spark, path, "REPLACE PARTITION", {"partition": f"{partition_col}={_render(value)}", "rows": rows})
+        log_commit(spark, path, operation, {"partitions": rows})
     return rows
 
 
+def replace_partition(df: DataFrame, path: str, partition_col: str, value, log: bool = True) -> int:
+    """Replace one partition (``replaceWhere partition_col = value``); returns rows written."""
+    return replace_partitions(df, path, partition_col, [value], log, "REPLACE PARTITION")[_render(value)]
+
+
+def replace_table(df: DataFrame, path: str, log: bool = True) -> None:
+    """Rewrite a whole (unpartitioned) table that ``df`` may itself read.
+
+    ``df`` is written to staging and marked ready before the table is
+    replaced, so the input is never overwritten while being read, and a
+    crash after the mark is finished by ``recover``.
+    """
+    spark = df.sparkSession
+    recover(spark, path, None)
+    stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    obs = Observation(f"rewrite_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(stage)
+    touch(spark, f"{stage}/_READY", json.dumps({"full": True}))
+    _publish(spark, path, stage, None)
+    if log:
+        log_commit(spark, path, "REWRITE", {"rows": int(obs.get.get("rows", 0) or 0)})
+
+
 # ---------------------------------------------------------------------------
 # Keyed upsert
 # ---------------------------------------------------------------------------
@@ -214,8 +245,19 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Dat
     return df.groupBy(*keys).agg(F.max_by(payload, order).alias("_r")).select("_r.*")
 
 
-def _publish(spark: SparkSession, path: str, stage: str, partition_col: str) -> None:
+def _publish(spark: SparkSession, path: str, stage: str, partition_col: str | None) -> None:
     manifest = json.loads(read_text(spark, f"{stage}/_READY"))
+    if manifest.get("full"):
+        # Whole-table rewrite: keep the table's hidden folders (staging, log), replace the data.
+        data = spark.read.parquet(stage)
+        fs, p = _fs(spark, path)
+        if fs.exists(p):
+            for st in fs.listStatus(p):
+                if not st.getPath().getName().startswith(("_", ".")):
+                    fs.delete(st.getPath(), True)
+        data.write.mode("append").parquet(path)
+        delete_path(spark, stage)
+        return
     staged = set(list_dirs(spark, stage))
     if any(d.startswith(f"{partition_col}=") for d in staged):
         (
@@ -231,7 +273,7 @@ def _publish(spark: SparkSession, path: str, stage: str, partition_col: str) ->
     delete_path(spark, stage)
 
 
-def recover(spark: SparkSession, path: str, partition_col: str) -> int:
+def recover(spark: SparkSession, path: str, partition_col: str | None) -> int:
     """Finish publishing any staged upsert that reached ``_READY``; drop unfinished ones."""
     root = f"{path.rstrip('/')}/_staging"
     done = 0
