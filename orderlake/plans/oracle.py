@@ -222,7 +222,7 @@ j AS (SELECT coalesce(b.pd, s.pd) AS processing_date, coalesce(bronze_count, 0)
 SELECT {d('processing_date')}, bronze_count, bronze_distinct_ids, silver_count,
        round(abs(bronze_count - silver_count) / greatest(bronze_count, 1) * 100.0, 4) AS variance_pct,
        round(abs(bronze_distinct_ids - silver_count) / greatest(bronze_distinct_ids, 1) * 100.0, 4) AS distinct_variance_pct,
-       1.0 AS tolerance_pct,
+       CAST(1.0 AS DOUBLE) AS tolerance_pct,
        CASE WHEN abs(bronze_count - silver_count) / greatest(bronze_count, 1) * 100.0 <= 1.0 THEN 'PASS' ELSE 'FAIL' END AS status
 FROM j"""
 
