@@ -121,10 +121,10 @@ FROM payments ORDER BY event_type, event_date LIMIT 10"""
 
 ORACLE["s20_contract_hourly"] = with_ctes("gold") + """
 SELECT (SELECT count(*) FROM hourly) AS row_count,
-       (SELECT count_if(event_date IS NULL) FROM hourly) AS null_event_date,
-       (SELECT count_if(event_hour IS NULL) FROM hourly) AS null_event_hour,
-       (SELECT count_if(city IS NULL) FROM hourly) AS null_city,
-       (SELECT count_if(category IS NULL) FROM hourly) AS null_category,
+       (SELECT CAST(count_if(event_date IS NULL) AS BIGINT) FROM hourly) AS null_event_date,
+       (SELECT CAST(count_if(event_hour IS NULL) AS BIGINT) FROM hourly) AS null_event_hour,
+       (SELECT CAST(count_if(city IS NULL) AS BIGINT) FROM hourly) AS null_city,
+       (SELECT CAST(count_if(category IS NULL) AS BIGINT) FROM hourly) AS null_category,
        (SELECT count(*) FROM (SELECT 1 FROM hourly GROUP BY event_date, event_hour, city, category
                               HAVING count(*) > 1)) AS duplicate_keys,
        (SELECT coalesce(CAST(sum(c) AS BIGINT), 0) FROM (SELECT count(*) AS c FROM hourly
@@ -213,7 +213,7 @@ ORACLE["a8_global_dq"] = with_ctes("silver") + "," + _INLINE.format(by="", group
 SELECT {_DQ_COLS} FROM dq"""
 
 ORACLE["k11_reconciliation"] = with_ctes("silver") + f""",
-b AS (SELECT CAST(ingestion_date AS DATE) AS pd, count_if(is_duplicate = 'false') AS bronze_count,
+b AS (SELECT CAST(ingestion_date AS DATE) AS pd, CAST(count_if(is_duplicate = 'false') AS BIGINT) AS bronze_count,
              count(DISTINCT event_id) AS bronze_distinct_ids FROM bronze GROUP BY 1),
 s AS (SELECT event_date AS pd, count(*) AS silver_count FROM silver GROUP BY 1),
 j AS (SELECT coalesce(b.pd, s.pd) AS processing_date, coalesce(bronze_count, 0) AS bronze_count,
@@ -368,7 +368,7 @@ per_row AS (
                    AND (effective_to IS NULL OR effective_to <> lead(effective_from) OVER w) THEN 1 ELSE 0 END AS bad_link
   FROM dim1 WINDOW w AS (PARTITION BY customer_id ORDER BY effective_from, dim_version)
 )
-SELECT customer_id, count_if(is_current) AS current_rows, CAST(sum(zero_length) AS BIGINT) AS zero_length_versions,
+SELECT customer_id, CAST(count_if(is_current) AS BIGINT) AS current_rows, CAST(sum(zero_length) AS BIGINT) AS zero_length_versions,
        CAST(sum(bad_link) AS BIGINT) AS overlaps_or_gaps
 FROM per_row GROUP BY customer_id
 HAVING count_if(is_current) <> 1 OR sum(zero_length) > 0 OR sum(bad_link) > 0"""
@@ -433,7 +433,7 @@ tagged AS (
          CAST(kafka_partition AS BIGINT), CAST(kafka_offset AS BIGINT)) > 1 AS dup
   FROM vb WHERE is_valid
 ),
-pv AS (SELECT batch_id, count(*) AS written, count_if(dup) AS duplicates FROM tagged GROUP BY batch_id),
+pv AS (SELECT batch_id, count(*) AS written, CAST(count_if(dup) AS BIGINT) AS duplicates FROM tagged GROUP BY batch_id),
 pd AS (SELECT batch_id, count(*) AS dlq FROM vb WHERE NOT is_valid GROUP BY batch_id),
 batches AS (
   SELECT coalesce(pv.batch_id, pd.batch_id) AS batch_id, coalesce(written, 0) AS written,
@@ -491,5 +491,5 @@ msgs AS (SELECT CAST(kafka_partition AS INTEGER) AS partition, CAST(kafka_offset
 committed AS (SELECT partition, max("offset") AS committed_offset FROM msgs
               WHERE kafka_timestamp < 946684800000 GROUP BY partition)
 SELECT 'orders-raw' AS topic, m.partition, max(m."offset") AS log_end_offset, max(c.committed_offset) AS committed_offset,
-       count_if(c.committed_offset IS NULL OR m."offset" > c.committed_offset) AS lag_records
+       CAST(count_if(c.committed_offset IS NULL OR m."offset" > c.committed_offset) AS BIGINT) AS lag_records
 FROM msgs m LEFT JOIN committed c ON m.partition = c.partition GROUP BY m.partition"""
