@@ -65,7 +65,10 @@ def bronze_to_silver(spark: SparkSession, paths: LakePaths, day) -> DataFrame:
     try:
         dq = quality.inline_dq(typed).withColumn("processing_date", F.lit(day))
         tables.replace_partition(dq, paths.dq_results, "processing_date", day, log=False)
-        tables.upsert(typed, paths.silver, ["event_id"], "event_date", order_cols=["ingested_at", "occurred_at"])
+        # an event's Silver row lives in its event_date partition, which the restated window covers
+        window = F.col("event_date").between(F.lit(days[0]), F.lit(day))
+        tables.upsert(typed, paths.silver, ["event_id"], "event_date", order_cols=["ingested_at", "occurred_at"],
+                      key_partitions=window)
         snapshot = scd2.customer_snapshot(typed)
         dim = tables.read_table(spark, paths.dim_customers, DIM_CUSTOMERS)
         tables.replace_table(scd2.scd2_apply(dim, snapshot, day), paths.dim_customers)
@@ -134,4 +137,4 @@ def backfill(spark: SparkSession, paths: LakePaths) -> None:
     for fn, path in ((gold.hourly_orders, paths.gold_hourly), (gold.payment_health, paths.gold_payments),
                      (gold.daily_sla, paths.gold_sla)):
         out = fn(s).withColumn("processing_date", F.col("event_date")).withColumn("gold_loaded_at", F.current_timestamp())
-        out.write.mode("overwrite").partitionBy("event_date").parquet(path)
+        tables.clustered(out, "event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)

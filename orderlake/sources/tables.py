@@ -106,6 +106,18 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return spark.createDataFrame([], schema)
 
 
+def clustered(df: DataFrame, *cols: str) -> DataFrame:
+    """Lay rows out for a partitioned write: one writer per partition value where possible.
+
+    Without this every task writes a file for every partition value it
+    holds (tasks × values small files).  The ``REBALANCE`` hint shuffles by
+    the partition columns and lets adaptive execution coalesce small
+    groups and split oversized ones, so a hot date is written by several
+    tasks rather than one.
+    """
+    return df.hint("rebalance", *cols) if cols else df
+
+
 def _partition_dir(path: str, col: str, value) -> str:
     return f"{path.rstrip('/')}/{col}={value}"
 
@@ -144,22 +156,28 @@ def history(spark: SparkSession, table_path: str, n: int = 5) -> DataFrame:
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, partition_cols: tuple[str, ...] = ("ingestion_date",),
-                 observation: Observation | None = None) -> None:
+                 observation: Observation | None = None, metrics: list | None = None) -> dict:
     """Append ``df`` as micro-batch ``batch_id``; a replay of the batch overwrites only its own rows.
 
     ``batch_id`` becomes the innermost partition column and the write uses
     dynamic partition overwrite, so exactly the (date, batch) partitions of
-    this batch are replaced.  An empty batch writes nothing.
+    this batch are replaced.  An empty batch writes nothing.  ``metrics``
+    (aggregate Columns) are observed during the write itself and returned;
+    the observation sits above the layout shuffle so that it also reports
+    on empty batches.
     """
-    out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-    if observation is not None:
-        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+    out = clustered(df.withColumn("batch_id", F.lit(int(batch_id)).cast("long")), *partition_cols)
+    obs = observation
+    if metrics:
+        obs = obs or Observation(f"batch_{batch_id}_{uuid.uuid4().hex[:6]}")
+        out = out.observe(obs, *metrics)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols, "batch_id")
         .parquet(path)
     )
+    return dict(obs.get) if obs is not None and metrics else {}
 
 
 # ---------------------------------------------------------------------------
@@ -188,7 +206,7 @@ def replace_partitions(df: DataFrame, path: str, partition_col: str, values: lis
         ),
     )
     obs = Observation(f"replace_{uuid.uuid4().hex[:8]}")
-    guarded = guarded.observe(obs, *[F.count_if(F.col(partition_col) == F.lit(v)).alias(f"v{i}")
+    guarded = clustered(guarded, partition_col).observe(obs, *[F.count_if(F.col(partition_col) == F.lit(v)).alias(f"v{i}")
                                      for i, v in enumerate(values)])
     (
         guarded.write.mode("overwrite")
@@ -261,7 +279,7 @@ def _publish(spark: SparkSession, path: str, stage: str, partition_col: str | No
     staged = set(list_dirs(spark, stage))
     if any(d.startswith(f"{partition_col}=") for d in staged):
         (
-            spark.read.parquet(stage).write.mode("overwrite")
+            clustered(spark.read.parquet(stage), partition_col).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition_col)
             .parquet(path)
@@ -288,13 +306,18 @@ def recover(spark: SparkSession, path: str, partition_col: str | None) -> int:
 
 
 def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
-           order_cols: list[str] | None = None, log: bool = True) -> dict:
+           order_cols: list[str] | None = None, log: bool = True, key_partitions=None) -> dict:
     """Merge ``source`` into the partitioned table at ``path`` on ``keys`` (update-all / insert-all).
 
     Only touched partitions are read and rewritten: the partitions of the
     incoming rows plus the partitions where their keys currently live (a
     key may move between partitions).  The touched-partition list is one
     value per partition, so it is collected; rows never are.
+
+    ``key_partitions`` (a Column predicate on the partition column) bounds
+    where existing copies of the incoming keys can live — e.g. the restated
+    window of a daily job — so finding them prunes partitions instead of
+    scanning the key column of the whole table.
     """
     spark = source.sparkSession
     recover(spark, path, partition_col)
@@ -303,7 +326,7 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
     try:
         if not table_exists(spark, path):
             obs = Observation(f"create_{uuid.uuid4().hex[:8]}")
-            src.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
+            clustered(src, partition_col).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
                 .partitionBy(partition_col).parquet(path)
             metrics = {"inserted": int(obs.get.get("rows", 0) or 0), "created": True}
             if log:
@@ -312,7 +335,8 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
         target = spark.read.parquet(path)
         src = src.select(*target.columns) if set(target.columns) == set(src.columns) else src
         incoming = src.select(partition_col).distinct()
-        moved = target.join(src.select(*keys), keys, "left_semi").select(partition_col).distinct()
+        lookup = target.where(key_partitions) if key_partitions is not None else target
+        moved = lookup.join(src.select(*keys), keys, "left_semi").select(partition_col).distinct()
         touched = [r[0] for r in incoming.union(moved).distinct().collect()]
         if not touched:
             return {"touched": 0}
@@ -320,7 +344,7 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
         merged = old.join(src.select(*keys), keys, "left_anti").unionByName(src, allowMissingColumns=True)
         stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
         obs = Observation(f"upsert_{uuid.uuid4().hex[:8]}")
-        merged.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
+        clustered(merged, partition_col).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
             .partitionBy(partition_col).parquet(stage)
         touch(spark, f"{stage}/_READY", json.dumps({"touched": [_render(v) for v in touched]}))
         _publish(spark, path, stage, partition_col)

@@ -16,10 +16,9 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import config as C
@@ -124,15 +123,13 @@ def bronze_writer(bronze_path: str, dlq_path: str, metrics_path: str | None = No
             bronze, dlq = ingest.bronze_split(batch, loaded_at_ms=int(time.time() * 1000))
             if horizon_days:
                 bronze = tag_seen_before(bronze, bronze_path, batch_id, horizon_days)
-            ob = Observation(f"bronze_{batch_id}_{uuid.uuid4().hex[:6]}")
-            od = Observation(f"dlq_{batch_id}_{uuid.uuid4().hex[:6]}")
-            bronze = bronze.observe(ob, F.count(F.lit(1)).alias("written"),
-                                    F.count_if(F.col("is_duplicate") == "true").alias("duplicates"))
-            dlq = dlq.observe(od, F.count(F.lit(1)).alias("dlq"))
-            tables.append_batch(bronze, bronze_path, batch_id)  # S8, G6
-            tables.append_batch(dlq, dlq_path, batch_id)  # S9: an empty DLQ batch writes no partition
+            mb = tables.append_batch(bronze, bronze_path, batch_id, metrics=[  # S8, G6
+                F.count(F.lit(1)).alias("written"),
+                F.count_if(F.col("is_duplicate") == "true").alias("duplicates")])
+            md = tables.append_batch(dlq, dlq_path, batch_id,  # S9: an empty DLQ batch writes no partition
+                                     metrics=[F.count(F.lit(1)).alias("dlq")])
             if metrics_path:  # M1, replay-safe like the data
-                m = {**ob.get, **od.get}
+                m = {**mb, **md}
                 row = [(int(batch_id), int(m.get("written", 0)), int(m.get("duplicates", 0)), int(m.get("dlq", 0)),
                         dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
                 metrics = batch.sparkSession.createDataFrame(row, BATCH_METRICS_SCHEMA).drop("batch_id")
