@@ -259,6 +259,27 @@ def type_share_drift(silver: DataFrame, days: int = C.DRIFT_WINDOW_DAYS, ratio:
 
 # --- gate (K13) ------------------------------------------------------------------
 
+
+def gate_by_date(suite_results: DataFrame, recon: DataFrame) -> DataFrame:
+    """K13 per processing date: continue only when the suite passed and reconciliation passed.
+
+    A date missing from either input does not continue (no result = ERROR).
+    """
+    s = suite_results.groupBy(F.col("event_date").alias("processing_date") if "event_date" in suite_results.columns
+                              else F.col("processing_date")).agg(
+        F.max(F.when(F.col("overall_status") == "FAIL", 1).otherwise(0)).alias("_dq_fail"))
+    r = recon.select("processing_date", F.col("status").alias("recon_status"))
+    j = s.join(r, "processing_date", "full_outer")
+    dq_ok = F.coalesce(F.col("_dq_fail") == 0, F.lit(False))
+    rc_ok = F.coalesce(F.col("recon_status") == "PASS", F.lit(False))
+    reasons = F.concat_ws("; ",
+                          F.when(F.col("_dq_fail").isNull(), F.lit("dq: ERROR")),
+                          F.when(F.col("_dq_fail") == 1, F.lit("dq: critical check failed")),
+                          F.when(F.col("recon_status").isNull(), F.lit("recon: ERROR")),
+                          F.when(F.col("recon_status") == "FAIL", F.lit("recon: FAIL")))
+    return j.select("processing_date", (dq_ok & rc_ok).alias("continue"), reasons.alias("reasons"))
+
+
 def gate(suite_results: DataFrame | None, recon: DataFrame | None) -> tuple[bool, list[str]]:
     """Halt on a critical DQ failure, an unreadable table (ERROR) or a failed reconciliation.
 

@@ -493,3 +493,41 @@ committed AS (SELECT partition, max("offset") AS committed_offset FROM msgs
 SELECT 'orders-raw' AS topic, m.partition, max(m."offset") AS log_end_offset, max(c.committed_offset) AS committed_offset,
        CAST(count_if(c.committed_offset IS NULL OR m."offset" > c.committed_offset) AS BIGINT) AS lag_records
 FROM msgs m LEFT JOIN committed c ON m.partition = c.partition GROUP BY m.partition"""
+
+# --- scans, merge and gate -------------------------------------------------------------
+
+ORACLE["s4_bronze_date_scan"] = with_ctes("bronze") + """
+SELECT event_id, event_type, ingestion_date, is_duplicate FROM bronze
+WHERE ingestion_date IN ('1998-06-15', '1998-06-14', '1998-06-13') AND is_duplicate = 'false'"""
+
+ORACLE["s5_silver_date_scan"] = with_ctes("silver") + f"""
+SELECT event_id, event_type, {d('event_date')} FROM silver
+WHERE event_date BETWEEN DATE '1998-06-15' AND DATE '1998-06-17'"""
+
+ORACLE["s6_processing_date_scan"] = with_ctes("silver") + f"""
+SELECT event_id, {d('processing_date')}, {d('event_date')} FROM silver WHERE processing_date = DATE '1998-06-15'"""
+
+ORACLE["s10_merge"] = with_ctes("silver") + f"""
+SELECT event_id, {d('event_date')},
+       CASE WHEN event_date >= DATE '2000-01-01' THEN '2001-08-03' ELSE strftime(processing_date, '%Y-%m-%d') END
+         AS processing_date,
+       amount
+FROM silver"""
+
+ORACLE["k13_gate_by_date"] = with_ctes("silver") + "," + _SUITE_AGG + f""",
+b AS (SELECT CAST(ingestion_date AS DATE) AS pd, count_if(is_duplicate = 'false') AS bc FROM bronze GROUP BY 1),
+s AS (SELECT event_date AS pd, count(*) AS sc FROM silver GROUP BY 1),
+rc AS (SELECT coalesce(b.pd, s.pd) AS pd,
+              CASE WHEN abs(coalesce(bc, 0) - coalesce(sc, 0)) / greatest(coalesce(bc, 0), 1) * 100.0 <= 1.0
+                   THEN 'PASS' ELSE 'FAIL' END AS recon_status
+       FROM b FULL OUTER JOIN s ON b.pd = s.pd),
+dq AS (SELECT event_date AS pd, max(CASE WHEN overall_status = 'FAIL' THEN 1 ELSE 0 END) AS dq_fail
+       FROM suite GROUP BY event_date),
+j AS (SELECT coalesce(dq.pd, rc.pd) AS pd, dq_fail, recon_status FROM dq FULL OUTER JOIN rc ON dq.pd = rc.pd)
+SELECT {d('pd', 'processing_date')},
+       (coalesce(dq_fail = 0, false) AND coalesce(recon_status = 'PASS', false)) AS continue,
+       concat_ws('; ', CASE WHEN dq_fail IS NULL THEN 'dq: ERROR' END,
+                       CASE WHEN dq_fail = 1 THEN 'dq: critical check failed' END,
+                       CASE WHEN recon_status IS NULL THEN 'recon: ERROR' END,
+                       CASE WHEN recon_status = 'FAIL' THEN 'recon: FAIL' END) AS reasons
+FROM j"""

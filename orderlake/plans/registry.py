@@ -381,3 +381,48 @@ CONSUMED_BEFORE_MS = 946684800000  # 2000-01-01T00:00:00Z: the consumer of M11 h
 def _m11(lake):
     from orderlake.operators import monitoring
     return monitoring.consumer_lag(lake.raw, monitoring.committed_offsets(lake.raw, CONSUMED_BEFORE_MS))
+
+
+# --- scans, merge and gate -------------------------------------------------------------
+
+SCAN_DAY = "1998-06-15"
+
+
+@query("s4_bronze_date_scan")  # S4 (partition pruning when Bronze is stored)
+def _s4(lake):
+    import datetime as dt
+    from orderlake.operators import silver
+    day = dt.date.fromisoformat(SCAN_DAY)
+    days = [day - dt.timedelta(days=i) for i in range(3)]
+    return silver.read_bronze(lake.bronze, dates=days).select("event_id", "event_type", "ingestion_date", "is_duplicate")
+
+
+@query("s5_silver_date_scan")  # S5
+def _s5(lake):
+    from orderlake.operators import silver
+    return silver.read_silver(lake.silver, SCAN_DAY, through="1998-06-17").select("event_id", "event_type", "event_date")
+
+
+@query("s6_processing_date_scan")  # S6
+def _s6(lake):
+    from orderlake.operators import silver
+    return silver.by_processing_date(lake.silver, SCAN_DAY).select("event_id", "processing_date", "event_date")
+
+
+RESTAMP_DAY = "2001-08-03"
+
+
+@query("s10_merge")  # S10 (pure form), J3
+def _s10(lake):
+    from orderlake.sources import tables
+    # A restatement: every event from 2000 on is re-delivered with a later processing date.
+    source = lake.silver.where(F.col("event_date") >= F.lit("2000-01-01").cast("date")) \
+        .withColumn("processing_date", F.lit(RESTAMP_DAY).cast("date"))
+    return tables.merge(lake.silver, source, ["event_id"], order_cols=["ingested_at"]).select(
+        "event_id", "event_date", "processing_date", "amount")
+
+
+@query("k13_gate_by_date")  # K13
+def _k13(lake):
+    from orderlake.operators import quality
+    return quality.gate_by_date(_suite(lake), quality.reconcile(lake.bronze, lake.silver))

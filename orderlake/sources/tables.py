@@ -263,6 +263,18 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Dat
     return df.groupBy(*keys).agg(F.max_by(payload, order).alias("_r")).select("_r.*")
 
 
+def merge(target: DataFrame, source: DataFrame, keys: list[str], order_cols: list[str] | None = None) -> DataFrame:
+    """S10/J3 pure form: MERGE update-all / insert-all as a DataFrame.
+
+    Source rows replace target rows with the same key, other source rows
+    are inserted, the rest of the target is kept.  The source is reduced
+    to one row per key first (latest ``order_cols`` wins), so two source
+    rows can never hit one target row.
+    """
+    src = latest_per_key(source, keys, order_cols) if order_cols else source.dropDuplicates(keys)
+    return target.join(src.select(*keys), keys, "left_anti").unionByName(src, allowMissingColumns=True)
+
+
 def _publish(spark: SparkSession, path: str, stage: str, partition_col: str | None) -> None:
     manifest = json.loads(read_text(spark, f"{stage}/_READY"))
     if manifest.get("full"):
@@ -341,7 +353,7 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
         if not touched:
             return {"touched": 0}
         old = target.where(F.col(partition_col).isin(touched))
-        merged = old.join(src.select(*keys), keys, "left_anti").unionByName(src, allowMissingColumns=True)
+        merged = merge(old, src, keys)
         stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
         obs = Observation(f"upsert_{uuid.uuid4().hex[:8]}")
         clustered(merged, partition_col).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
