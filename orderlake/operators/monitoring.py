@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake import config as C
-from orderlake.functions.columns import lateness_seconds, millis_to_date
+from orderlake.functions.columns import lateness_seconds
 from orderlake.operators import ingest
 
 TRIGGER_MS = 30_000

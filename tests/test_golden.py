@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from orderlake import config as C
 from orderlake.operators import gold, ingest, quality

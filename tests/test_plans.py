@@ -1,9 +1,7 @@
 """Plan-shape checks: JVM-only expressions, partition/column pruning, pushed filters, zone independence."""
 
-import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from orderlake.operators import gold, silver
