@@ -51,8 +51,12 @@ def spread(df: DataFrame) -> DataFrame:
     so a single-split file would run the whole chain in one task.  Large
     inputs already arrive in many splits and are left untouched (no shuffle).
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without a SparkContext handle (Spark Connect): leave the scan as is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def order_lifecycles(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:

@@ -84,12 +84,18 @@ def apply_watermark(df: DataFrame, delay: str = C.WATERMARK) -> DataFrame:
 BATCH_METRICS_SCHEMA = "batch_id long, written long, duplicates long, dlq long, processed_at timestamp"
 
 
-def tag_seen_before(bronze: DataFrame, bronze_path: str, batch_id: int, horizon_days: int) -> DataFrame:
+def tag_seen_before(bronze: DataFrame, bronze_path: str, batch_id: int, horizon_days: int,
+                    max_batch_rows: int | None = C.MAX_RECORDS_PER_TRIGGER) -> DataFrame:
     """G9 (tag form): mark ids already present in Bronze from earlier batches.
 
     Only Bronze partitions within ``horizon_days`` before the batch's
-    earliest date are read (partition pruning), which bounds the lookup;
-    older duplicates stay untagged here and are removed by the Silver upsert.
+    earliest date are read (partition pruning, ``event_id`` column only),
+    which bounds the lookup; older duplicates stay untagged here and are
+    removed by the Silver upsert.  The batch's own ids are the broadcast
+    side of a semi-join: a micro-batch holds at most ``max_batch_rows``
+    records (the source's per-trigger cap), so that side has a proven size
+    bound and the Bronze window is never shuffled.  Pass ``None`` for
+    uncapped sources to let the planner choose.
     """
     spark = bronze.sparkSession
     if not tables.table_exists(spark, bronze_path):
@@ -98,10 +104,16 @@ def tag_seen_before(bronze: DataFrame, bronze_path: str, batch_id: int, horizon_
     if lo is None:
         return bronze
     start = (dt.date.fromisoformat(str(lo)) - dt.timedelta(days=horizon_days)).isoformat()
+    ids = bronze.select("event_id").distinct()
+    if max_batch_rows is not None:
+        ids = F.broadcast(ids)
     seen = (
         spark.read.parquet(bronze_path)
         .where((F.col("ingestion_date") >= F.lit(start).cast("date")) & (F.col("batch_id") != F.lit(batch_id)))
-        .select("event_id").distinct().withColumn("_seen", F.lit(True))
+        .select("event_id")
+        .join(ids, "event_id", "left_semi")
+        .distinct()
+        .withColumn("_seen", F.lit(True))
     )
     return (
         bronze.join(seen, "event_id", "left")
@@ -178,14 +190,18 @@ def dedup_within_watermark(events: DataFrame, delay: str = C.WATERMARK) -> DataF
     return apply_watermark(events, delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def hourly_orders_stream(events: DataFrame, delay: str = C.WATERMARK, dedup: bool = True) -> DataFrame:
+def hourly_orders_stream(events: DataFrame, delay: str = C.WATERMARK, dedup: bool = True,
+                         approx_customers: bool = False) -> DataFrame:
     """Hourly orders per city and category as a tumbling event-time window.
 
     In append mode a window is emitted once the watermark passes its end;
     events later than the watermark are dropped here but kept in Bronze
     (G10).  Copies of an event are dropped within the same watermark first
     (as Silver keeps first copies).  Distinct customers use a per-window
-    set, since streaming aggregations do not support DISTINCT.
+    set, since streaming aggregations do not support DISTINCT; the set is
+    bounded by the customers of one hour, city and category.  For groups
+    too hot for an exact set, ``approx_customers`` keeps a HyperLogLog
+    sketch of fixed size instead.
     """
     placed = apply_watermark(events.where(F.col("event_type") == "ORDER_PLACED"), delay)
     if dedup:
@@ -195,7 +211,8 @@ def hourly_orders_stream(events: DataFrame, delay: str = C.WATERMARK, dedup: boo
         money_sum("amount").alias("gross_revenue"),
         money_avg("amount").alias("avg_order_value"),
         F.sum("item_count").alias("total_items"),
-        F.size(F.collect_set("customer_id")).cast("long").alias("unique_customers"),
+        (F.approx_count_distinct("customer_id") if approx_customers
+         else F.size(F.collect_set("customer_id"))).cast("long").alias("unique_customers"),
         F.avg("discount_pct").alias("avg_discount_pct"),
     ).select(
         millis_to_date(F.unix_millis(F.col("w.start"))).alias("event_date"),
