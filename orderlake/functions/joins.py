@@ -2,33 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with at least this many rows is "hot".  There can be at most
-# total_rows / HOT_KEY_ROWS hot keys, so the hot part of an aggregate has a
-# size bound that makes it safe to broadcast (1e12 rows → at most 2e5 keys).
-HOT_KEY_ROWS = 5_000_000
 
+def per_key_for_join(df: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
+    """``groupBy(keys).agg(aggs)`` shaped to be joined back to ``df`` on ``keys``.
 
-def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], count_col: str,
-                 hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Left-join ``rows`` with ``per_key`` (one row per key, ``count_col`` = rows of that key).
-
-    The aggregate leaves Spark's shuffle already partitioned by the key, so
-    the sort-merge join has no shuffle of its own on that side and adaptive
-    execution cannot split a skewed partition.  Hot keys are therefore
-    split off explicitly: their rows meet their aggregate row in a
-    broadcast hash join inside the scan tasks, and only cold keys go
-    through the shuffle join.  With no hot key both broadcast branches are
-    empty and adaptive execution removes them at run time.
+    A plain aggregate leaves its shuffle already partitioned by the keys, so
+    the sort-merge join back has no exchange on that side, and adaptive
+    execution only splits skewed joins whose two inputs are ordinary
+    shuffles.  Grouping additionally by a hash of the keys gives the same
+    groups but a different partitioning; the join then shuffles the
+    (one-row-per-key) aggregate itself, and a key holding a large share of
+    the rows is split across tasks by the skew join (``skew=true`` in the
+    final plan) while its aggregate row is replicated to them.
     """
-    hot = per_key.where(F.col(count_col) >= F.lit(hot_rows))
-    cold = per_key.where(F.col(count_col) < F.lit(hot_rows)).drop(count_col)
-    hot_part = rows.join(F.broadcast(hot.drop(count_col)), keys, "inner")
-    # The anti-join condition also reads the count (never NULL for a hot key), so column pruning
-    # leaves all three uses of ``per_key`` identical and its shuffle is computed once and reused.
-    hb = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], count_col))
-    cond = [rows[k] == hb[f"_h_{k}"] for k in keys] + [hb[count_col].isNotNull()]
-    cold_part = rows.join(hb, cond, "left_anti").join(cold, keys, "left")
-    return hot_part.unionByName(cold_part)
+    return df.groupBy(*keys, F.hash(*keys).alias("_g")).agg(*aggs).drop("_g")
+
+
+def join_back(rows: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
+    """Left-join ``rows`` with ``per_key`` built by :func:`per_key_for_join`."""
+    return rows.join(per_key, keys, "left")

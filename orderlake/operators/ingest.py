@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from orderlake import config as C
 from orderlake.functions.columns import millis_to_date_string, nonblank
-from orderlake.functions.joins import HOT_KEY_ROWS, join_per_key
+from orderlake.functions.joins import join_back, per_key_for_join
 from orderlake.schemas import ORDER_EVENT, ORDER_EVENT_PARSE
 
 _EVENT_COLS = [f.name for f in ORDER_EVENT.fields]
@@ -124,21 +124,21 @@ def _arrival_order() -> Column:
     )
 
 
-def tag_duplicates(df: DataFrame, key: str | list[str] = "event_id", hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def tag_duplicates(df: DataFrame, key: str | list[str] = "event_id") -> DataFrame:
     """``is_duplicate`` = "true" for every copy of a key but the first to arrive.
 
-    Written as a partial aggregate (first arrival and copy count per key,
-    combined map-side) joined back on the key instead of a row_number
-    window, whose partitions cannot be split: a replay storm can make one
-    group of copies a large share of all rows.  Keys with ``hot_rows`` or
-    more copies are joined through a broadcast (see ``join_per_key``).
+    Written as a partial aggregate (first arrival per key, combined
+    map-side) joined back on the key instead of a row_number window, whose
+    partitions cannot be split: a replay storm can make one group of copies
+    a large share of all rows.  The aggregate is shaped so that the join
+    back is eligible for adaptive skew handling (see ``per_key_for_join``).
     Copies with the same (partition, offset) are the same Kafka record and
     are all first.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    firsts = df.groupBy(*keys).agg(F.min(_arrival_order()).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    firsts = per_key_for_join(df, keys, F.min(_arrival_order()).alias("_first"))
     return (
-        join_per_key(df, firsts, keys, "_copies", hot_rows)
+        join_back(df, firsts, keys)
         .withColumn(
             "is_duplicate",
             F.when(_arrival_order().eqNullSafe(F.col("_first")), F.lit("false")).otherwise(F.lit("true")),

@@ -4,6 +4,16 @@ from pyspark.sql import functions as F
 
 from orderlake.operators import gold, ingest
 
+SKEW_CONF = {
+    # thresholds scaled down so that a 60,000-row input counts as skewed on one machine
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+}
+
 
 def hot_input(spark, n):
     return spark.range(n).select(
@@ -16,25 +26,36 @@ def hot_input(spark, n):
     )
 
 
-def test_hot_duplicate_group_goes_through_broadcast_and_is_exact(spark):
-    n = 60_000
-    tagged = ingest.tag_duplicates(hot_input(spark, n), hot_rows=1_000)
-    rows = tagged.groupBy("event_id", "is_duplicate").count().where("event_id = 'HOT'").collect()
-    assert {r.is_duplicate: r["count"] for r in rows} == {"false": 1, "true": n // 3 - 1}
-    assert tagged.where("is_duplicate = 'false'").count() == n - n // 3 + 1
-    tagged.collect()
-    final = tagged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    # the hot key's rows meet its aggregate row in a broadcast join inside the scan tasks
-    assert "Inner, BuildRight" in final
-
-
-def test_without_hot_keys_the_broadcast_branches_vanish(spark):
-    n = 30_000
-    tagged = ingest.tag_duplicates(hot_input(spark, n))  # default threshold: nothing is hot
-    assert tagged.where("is_duplicate = 'false'").count() == n - n // 3 + 1
-    tagged.collect()
-    final = tagged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert "Inner, BuildRight" not in final  # the empty hot branch is pruned at run time
+def test_hot_duplicate_group_is_split_by_aqe_and_exact(spark):
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        tagged = ingest.tag_duplicates(hot_input(spark, n))
+        rows = tagged.collect()
+        hot = [r.is_duplicate for r in rows if r.event_id == "HOT"]
+        assert hot.count("false") == 1 and hot.count("true") == n // 3 - 1
+        assert sum(r.is_duplicate == "false" for r in rows) == n - n // 3 + 1
+        final = tagged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in final  # the hot partition was split across tasks
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_join_back_has_its_own_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # large inputs: no broadcast
+    try:
+        plan = ingest.tag_duplicates(hot_input(spark, 1_000))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # rows → join, partial → final aggregate, aggregate → join: three ordinary shuffles,
+    # so both inputs of the sort-merge join are shuffle reads, the shape the skew join needs
+    assert plan.count("ENSURE_REQUIREMENTS") == 3 and "SortMergeJoin" in plan
 
 
 def test_hot_city_hour_is_pre_aggregated(spark):
