@@ -44,6 +44,13 @@ class Lake:
     def bronze(self) -> DataFrame:
         return self.split[0]
 
+    @cached_property
+    def bronze_rows(self) -> DataFrame:
+        """Bronze rows without the duplicate tag, for metrics that never look at it
+        (same rows as ``bronze``; skips the tagging join)."""
+        valid, _ = ingest.validate(ingest.enrich(self.parsed, loaded_at_ms=0))
+        return valid.drop("value", "malformed")
+
     @property
     def dlq(self) -> DataFrame:
         return self.split[1]

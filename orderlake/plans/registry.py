@@ -169,7 +169,7 @@ def _s20(lake):
 @query("a6_event_type_distribution")  # A6, T4
 def _a6(lake):
     from orderlake.operators import quality
-    return quality.event_type_distribution(lake.bronze)
+    return quality.event_type_distribution(lake.bronze_rows)
 
 
 @query("a7_bronze_profile")  # A7, T4
@@ -341,7 +341,7 @@ def _w4(lake):
 @query("m2_records_by_layer")  # M2
 def _m2(lake):
     from orderlake.operators import monitoring
-    return monitoring.records_by_layer(lake.bronze, lake.silver)
+    return monitoring.records_by_layer(lake.bronze_rows, lake.silver)
 
 
 @query("m3_dlq_by_reason")  # M3
@@ -353,13 +353,13 @@ def _m3(lake):
 @query("m7_pipeline_lag")  # M7
 def _m7(lake):
     from orderlake.operators import monitoring
-    return monitoring.pipeline_lag(lake.bronze)
+    return monitoring.pipeline_lag(lake.bronze_rows)
 
 
 @query("m8_records_per_minute")  # M8
 def _m8(lake):
     from orderlake.operators import monitoring
-    return monitoring.records_per_minute(lake.bronze, "bronze")
+    return monitoring.records_per_minute(lake.bronze_rows, "bronze")
 
 
 @query("m9_duplicate_rate")  # M9
