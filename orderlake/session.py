@@ -13,6 +13,18 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+def _driver_memory() -> str:
+    """Driver heap for local runs: 60 % of the machine's memory, at most 8 GiB."""
+    if os.environ.get("ORDERLAKE_DRIVER_MEMORY"):
+        return os.environ["ORDERLAKE_DRIVER_MEMORY"]
+    try:
+        with open("/proc/meminfo") as f:
+            kib = int(next(line for line in f if line.startswith("MemTotal")).split()[1])
+        return f"{max(1024, min(8192, int(kib * 0.6 / 1024)))}m"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "orderlake") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -24,7 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("ORDERLAKE_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", _driver_memory())
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
