@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlake import config as C
 from orderlake.functions.columns import millis_to_date, money_avg, money_sum, payload_double
+from orderlake.functions.joins import per_key_for_join
 
 
 def hourly_orders(silver: DataFrame) -> DataFrame:
@@ -33,7 +34,8 @@ def fulfillment(silver: DataFrame) -> DataFrame:
 
     Deliveries are reduced to the first one per order before the join (a
     partial aggregate), so repeated delivery events cannot fan out the
-    placed side (SURVEY Q10) and a hot order id cannot skew the join.
+    placed side (SURVEY Q10); the aggregate is shaped so that adaptive
+    execution can split an order id that is hot on the placed side.
     Delivery hours come from the epoch millis (no time-zone dependence).
     """
     placed = silver.where(F.col("event_type") == "ORDER_PLACED").select(
@@ -43,10 +45,9 @@ def fulfillment(silver: DataFrame) -> DataFrame:
         F.col("occurred_at").alias("placed_ms"),
         F.col("event_date").alias("placed_date"),
     )
-    delivered = (
-        silver.where(F.col("event_type") == "ORDER_DELIVERED")
-        .groupBy("order_id")
-        .agg(F.min("occurred_at").alias("delivered_ms"))
+    delivered = per_key_for_join(
+        silver.where(F.col("event_type") == "ORDER_DELIVERED"), ["order_id"],
+        F.min("occurred_at").alias("delivered_ms"),
     )
     joined = placed.join(delivered, "order_id", "left")
     hours = (F.col("delivered_ms") - F.col("placed_ms")) / F.lit(float(C.MS_PER_HOUR))
