@@ -57,7 +57,8 @@ class Lake:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return silver.cast_and_extract(ingest.non_duplicates(self.bronze))
+        # First copies straight from the valid rows: one aggregate, no tagging join.
+        return silver.cast_and_extract(ingest.first_copies(self.bronze_rows))
 
     @cached_property
     def hourly(self) -> DataFrame:

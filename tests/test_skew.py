@@ -65,3 +65,13 @@ def test_hot_city_hour_is_pre_aggregated(spark):
     plan = gold.hourly_orders(s)._jdf.queryExecution().executedPlan().toString()
     # partial aggregates run before every exchange: a hot group is combined map-side
     assert plan.count("partial_") >= 1 and "Window" not in plan
+
+
+def test_first_copies_equals_tag_and_filter_and_combines_map_side(spark):
+    df = hot_input(spark, 30_000)
+    a = ingest.non_duplicates(ingest.tag_duplicates(df)).drop("is_duplicate")
+    b = ingest.first_copies(df)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert b.where("event_id = 'HOT'").first().kafka_offset == "0"
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan and "Join" not in plan  # one aggregate, combined before the shuffle
