@@ -91,10 +91,12 @@ def payment_health(silver: DataFrame) -> DataFrame:
 
 
 def payment_events(bronze: DataFrame) -> DataFrame:
-    """PAYMENT_EVENT rows from first copies of Bronze payment events (gateway from payload)."""
-    return bronze.where(
-        F.col("event_type").startswith("PAYMENT_") & (F.col("is_duplicate") == "false")
-    ).select(
+    """PAYMENT_EVENT rows from first copies of Bronze payment events (gateway from payload).
+
+    Tagged Bronze is filtered on ``is_duplicate``; untagged input must already hold first copies.
+    """
+    first = F.col("is_duplicate") == "false" if "is_duplicate" in bronze.columns else F.lit(True)
+    return bronze.where(F.col("event_type").startswith("PAYMENT_") & first).select(
         "event_id",
         "event_type",
         "order_id",

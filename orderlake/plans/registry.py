@@ -86,7 +86,8 @@ def _a3(lake):
 @query("a4_payment_health_by_gateway")  # A4
 def _a4(lake):
     from orderlake.operators import gold
-    return gold.payment_health_by_gateway(gold.payment_events(lake.bronze))
+    from orderlake.operators import ingest
+    return gold.payment_health_by_gateway(gold.payment_events(ingest.first_copies(lake.bronze_rows)))
 
 
 @query("p15_late_events")  # P15
@@ -297,7 +298,7 @@ def _s3(lake):
 @query("s19_keyed_publish")  # S19
 def _s19(lake):
     from orderlake.operators import ingest
-    pub = ingest.keyed_publish(ingest.non_duplicates(lake.bronze), num_partitions=8)
+    pub = ingest.keyed_publish(ingest.first_copies(lake.bronze_rows), num_partitions=8)
     return pub.select("key", "occurred_at",
                       F.get_json_object("value", "$.event_id").alias("json_event_id"),
                       F.get_json_object("value", "$.order_id").alias("json_order_id"))
