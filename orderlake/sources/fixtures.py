@@ -45,18 +45,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has task slots.
+    """Round-robin a scan made of fewer files than the cluster has task slots.
 
     Each order fans out into several events with JSON encoding and parsing,
-    so a single-split file would run the whole chain in one task.  Large
-    inputs already arrive in many splits and are left untouched (no shuffle).
+    so a table stored as one small file would run the whole chain in one
+    task.  Large inputs arrive as many files and are left untouched (no
+    shuffle).
     """
     try:
         slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
     except Exception:  # sessions without a SparkContext handle (Spark Connect): leave the scan as is
         return df
-    return df.repartition(slots) if splits < slots else df
+    return df.repartition(slots) if len(df.inputFiles()) < slots else df
 
 
 def order_lifecycles(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
