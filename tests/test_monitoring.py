@@ -67,3 +67,24 @@ def test_dq_json_report_shape(spark, tmp_path):
     rep = [json.loads(line) for p in (tmp_path / "report").glob("part-*.json") for line in p.read_text().splitlines()]
     assert len(rep) == 1 and len(rep[0]["critical"]) == 5 and len(rep[0]["warning"]) == 3
     assert rep[0]["overall_status"] == "FAIL"  # one row is below the 100-row minimum
+
+
+def test_conform_casts_and_orders_to_contract(spark):
+    hourly = gold_hourly(spark)
+    out = serving.conform(hourly.withColumn("processing_date", F.col("event_date"))
+                          .withColumn("gold_loaded_at", F.current_timestamp()), FACT_HOURLY_ORDERS)
+    assert out.columns == FACT_HOURLY_ORDERS.schema.fieldNames()
+    assert [f.dataType for f in out.schema.fields] == [f.dataType for f in FACT_HOURLY_ORDERS.schema.fields]
+
+
+def test_serving_layout_clusters_by_contract_keys(spark):
+    laid = serving.serving_layout(gold_hourly(spark), FACT_HOURLY_ORDERS, num_partitions=4)
+    plan = laid._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(event_date" in plan and "Sort [event_date" in plan
+    assert laid.rdd.getNumPartitions() == 4
+
+
+def gold_hourly(spark):
+    from orderlake.operators import gold
+    from orderlake.plans.chain import Lake
+    return gold.hourly_orders(Lake(spark, SF_SMALL).silver)

@@ -119,3 +119,12 @@ def test_export_tables_per_date(spark, tmp_path):
         .write.parquet(src)
     counts = tables.export_tables(spark, {"fact": src}, str(tmp_path / "out"), D1)
     assert counts == {"fact": 1}
+
+
+def test_upsert_key_lookup_is_bounded_by_partitions(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    tables.upsert(frame(spark, [("a", D1, 1.0, 1), ("b", D2, 2.0, 1), ("c", D3, 3.0, 1)]), path, ["event_id"],
+                  "event_date", order_cols=["ingested_at"])
+    m = tables.upsert(frame(spark, [("c", D3, 30.0, 2)]), path, ["event_id"], "event_date",
+                      order_cols=["ingested_at"], key_partitions=F.col("event_date") == F.lit(D3))
+    assert m["touched"] == 1 and snapshot(spark, path) == [("a", D1, 1.0), ("b", D2, 2.0), ("c", D3, 30.0)]
