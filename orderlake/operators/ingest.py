@@ -165,8 +165,12 @@ def bronze_split(raw: DataFrame, loaded_at_ms: int | None = None) -> tuple[DataF
     """Parse → enrich → validate → tag: (Bronze rows, dead-letter rows) of one batch."""
     enriched = enrich(parse_messages(raw), loaded_at_ms)
     valid, invalid = validate(enriched)
-    bronze = tag_duplicates(valid.drop("value", "malformed"))
-    dlq = invalid.drop("malformed")
+    # Bronze is partitioned by the event date: rows without an event time go to the
+    # dead letters instead of a NULL partition.
+    timed = F.col("occurred_at").isNotNull()
+    bronze = tag_duplicates(valid.where(timed).drop("value", "malformed"))
+    untimed = valid.where(~timed).withColumn("validation_failure", F.lit("missing_event_time"))
+    dlq = invalid.unionByName(untimed).drop("malformed")
     return bronze, dlq
 
 

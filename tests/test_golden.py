@@ -152,3 +152,12 @@ def test_sla_status_and_first_delivery(spark):
     assert out == {"o1": ("ON_TIME", 10.0), "o2": ("PENDING", None)}
     sla = gold.daily_sla(silver_rows(spark, rows)).collect()
     assert sum(r.order_count for r in sla) == 2  # repeated deliveries do not fan out
+
+
+def test_row_without_event_time_goes_to_dead_letters(spark):
+    value = ('{"event_id":"e1","event_type":"ORDER_PLACED","order_id":"o1","customer_id":"c1",'
+             '"payload":{"city":"X"}}')
+    raw = spark.createDataFrame([("o1", value, "orders-raw", "0", "1", T0)],
+                                "key string, value string, topic string, partition string, offset string, kafka_timestamp long")
+    bronze, dlq = ingest.bronze_split(raw, loaded_at_ms=0)
+    assert bronze.count() == 0 and dlq.first().validation_failure == "missing_event_time"
