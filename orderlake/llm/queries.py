@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import chat, exact_dedup, packing, sharding
+from orderlake.llm import chat, decontaminate, exact_dedup, html_extract, license_scan, packing, sharding, toxicity, warc
 from orderlake.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(table(spark, sf_dir, "pages"))
+
+
 def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     extra = spark.sql("SELECT -7L AS conv_id, t AS turn, r AS role, x AS text FROM VALUES (0L, 'user', :x), (1L, 'assistant', :x) AS v(t, r, x)", {"x": said})
@@ -26,11 +34,30 @@ def op5_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.content_sort(table(spark, sf_dir, "documents"))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op3_chat_windows, op4_vector_shards, op5_content_sort, op9_packing)}
+def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_warc_index, op3_chat_windows, op4_vector_shards, op5_content_sort, op6_main_text,
+        op8_license_scan, op9_packing, op10_toxic_segments,
+    )
+}
 
 ORACLE = {
     "op3_chat_windows": r"""
