@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from orderlake.llm.common import SPACES, checkpoint, per_key
 
 SALTS = 64
+#: Characters of a text that the splitters see; texts with the same prefix are told apart by a hash, then in full.
+PREFIX = 32
 
 
 def normalised(text: Column) -> Column:
@@ -43,10 +45,12 @@ def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("chars"),
         F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).cast("int").alias("salt"),
     )
-    run = Window.partitionBy("norm", "salt").orderBy(F.desc("chars"), F.asc_nulls_last("id"))
+    # Splitters are drawn from a prefix and a hash, so the sample that reaches the driver stays small.
+    rows = rows.select("*", F.substring("norm", 1, PREFIX).alias("prefix"), F.xxhash64("norm").alias("spread"))
+    run = Window.partitionBy("prefix", "spread", "salt", "norm").orderBy(F.desc("chars"), F.asc_nulls_last("id"))
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     runs = (
-        rows.repartitionByRange("norm", "salt")
+        rows.repartitionByRange("prefix", "spread", "salt")
         .select(
             "*",
             F.first("id").over(run).alias("run_id"),

@@ -264,7 +264,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     found = site_templates(rows, min_pages, min_share)
     blocks = max(1, -(-found.count() // BLOCK))
     rows = rows.select("page_id", "url", "html", F.xxhash64("host").alias("host"))
-    schema = rows.select("page_id", "url").schema.add("text", "string").add("n_chars", "long")
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("page_id", "url")) + ", text string, n_chars long"
     out = None
     for block in range(blocks):
         by_host: dict[int, set[int]] = {}

@@ -27,10 +27,12 @@ from orderlake.llm.common import checkpoint, map_arrow
 
 #: Labelled rows that training uses at most; a larger table is thinned by a hash of the identifier.
 MAX_LABELLED = 200_000
-#: A feature is listed if this many toxic training texts have it, and used if its log-odds are so many standard errors above 0.
-MIN_TEXTS, MIN_Z = 4, 4.5
-#: Weight of the prior, in documents.
-PRIOR = 20.0
+#: A feature is listed if this many toxic training texts have it, and used if the signed root of its likelihood ratio is above MIN_Z.
+MIN_TEXTS, MIN_Z = 4, 4.0
+#: Weight of the prior in documents: the same for each feature, and shared out as the features are over all documents.
+FLAT, PRIOR = 1.0, 20.0
+#: One labelled document in so many is kept for calibration and not used for the weights.
+CALIBRATE = 5
 #: Share of clean labelled texts that may be labelled wrongly; so many of the best clean segments don't count for K.
 LABEL_NOISE = 0.002
 #: Words whose weight a task remembers at most.
@@ -160,35 +162,44 @@ class Model:
         return math.exp(-math.exp(-total)) if total > -6 else 0.0
 
 
+def root_ratio(y1: int, y0: int, n1: int, n0: int) -> float:
+    """Signed root of the likelihood ratio of y1 in n1 against y0 in n0."""
+    e1, e0 = (y1 + y0) * n1 / (n1 + n0), (y1 + y0) * n0 / (n1 + n0)
+    g = 2 * sum(y * math.log(y / e) for y, e in ((y1, e1), (y0, e0)) if y)
+    return math.copysign(math.sqrt(max(g, 0.0)), y1 - e1)
+
+
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
     """Fit on the labelled rows that aren't held out; the prior and the EVD constant come from all documents."""
-    rows = training_rows(docs, labels, max_labelled)
-    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = training_rows(docs, labels, max_labelled).withColumn("later", F.pmod(F.xxhash64("doc_id", F.lit("later")), F.lit(CALIBRATE)) == 0)
+    fit = F.when(~F.col("later"), F.col("toxic"))
+    n = {r["toxic"]: r["n"] for r in rows.where(~F.col("later")).groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_clean:
         return Model({}, -0.01)
     # At most max_labelled rows of two numbers.
     kinds = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(rows), "doc_id", "left")
-    toxic = count_features(kinds.where("toxic = 1").select("text", F.lit(0).alias("kind")), None, 1).where(F.col("n0") >= MIN_TEXTS)
+    toxic = count_features(kinds.where(fit == 1).select("text", F.lit(0).alias("kind")), None, 1).where(F.col("n0") >= MIN_TEXTS)
     listed = {r["feature"] for r in toxic.select("feature").collect()}
-    counted = count_features(kinds.select("text", F.when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, 2).alias("kind")), listed, 3).collect()
+    counted = count_features(kinds.select("text", F.when(fit == 1, 1).when(fit == 0, 2).alias("kind")), listed, 3).collect()
     n_all = kinds.count()
     weights = {}
     for r in counted:
         share = r["n0"] / max(n_all, 1)
-        a = PRIOR * share
+        a = FLAT + PRIOR * share
         y1, y0 = r["n1"] + a, r["n2"] + a
-        odds = math.log(y1 / max(n_toxic + PRIOR - y1, 0.5)) - math.log(y0 / max(n_clean + PRIOR - y0, 0.5))
-        if odds / math.sqrt(1 / y1 + 1 / y0) >= MIN_Z and odds > 1:
+        odds = math.log(y1 / max(n_toxic + FLAT + PRIOR - y1, 0.5)) - math.log(y0 / max(n_clean + FLAT + PRIOR - y0, 0.5))
+        if odds > 1 and root_ratio(r["n1"], r["n2"], n_toxic, n_clean) >= MIN_Z:
             weights[r["feature"]] = odds
     model = Model(weights, 0.0)
-    toxic_share, clean_share, clean_hits, tokens = _calibrate(kinds.where("toxic IS NOT NULL"), model)
+    # Calibrated on documents that had no part in the weights.
+    toxic_share, clean_share, clean_hits, tokens = _calibrate(kinds.where("later"), model)
     model.other = math.log((1 - toxic_share) / (1 - min(clean_share, 0.5 * toxic_share))) if toxic_share > 0 else -0.01
     model.other = min(model.other, -1e-3)
     # K: the largest K for which K N exp(-S) is the number of clean segments of score S or more (one half added).
     scores = np.sort(np.array(clean_hits))[::-1]
     k = 0.5 * math.exp(min(weights.values(), default=0.0)) / max(tokens, 1)
-    noise = int(LABEL_NOISE * n_clean)
+    noise = int(LABEL_NOISE * n_clean / CALIBRATE)
     for rank, s in enumerate(scores[noise:], 1):
         k = max(k, (rank + 0.5) * math.exp(min(s, 50.0)) / max(tokens, 1))
     model.k = k
@@ -228,7 +239,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    schema = rows.select("doc_id", "held_out").schema.add("score", "double").add("predicted", "int").add("segments", "array<struct<first:int,last:int,score:double>>")
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int, segments array<struct<first:int,last:int,score:double>>"
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
