@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import chat, decontaminate, exact_dedup, html_extract, license_scan, packing, sharding, toxicity, warc
+from orderlake.llm import chat, decontaminate, exact_dedup, html_extract, jaccard_join, license_scan, packing, sharding, toxicity, warc
 from orderlake.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_warc_index, op3_chat_windows, op4_vector_shards, op5_content_sort, op6_main_text,
-        op8_license_scan, op9_packing, op10_toxic_segments,
+        op7_jaccard_join, op8_license_scan, op9_packing, op10_toxic_segments,
     )
 }
 
