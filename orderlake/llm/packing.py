@@ -12,6 +12,8 @@ that made them unless ``with_ids`` asks for them.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -30,32 +32,71 @@ GROUP_ROWS = 100_000
 CACHE_WORDS = 400_000
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class Words(dict):
+    """Little-endian unsigned 32-bit ids of words (UTF-8), remembered up to CACHE_WORDS of them.
+
+    For a BPE tokenizer that splits words into runs of letters, single digits
+    and runs of marks, the model itself is asked for each such run; any other
+    word (and any word that may hold a special token) goes through the whole
+    tokenizer.  Both give the same ids.
+    """
+
+    #: Characters for which normalising is lower-casing and the pre-tokenizer is the pattern below.
+    PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+    RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+    def __init__(self, path: str):
+        super().__init__()
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.table = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in [*range(0xDF, 0xF7), *range(0xF8, 0x100)]}
+        self.runs: dict[str, bytes] = {}
+        # The short way is taken only if this tokenizer is built as assumed.
+        self.fast = all(self._short(w) == self._whole(w) for w in ("they're", "The,", "Ça-va!'s", "x9É8?", "straße'll", "übermäßig...", "don't", "A1b2"))
+
+    def _short(self, word: str) -> bytes:
+        out = []
+        for run in self.RUNS.findall(word.lower()):
+            ids = self.runs.get(run)
+            if ids is None:
+                if len(self.runs) > CACHE_WORDS:
+                    self.runs.clear()
+                plain = run if run.isascii() else run.translate(self.table)
+                ids = self.runs[run] = _bytes([t.id for t in self.model.tokenize(plain)])
+            out.append(ids)
+        return b"".join(out)
+
+    def _whole(self, word: str) -> bytes:
+        return _bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def __missing__(self, raw: bytes) -> bytes:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        word = raw.decode("utf-8", "replace")
+        ids = self[raw] = self._short(word) if self.fast and "<|" not in word and self.PLAIN.fullmatch(word) else self._whole(word)
+        return ids
+
+
 class WordTokenizer:
     """Ids of whole texts through a tokenizer whose pre-tokens never cross ASCII white space.
 
-    Words are looked up in a bounded memory; the unknown words of a batch are
-    encoded together.  The result equals encoding the text as one string.
+    The result equals encoding the text as one string.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        self.words = Words(path)
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[str | None], end_id: int) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, then ``end_id``."""
-        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        for words in split:
-            new = list({w for w in words if w not in known})
-            for i in range(0, len(new), 2000):
-                part = new[i : i + 2000]
-                for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, dtype="<u4").tobytes()
-            yield b"".join([known[w] for w in words]) + np.array([end_id], dtype="<u4").tobytes()
+    def encode(self, text: str | None, end_id: int) -> bytes:
+        """Little-endian unsigned 32-bit ids of a text, then ``end_id``."""
+        words = (text or "").encode("utf-8", "surrogatepass").split()
+        return b"".join(map(self.words.__getitem__, words)) + end_id.to_bytes(4, "little")
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -131,7 +172,8 @@ def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int, with_ids:
                 part = batch.slice(at, 64)
                 out: list[list] = [[] for _ in schema.names]
                 ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                for doc, raw in zip(ids, tok.encode(texts, end_id), strict=True):
+                for doc, text in zip(ids, texts, strict=True):
+                    raw = tok.encode(text, end_id)
                     n = len(raw) // 4
                     for start in range(0, len(raw), width):
                         piece = raw[start : start + width]
