@@ -136,3 +136,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> D
         part = map_arrow(rows, scan, SCHEMA)
         out = part if k == 0 else out.unionByName(part)
     return out
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, all columns kept; no shuffle."""
+    at = docs.columns.index("text")
+    for block in item_blocks(benchmark):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+
+        def keep(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            items = Items(sent.value, rate)
+            for batch in batches:
+                clean = [not matches(items, squeeze((t or "").encode("utf-8", "surrogatepass"))[0]) for t in batch.column(at).to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        docs = map_arrow(docs, keep, docs.schema)
+    return docs

@@ -74,11 +74,16 @@ def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns kept; copies with the same identifier collapse too.
+    """One row of ``docs`` for each normalised text, the one that stays, all columns kept.
 
-    The decision is carried by identifier and text digest, so the texts are
-    shuffled once for the sort and the filter only joins narrow rows to them.
+    Rows that repeat both identifier and text collapse to one of them.  The
+    decision is carried by identifier and text digest, so the join adds narrow
+    rows to the texts.
     """
     keep = content_sort(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_keep"), F.col("text_sha256").alias("_sha")).distinct()
-    sha = F.sha2(F.encode(normalised(docs[text_col]), "UTF-8"), 256)
-    return docs.join(keep, docs[id_col].eqNullSafe(F.col("_keep")) & (sha == F.col("_sha")), "left_semi")
+    sha = F.sha2(F.encode(normalised(F.col(text_col)), "UTF-8"), 256)
+    # A null identifier is told apart from the rest by its own flag, so that the join is an ordinary one.
+    rows = docs.withColumns({"_sha_": sha, "_id_": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "_null_": F.col(id_col).isNull()})
+    keep = keep.select("_sha", F.coalesce(F.col("_keep").cast("string"), F.lit("")).alias("_keep"), F.col("_keep").isNull().alias("_none"))
+    rows = rows.join(keep, (F.col("_sha_") == F.col("_sha")) & (F.col("_id_") == F.col("_keep")) & (F.col("_null_") == F.col("_none")), "left_semi")
+    return rows.dropDuplicates(["_sha_", "_id_", "_null_"]).select(*docs.columns)

@@ -359,3 +359,16 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> D
     named = named.join(best, "root").select(F.col("node").alias("sid"), "component_id")
     whole = reps.select("sid", "rep").join(named, "sid", "left").select("sid", F.coalesce("component_id", "rep").alias("component_id"))
     return own.join(whole, "sid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that name their component, all columns kept.
+
+    Rows without an identifier stay.  An identifier that is there more than
+    once goes only if all its rows would.
+    """
+    found = jaccard_components(docs, n, percent).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min((F.col("component_id") != F.col("doc_id")).cast("int")).alias("go"))
+    gone = checkpoint(found.where("go = 1").select(F.col("doc_id").alias("_gone")))
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

@@ -256,3 +256,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     return map_arrow(rows, scan, schema)
+
+
+def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` whose text is not predicted toxic, all columns kept; no shuffle."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        for batch in batches:
+            clean = [m.score(*m.segments(text)) < 0.5 for text in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return map_arrow(docs, keep, docs.schema)
