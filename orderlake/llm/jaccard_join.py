@@ -15,7 +15,7 @@
 4. Links become components, named by their smallest document.
 
 What is exact: sets (up to 64-bit hash collisions), the similarity of each
-pair that the trie compares, and the prefix of sets of up to about 200 hashes.
+pair that the trie compares, and the prefix of sets of up to about 150 hashes.
 Longer sets use the first SLOTS hashes only; each of those differs from its
 partner's with a chance of at most 0.15, so a link is missed with a chance of
 less than 1e-12.
@@ -38,15 +38,16 @@ from orderlake.llm.common import checkpoint, groups, map_arrow, per_key
 N = 4
 PERCENT = 85
 #: Hashes of a set that candidates look at, and those that count towards its sketch.
-SLOTS, SKETCH = 32, 64
+SLOTS, SKETCH = 24, 48
 #: A hash in more sketches than this goes last in the order.
 HOT = 64
-#: Sketches with fewer other hashes than LOW link through hot hashes; so do their possible partners below HIGH.
-LOW, HIGH = 16, 36
-#: Hashes two long sets' sketches must share to stay candidates (64 expected share 54).
-SKETCH_SHARED = 24
+#: Sketches with fewer ordinary hashes than this link through hot hashes too.  Sets with fewer than 12 of 48 need it;
+#: a partner that similar has 30 or more with a chance of about 1e-12 only.
+HIGH = 30
+#: Hashes two long sets' sketches must share to stay candidates (at the threshold about 40 of 48 are shared).
+SKETCH_SHARED = 16
 #: Hashes in one trie block, and identifiers in one broadcast (beyond it the texts are joined by a shuffle).
-BLOCK = 2_000_000
+BLOCK = 500_000
 BROADCAST_IDS = 1_000_000
 
 
@@ -136,7 +137,7 @@ def _prefix_rows(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 def _near(sizes: np.ndarray, sketches: list[bytes], percent: int) -> Iterator[tuple[int, int]]:
     """Edges that join the members of a small group whose sizes and sketches allow a link."""
     m = len(sizes)
-    values = [np.frombuffer(s, np.uint16) for s in sketches]
+    values = [np.frombuffer(s, np.int16) for s in sketches]
     flat = np.concatenate(values)
     names, inverse = np.unique(flat, return_inverse=True)
     inc = np.zeros((m, len(names)), np.float32)
@@ -168,7 +169,7 @@ def families(reps: DataFrame, percent: int) -> DataFrame:
     # Hashes with the same holders are one group.
     lists = warm.groupBy("token").agg(F.array_sort(F.collect_list("sid")).alias("sids")).where(F.size("sids").between(2, 4 * HOT))
     lists = lists.groupBy("sids").agg(F.min("token").alias("token"))
-    cut = F.transform("toks", lambda t: F.pmod(t, F.lit(65536)))
+    cut = F.transform("toks", lambda t: (F.pmod(t, F.lit(65536)) - 32768).cast("short"))
     sketch = reps.select("sid", "n", cut.alias("sketch"))
     members = lists.select("token", F.explode("sids").alias("sid")).join(sketch, "sid")
 
@@ -176,7 +177,7 @@ def families(reps: DataFrame, percent: int) -> DataFrame:
         seen: set[tuple[bytes, bytes]] = set()
         for t in groups(batches, ["token"]):
             sid = t.column("sid").to_pylist()
-            sketches = [np.array(s, np.uint16).tobytes() for s in t.column("sketch").to_pylist()]
+            sketches = [np.array(s, np.int16).tobytes() for s in t.column("sketch").to_pylist()]
             for i, j in _near(t.column("n").to_numpy(), sketches, percent):
                 seen.add((sid[i], sid[j]))
             if len(seen) > 100_000:
@@ -207,20 +208,22 @@ class Trie:
         self.sizes = np.array([len(s) for s in sets], np.int64)
         values, inverse, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         order = np.lexsort((values, -df))
-        rank = np.empty(len(values), np.int64)
-        rank[order] = np.arange(len(values))
+        rank = np.empty(len(values), np.int32)
+        rank[order] = np.arange(len(values), dtype=np.int32)
         cut = int((df > 1).sum())  # hashes of one set only come last and match nothing
-        ranks, owner = rank[inverse], np.repeat(np.arange(len(sets)), self.sizes)
+        ranks = rank[inverse]
+        del values, inverse, order, rank
         keep = ranks < cut
-        ranks, owner = ranks[keep], owner[keep]
-        by_set = np.lexsort((ranks, owner))
-        first = np.searchsorted(owner[by_set], np.arange(len(sets) + 1))
-        paths = [ranks[by_set][first[i] : first[i + 1]] for i in range(len(sets))]
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)[keep]
+        ranks = ranks[keep]
+        ranks = ranks[np.lexsort((ranks, owner))]
+        first = np.searchsorted(owner, np.arange(len(sets) + 1))
+        paths = [ranks[first[i] : first[i + 1]] for i in range(len(sets))]
         # Postings of the queries, by rank.
         number = np.full(len(sets), -1)
         number[queries] = np.arange(len(queries))
         mine = number[owner] >= 0
-        r, q = ranks[mine], number[owner[mine]]
+        r, q = ranks[mine], number[owner[mine]].astype(np.int32)
         by_rank = np.argsort(r, kind="stable")
         self.holders = q[by_rank]
         self.begin = np.searchsorted(r[by_rank], np.arange(cut + 1))
@@ -239,7 +242,7 @@ class Trie:
         """For each query, how many of the given hashes it holds."""
         lo, n = self.begin[ranks], self.begin[ranks + 1] - self.begin[ranks]
         at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.bincount(self.holders[at], minlength=len(self.queries))
+        return np.bincount(self.holders[at], minlength=len(self.queries)).astype(np.int32)
 
     def need(self, size: int) -> np.ndarray:
         """Least overlap of each query with a set of this size."""
@@ -249,7 +252,7 @@ class Trie:
         """(set, queries that link to it), as indices of the sets given."""
         leaf_sizes = self.sizes[self.place]
         lengths = np.array([len(p) for p in self.paths], np.int64)
-        stack = [(0, len(self.paths), 0, np.zeros(len(self.queries), np.int64))]
+        stack = [(0, len(self.paths), 0, np.zeros(len(self.queries), np.int32))]
         while stack:
             lo, hi, depth, overlap = stack.pop()
             if hi - lo == 1:

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes handled at once; a longer text is handled alone.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15)
