@@ -51,7 +51,9 @@ HISTORY_ROWS = 5
 SAMPLE_MESSAGES = 20
 # --- end of fixed values ----------------------------------------------------
 
-# Days of late deliveries / late events the daily job restates.
-RESTATE_DAYS = 3
+# Event times outside this range (epoch millis, end excluded: 1970-01-01 to 2100-01-01) go to the dead letters.
+MIN_EVENT_MS, MAX_EVENT_MS = 0, 4_102_444_800_000
+# Payload numbers of this size or more are taken as unreadable.
+MAX_NUMBER = 1e15
 MS_PER_HOUR = 3_600_000
 MS_PER_DAY = 86_400_000

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from orderlake.config import MS_PER_DAY, MS_PER_HOUR, UNKNOWN
+from orderlake.config import MAX_NUMBER, MS_PER_DAY, MS_PER_HOUR, UNKNOWN
 
 __all__ = [
     "millis_to_timestamp",
@@ -26,7 +26,7 @@ __all__ = [
     "nonblank",
     "pct",
     "safe_div",
-    "cents",
+    "money",
     "money_sum",
     "money_avg",
 ]
@@ -38,7 +38,7 @@ def millis_to_timestamp(c: Column | str) -> Column:
 
 def millis_to_date(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.date_from_unix_date(F.floor(c / F.lit(MS_PER_DAY)).cast("int"))
+    return F.date_from_unix_date(((c - F.pmod(c, F.lit(MS_PER_DAY))) / F.lit(MS_PER_DAY)).cast("int"))
 
 
 def millis_to_hour(c: Column | str) -> Column:
@@ -69,15 +69,15 @@ def payload_str(key: str, default: str | None = UNKNOWN, payload: str = "payload
 
 
 def payload_double(key: str, default: float = 0.0, payload: str = "payload") -> Column:
-    """Lenient numeric: unparsable text becomes the default instead of raising under ANSI."""
-    return F.coalesce(F.col(payload).getItem(key).try_cast("double"), F.lit(float(default)))
+    """Lenient numeric: text that is no number, not finite or out of range becomes the default."""
+    value = F.col(payload).getItem(key).try_cast("double")
+    # NaN sorts above every number, so it fails the range test too.
+    return F.when(F.abs(value) < F.lit(MAX_NUMBER), value).otherwise(F.lit(float(default)))
 
 
 def payload_int(key: str, default: int = 0, payload: str = "payload") -> Column:
     """Integer through double so that ``"2.7"`` truncates to 2 like a legacy cast."""
-    return F.coalesce(
-        F.col(payload).getItem(key).try_cast("double").try_cast("int"), F.lit(int(default))
-    )
+    return F.coalesce(payload_double(key, default, payload).try_cast("int"), F.lit(int(default)))
 
 
 def lateness_seconds(ingested: str = "ingested_at", occurred: str = "occurred_at") -> Column:
@@ -101,17 +101,18 @@ def pct(num: Column, den: Column, digits: int = 2) -> Column:
     return F.round(safe_div(num, den) * F.lit(100.0), digits)
 
 
-def cents(c: Column | str) -> Column:
+def money(c: Column | str) -> Column:
+    """The amount as a decimal with six places, the unit of all money sums."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c * F.lit(100)).cast("long")
+    return c.cast("decimal(38,6)")
 
 
 def money_sum(c: Column | str) -> Column:
-    """Sum of a money column, exact in cents: the result does not depend on the
+    """Sum of a money column, exact to six places: the result does not depend on the
     order in which partial sums meet after a shuffle, so reruns are bit-identical."""
-    return F.sum(cents(c)) / F.lit(100.0)
+    return F.sum(money(c)).cast("double")
 
 
 def money_avg(c: Column | str) -> Column:
-    """Average of a money column from the exact cent sum (NULLs ignored like ``avg``)."""
-    return F.sum(cents(c)) / F.count(F.col(c) if isinstance(c, str) else c) / F.lit(100.0)
+    """Average of a money column from the exact sum (NULLs ignored like ``avg``)."""
+    return money_sum(c) / F.count(F.col(c) if isinstance(c, str) else c)

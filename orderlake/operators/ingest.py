@@ -75,10 +75,16 @@ def enrich(df: DataFrame, loaded_at_ms: int | None = None) -> DataFrame:
         "*",
         F.lit(C.PIPELINE_VERSION).alias("pipeline_version"),
         loaded.alias("bronze_loaded_at"),
-        millis_to_date_string("occurred_at").alias("ingestion_date"),
+        F.when(_time_ok(), millis_to_date_string("occurred_at")).alias("ingestion_date"),
     )
 
 
+def _time_ok() -> Column:
+    """The event time is there and lies in the range that dates and partitions can hold."""
+    t = F.col("occurred_at")
+    return F.coalesce((t >= F.lit(C.MIN_EVENT_MS)) & (t < F.lit(C.MAX_EVENT_MS)), F.lit(False))
+
+
 def _required_ok() -> Column:
     return reduce(lambda a, b: a & b, [nonblank(f) for f in C.REQUIRED_FIELDS])
 
@@ -88,18 +94,24 @@ def _type_ok() -> Column:
 
 
 def failure_reason(malformed: Column | None = None) -> Column:
-    """V2: first matching reason; unparsable text gets its own reason."""
+    """V2: first matching reason; unparsable text gets its own reason, as do event times
+    that are missing or out of range (Bronze is partitioned by the event date)."""
     chain = F.when(malformed, F.lit("malformed_json")) if malformed is not None else None
     req, typ = _required_ok(), _type_ok()
     chain = (chain.when(~req, F.lit("missing_required_fields")) if chain is not None
              else F.when(~req, F.lit("missing_required_fields")))
-    return chain.when(~typ, F.lit("invalid_event_type")).otherwise(F.lit("unknown"))
+    return (
+        chain.when(~typ, F.lit("invalid_event_type"))
+        .when(F.col("occurred_at").isNull(), F.lit("missing_event_time"))
+        .when(~_time_ok(), F.lit("invalid_event_time"))
+        .otherwise(F.lit("unknown"))
+    )
 
 
 def with_validation(df: DataFrame) -> DataFrame:
     """V1/V2 in one projection: ``is_valid`` plus ``validation_failure`` (NULL when valid)."""
     malformed = F.coalesce(F.col("malformed"), F.lit(False)) if "malformed" in df.columns else None
-    ok = _required_ok() & _type_ok()
+    ok = _required_ok() & _type_ok() & _time_ok()
     if malformed is not None:
         ok = ok & ~malformed
     return df.select("*", ok.alias("is_valid")).withColumn(
@@ -165,12 +177,8 @@ def bronze_split(raw: DataFrame, loaded_at_ms: int | None = None) -> tuple[DataF
     """Parse → enrich → validate → tag: (Bronze rows, dead-letter rows) of one batch."""
     enriched = enrich(parse_messages(raw), loaded_at_ms)
     valid, invalid = validate(enriched)
-    # Bronze is partitioned by the event date: rows without an event time go to the
-    # dead letters instead of a NULL partition.
-    timed = F.col("occurred_at").isNotNull()
-    bronze = tag_duplicates(valid.where(timed).drop("value", "malformed"))
-    untimed = valid.where(~timed).withColumn("validation_failure", F.lit("missing_event_time"))
-    dlq = invalid.unionByName(untimed).drop("malformed")
+    bronze = tag_duplicates(valid.drop("value", "malformed"))
+    dlq = invalid.drop("malformed")
     return bronze, dlq
 
 
@@ -208,9 +216,12 @@ def route(df: DataFrame, topic: str = C.ORDERS_TOPIC) -> DataFrame:
 def dlq_envelope(df: DataFrame, failed_at_ms: int, topic: str = C.ORDERS_TOPIC) -> DataFrame:
     """V4: producer dead-letter envelope for rejected events, keyed by event_id or ``unknown``."""
     rejected = route(df, topic).where(~F.col("producer_valid"))
+    # The text as it came, where it is carried: a message that isn't JSON has no fields to encode again.
+    encoded = F.to_json(F.struct(*[F.col(c) for c in _EVENT_COLS]))
+    original = F.coalesce(F.col("value"), encoded) if "value" in df.columns else encoded
     return rejected.select(
         F.coalesce(F.col("event_id"), F.lit("unknown")).alias("key"),
-        F.to_json(F.struct(*[F.col(c) for c in _EVENT_COLS])).alias("original_event"),
+        original.alias("original_event"),
         F.col("producer_reason").alias("failure_reason"),
         F.lit(topic).alias("source_topic"),
         F.lit(int(failed_at_ms)).cast("long").alias("failed_at"),

@@ -297,7 +297,12 @@ def gate(suite_results: DataFrame | None, recon: DataFrame | None) -> tuple[bool
     if recon is None:
         reasons.append("recon: ERROR")
     else:
-        if recon.where(F.col("status") != "PASS").limit(1).count() > 0:
+        row = recon.agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("status").isNull()).alias("e"), F.count_if(F.col("status") != "PASS").alias("f")
+        ).first()
+        if row["n"] == 0 or row["e"] > 0:
+            reasons.append("recon: ERROR")
+        if row["f"] > 0:
             reasons.append("recon: FAIL")
     return (not reasons), reasons
 

@@ -71,8 +71,10 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, effective_date) -> DataFrame
     type-1 device (same city, D2), close and open a version (changed city,
     D3/D4), correct in place (changed city on the version's own first day),
     or insert (new key, D5; an empty ``dim`` is the initial load, D6).
-    Snapshots older than the current version never open a version, so
-    applying the same snapshot twice equals applying it once.
+    Only a snapshot that saw the customer after the current row's
+    ``last_seen_at`` may change the city, so applying a snapshot twice equals
+    applying it once and an older snapshot changes no city; what it knows
+    belongs into the history, which ``scd2_history`` rebuilds (D7).
     """
     eff = F.lit(_date(effective_date))
     cur = dim.where("is_current").select(*[F.col(c).alias(f"d_{c}") for c in DIM_COLUMNS])
@@ -90,6 +92,8 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, effective_date) -> DataFrame
         in_dim & in_snap & F.col("s_city").isNotNull()
         & ~F.col("s_city").eqNullSafe(F.col("d_city"))
         & (eff >= F.col("d_effective_from"))
+        # A snapshot that saw the customer no later than the dimension did tells nothing about the current city.
+        & F.coalesce(F.col("s_last_seen_at") > F.col("d_last_seen_at"), F.col("d_last_seen_at").isNull())
     )
     opens = changed & (eff > F.col("d_effective_from"))  # a new version; otherwise corrected in place
     seen = F.greatest(F.col("d_last_seen_at"), F.col("s_last_seen_at"))
@@ -145,7 +149,11 @@ def scd2_history(silver: DataFrame) -> DataFrame:
     the previous known city; days without a known city carry the previous
     one (or UNKNOWN before any is known).
     """
-    days = daily_customer_state(silver)
+    return history_from_days(daily_customer_state(silver))
+
+
+def history_from_days(days: DataFrame) -> DataFrame:
+    """D7 from the daily customer states (:func:`daily_customer_state`), however they are stored."""
     by_day = Window.partitionBy("customer_id").orderBy("event_date")
     carried = days.withColumn(
         "city",

@@ -28,10 +28,6 @@ class Lake:
     def raw(self) -> DataFrame:
         return fixtures.raw_messages(self.table("orders"), self.table("customer"), self.table("nation"))
 
-    @cached_property
-    def events(self) -> DataFrame:
-        return fixtures.order_events(self.table("orders"), self.table("customer"), self.table("nation"))
-
     @cached_property
     def parsed(self) -> DataFrame:
         return ingest.parse_messages(ingest.kafka_to_strings(self.raw))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderlake.plans.oracle_base import d, f6, r, with_ctes
+from orderlake.plans.oracle_base import NUMBER, d, f6, r, with_ctes
 
 ORACLE: dict[str, str] = {}
 
@@ -53,10 +53,10 @@ FROM payments"""
 
 ORACLE["a4_payment_health_by_gateway"] = with_ctes("silver") + f"""
 SELECT {d('event_date')}, gateway, status, count(*) AS event_count,
-       CAST(sum(cents) AS DOUBLE) / 100.0 AS total_amount, CAST(sum(cents) AS DOUBLE) / count(*) / 100.0 AS avg_amount
+       CAST(sum(money) AS DOUBLE) AS total_amount, CAST(sum(money) AS DOUBLE) / count(*) AS avg_amount
 FROM (SELECT CAST(epoch_ms(occurred_at) AS DATE) AS event_date, p_gateway AS gateway,
              substr(event_type, 9) AS status,
-             CAST(round(coalesce(try_cast(p_amount AS DOUBLE), 0.0) * 100) AS BIGINT) AS cents
+             CAST(CAST({NUMBER.format('p_amount')} AS DOUBLE) AS DECIMAL(38,6)) AS money
       FROM bronze WHERE event_type LIKE 'PAYMENT\\_%' ESCAPE '\\' AND is_duplicate = 'false')
 GROUP BY event_date, gateway, status"""
 
@@ -68,14 +68,14 @@ FROM silver WHERE (ingested_at - occurred_at) / 1000.0 > 600"""
 
 ORACLE["x1_daily_revenue"] = with_ctes("gold") + f"""
 SELECT {d('event_date')}, CAST(sum(order_count) AS BIGINT) AS total_orders,
-       CAST(sum(CAST(round(gross_revenue * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total_revenue,
+       CAST(sum(CAST(gross_revenue AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue,
        {f6('avg(avg_order_value)', 'avg_order_value')},
        CAST(sum(unique_customers) AS BIGINT) AS unique_customers
 FROM hourly GROUP BY event_date"""
 
 ORACLE["x2_city_leaderboard"] = with_ctes("gold") + f"""
 SELECT {d('event_date')}, city, CAST(sum(order_count) AS BIGINT) AS total_orders,
-       CAST(sum(CAST(round(gross_revenue * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total_revenue,
+       CAST(sum(CAST(gross_revenue AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue,
        CAST(rank() OVER (PARTITION BY event_date ORDER BY sum(gross_revenue) DESC) AS INTEGER) AS revenue_rank
 FROM hourly GROUP BY event_date, city"""
 
@@ -101,8 +101,8 @@ SELECT event_hour, city, category, order_count, {r('gross_revenue', 'gross_reven
 FROM hourly WHERE event_date = DATE '1998-06-15'"""
 
 ORACLE["x6_exact_daily_revenue"] = with_ctes("silver") + f"""
-SELECT {d('event_date')}, count(*) AS total_orders, CAST(sum(cents) AS DOUBLE) / 100.0 AS total_revenue,
-       CAST(sum(cents) AS DOUBLE) / count(*) / 100.0 AS avg_order_value, count(DISTINCT customer_id) AS unique_customers
+SELECT {d('event_date')}, count(*) AS total_orders, CAST(sum(money) AS DOUBLE) AS total_revenue,
+       CAST(sum(money) AS DOUBLE) / count(*) AS avg_order_value, count(DISTINCT customer_id) AS unique_customers
 FROM silver WHERE event_type = 'ORDER_PLACED' GROUP BY event_date"""
 
 ORACLE["t1_top_hours_by_revenue"] = with_ctes("gold") + f"""
@@ -228,7 +228,7 @@ FROM j"""
 
 _SRC = """
 src AS (SELECT CAST(epoch_ms(occurred_at) AS DATE) AS pd, count(DISTINCT event_id) AS source_count
-        FROM parsed WHERE event_id IS NOT NULL GROUP BY 1),
+        FROM parsed WHERE event_id IS NOT NULL AND occurred_at BETWEEN 0 AND 4102444799999 GROUP BY 1),
 s AS (SELECT event_date AS pd, count(*) AS silver_count FROM silver GROUP BY 1),
 j AS (SELECT coalesce(src.pd, s.pd) AS processing_date, coalesce(source_count, 0) AS source_count,
              coalesce(silver_count, 0) AS silver_count FROM src FULL OUTER JOIN s ON src.pd = s.pd)"""
@@ -239,7 +239,7 @@ WHERE abs(source_count - silver_count) / greatest(source_count, 1) * 100.0 > 1.0
 
 ORACLE["k12_missing_ids"] = with_ctes("silver") + f"""
 SELECT DISTINCT p.event_id, {d('CAST(epoch_ms(p.occurred_at) AS DATE)', 'event_date')}
-FROM parsed p WHERE p.event_id IS NOT NULL AND p.event_id NOT IN (SELECT event_id FROM silver)"""
+FROM parsed p WHERE p.event_id IS NOT NULL AND p.occurred_at BETWEEN 0 AND 4102444799999 AND p.event_id NOT IN (SELECT event_id FROM silver)"""
 
 ORACLE["w3_type_share_drift"] = with_ctes("silver") + f""",
 per_day AS (SELECT event_date, event_type, count(*) AS n FROM silver GROUP BY event_date, event_type),
@@ -314,7 +314,8 @@ def _apply(name: str, dim: str, snap: str, eff: str) -> str:
 {name}_j AS (
   SELECT c.*, s.customer_id AS s_id, s.city AS s_city, s.device AS s_device, s.last_seen_ms AS s_seen,
          (c.customer_id IS NOT NULL AND s.customer_id IS NOT NULL AND s.city IS NOT NULL
-          AND s.city IS DISTINCT FROM c.city AND {e} >= c.effective_from) AS changed
+          AND s.city IS DISTINCT FROM c.city AND {e} >= c.effective_from
+          AND (c.last_seen_ms IS NULL OR s.last_seen_ms > c.last_seen_ms)) AS changed
   FROM (SELECT * FROM {dim} WHERE is_current) c FULL OUTER JOIN {snap} s ON c.customer_id = s.customer_id
 ),
 {name} AS (
@@ -416,7 +417,8 @@ ORACLE["v3_producer_check"] = with_ctes("parsed") + "," + _PRODUCER + """
 SELECT kafka_offset, event_id, producer_reason = '' AS producer_valid, producer_reason FROM prod2"""
 
 ORACLE["v4_dlq_envelope"] = with_ctes("parsed") + "," + _PRODUCER + """
-SELECT coalesce(event_id, 'unknown') AS key, producer_reason AS failure_reason, 'orders-raw' AS source_topic,
+SELECT coalesce(event_id, 'unknown') AS key, CASE WHEN malformed THEN 'not json' ELSE customer_id END AS original_event,
+       producer_reason AS failure_reason, 'orders-raw' AS source_topic,
        CAST(996796800000 AS BIGINT) AS failed_at
 FROM prod2 WHERE producer_reason <> ''"""
 
@@ -531,3 +533,23 @@ SELECT {d('pd', 'processing_date')},
                        CASE WHEN recon_status IS NULL THEN 'recon: ERROR' END,
                        CASE WHEN recon_status = 'FAIL' THEN 'recon: FAIL' END) AS reasons
 FROM j"""
+
+ORACLE["j1_negative_hours"] = with_ctes("gold") + """
+SELECT p.order_id, placed_ms, d.delivered_ms, (d.delivered_ms - placed_ms) / 3600000.0 AS delivery_hours
+FROM placed p JOIN delivered d ON p.order_id = d.order_id WHERE d.delivered_ms < placed_ms"""
+
+_STEPS = """,
+steps AS (
+  SELECT 'order' AS job_name, s.event_type AS layer, (s.occurred_at - p.placed_ms) / 1000.0 AS duration_s
+  FROM silver s JOIN (SELECT order_id, min(placed_ms) AS placed_ms FROM placed GROUP BY order_id) p ON s.order_id = p.order_id
+  WHERE s.event_type <> 'ORDER_PLACED' AND s.occurred_at >= p.placed_ms
+)"""
+
+ORACLE["m4_duration_histogram"] = with_ctes("gold") + _STEPS + f"""
+SELECT job_name, layer, {", ".join(f"CAST(count_if(duration_s <= {le}) AS BIGINT) AS le_{le}" for le in (30, 60, 120, 300, 600, 1800))},
+       count(*) AS le_inf, {f6('sum(duration_s)', 'duration_sum')}
+FROM steps GROUP BY job_name, layer"""
+
+ORACLE["m5_duration_percentiles"] = with_ctes("gold") + _STEPS + f"""
+SELECT job_name, layer, {f6('quantile_cont(duration_s, 0.5)', 'p50_s')}, {f6('quantile_cont(duration_s, 0.95)', 'p95_s')}
+FROM steps GROUP BY job_name, layer"""

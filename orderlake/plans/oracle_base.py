@@ -26,7 +26,8 @@ st AS (
 st2 AS (
   SELECT *, base_ms + (k % 24) * 3600000
             + CASE step WHEN 0 THEN 0 WHEN 1 THEN 60000 WHEN 2 THEN 120000
-                        ELSE ((k * 7) % 96) * 3600000 END AS occ,
+                        ELSE CASE WHEN k % 89 = 0 THEN -7200000 ELSE ((k * 7) % 96) * 3600000 END END AS occ,
+         CASE WHEN step = 1 AND k % 103 = 0 THEN 1000 WHEN step = 1 AND k % 107 = 0 THEN 1000000 ELSE 1 END AS unit,
          CAST(round(o_totalprice * 100) AS BIGINT) AS cents
   FROM st
 ),
@@ -39,14 +40,15 @@ events AS (
               ELSE 'ORDER_DELIVERED' END AS event_type,
     CASE WHEN step = 0 AND k % 67 = 0 THEN NULL ELSE 'ORD-' || k END AS order_id,
     'CUST-' || o_custkey AS customer_id,
-    occ AS occurred_at,
+    occ * unit AS occurred_at,
     occ + copy * 10000 + CASE WHEN k % 59 = 0 THEN 10800000 ELSE 0 END AS ingested_at,
     CASE WHEN k % 71 = 0 THEN '2.0' ELSE '1.0' END AS schema_version,
     'order-service' AS source_system,
     CASE WHEN k % 31 <> 0 THEN city_name END AS p_city,
     o_orderpriority AS p_category,
-    CASE WHEN k % 97 = 0 THEN 'abc'
-         ELSE CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') END AS p_amount,
+    CASE WHEN k % 97 = 0 THEN 'abc' WHEN k % 109 = 0 THEN 'NaN' WHEN k % 113 = 0 THEN 'Infinity' WHEN k % 127 = 0 THEN '1e300'
+         ELSE CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0')
+              || CASE WHEN k % 61 = 0 THEN '5' ELSE '' END END AS p_amount,
     CAST((k % 5) + 1 AS VARCHAR) || CASE WHEN k % 43 = 0 THEN '.7' ELSE '' END AS p_item_count,
     CAST((k % 5) * 5 AS VARCHAR) AS p_discount_pct,
     c_mktsegment AS p_device,
@@ -65,15 +67,21 @@ _FIELDS = ["event_id", "event_type", "order_id", "customer_id", "occurred_at", "
 
 _REQ = " AND ".join(f"({c} IS NOT NULL AND {c} <> '')" for c in C.REQUIRED_FIELDS)
 
+_TIMED = f"coalesce(occurred_at >= {C.MIN_EVENT_MS} AND occurred_at < {C.MAX_EVENT_MS}, false)"
+# A payload number that is finite and in range.
+NUMBER = f"CASE WHEN abs(try_cast({{0}} AS DOUBLE)) < {C.MAX_NUMBER:.0f} THEN try_cast({{0}} AS DOUBLE) ELSE 0.0 END"
+
 PARSED = (
     "parsed AS (\n  SELECT "
     + ",\n    ".join(f"CASE WHEN malformed THEN NULL ELSE {c} END AS {c}" for c in _FIELDS)
     + ",\n    kafka_partition, kafka_offset, malformed, ingested_at AS kafka_ts\n  FROM events\n),\n"
     + "validated AS (\n  SELECT *,\n"
-    + f"    (NOT malformed AND {_REQ} AND event_type IN ({_TYPES})) AS is_valid,\n"
+    + f"    (NOT malformed AND {_REQ} AND event_type IN ({_TYPES}) AND {_TIMED}) AS is_valid,\n"
     + f"    CASE WHEN malformed THEN 'malformed_json' WHEN NOT ({_REQ}) THEN 'missing_required_fields'\n"
-    + f"         WHEN NOT coalesce(event_type IN ({_TYPES}), false) THEN 'invalid_event_type' ELSE 'unknown' END AS reason,\n"
-    + "    strftime(CAST(epoch_ms(occurred_at) AS DATE), '%Y-%m-%d') AS ingestion_date\n"
+    + f"         WHEN NOT coalesce(event_type IN ({_TYPES}), false) THEN 'invalid_event_type'\n"
+    + "         WHEN occurred_at IS NULL THEN 'missing_event_time'\n"
+    + f"         WHEN NOT ({_TIMED}) THEN 'invalid_event_time' ELSE 'unknown' END AS reason,\n"
+    + f"    CASE WHEN {_TIMED} THEN strftime(CAST(epoch_ms(occurred_at) AS DATE), '%Y-%m-%d') END AS ingestion_date\n"
     + "  FROM parsed\n)"
 )
 
@@ -86,7 +94,7 @@ bronze AS (
 ),
 dlq AS (SELECT * FROM validated WHERE NOT is_valid)"""
 
-SILVER = """
+SILVER = f"""
 silver AS (
   SELECT event_id, event_type, order_id, customer_id, occurred_at, ingested_at, schema_version,
          source_system, '1.0.0' AS pipeline_version, ingestion_date,
@@ -94,22 +102,22 @@ silver AS (
          CAST(hour(epoch_ms(occurred_at)) AS INTEGER) AS event_hour,
          coalesce(p_city, 'UNKNOWN') AS city,
          coalesce(p_category, 'UNKNOWN') AS category,
-         coalesce(try_cast(p_amount AS DOUBLE), 0.0) AS amount,
+         CAST({NUMBER.format('p_amount')} AS DOUBLE) AS amount,
          coalesce(CAST(trunc(try_cast(p_item_count AS DOUBLE)) AS INTEGER), 0) AS item_count,
          coalesce(try_cast(p_discount_pct AS DOUBLE), 0.0) AS discount_pct,
          coalesce(p_device, 'UNKNOWN') AS device,
          p_pincode AS pincode,
          CAST(epoch_ms(occurred_at) AS DATE) AS processing_date,
          p_gateway AS gateway,
-         CAST(round(coalesce(try_cast(p_amount AS DOUBLE), 0.0) * 100) AS BIGINT) AS cents
+         CAST(CAST({NUMBER.format('p_amount')} AS DOUBLE) AS DECIMAL(38,6)) AS money
   FROM bronze WHERE is_duplicate = 'false'
 )"""
 
 GOLD = """
 hourly AS (
   SELECT event_date, event_hour, city, category, count(*) AS order_count,
-         CAST(sum(cents) AS DOUBLE) / 100.0 AS gross_revenue,
-         CAST(sum(cents) AS DOUBLE) / count(*) / 100.0 AS avg_order_value,
+         CAST(sum(money) AS DOUBLE) AS gross_revenue,
+         CAST(sum(money) AS DOUBLE) / count(*) AS avg_order_value,
          CAST(sum(item_count) AS BIGINT) AS total_items,
          count(DISTINCT customer_id) AS unique_customers, avg(discount_pct) AS avg_discount_pct
   FROM silver WHERE event_type = 'ORDER_PLACED'
@@ -127,7 +135,7 @@ fulfil AS (
   SELECT p.*, d.delivered_ms, (d.delivered_ms - p.placed_ms) / 3600000.0 AS delivery_hours,
          CASE WHEN d.delivered_ms IS NULL THEN 'PENDING'
               WHEN (d.delivered_ms - p.placed_ms) / 3600000.0 <= 48 THEN 'ON_TIME' ELSE 'LATE' END AS delivery_status
-  FROM placed p LEFT JOIN delivered d ON p.order_id = d.order_id
+  FROM placed p LEFT JOIN delivered d ON p.order_id = d.order_id AND d.delivered_ms >= p.placed_ms
 ),
 sla AS (
   SELECT placed_date AS event_date, city, delivery_status, count(*) AS order_count,
@@ -135,8 +143,8 @@ sla AS (
   FROM fulfil GROUP BY placed_date, city, delivery_status
 ),
 payments AS (
-  SELECT event_date, event_type, count(*) AS event_count, CAST(sum(cents) AS DOUBLE) / 100.0 AS total_amount,
-         CAST(sum(cents) AS DOUBLE) / count(*) / 100.0 AS avg_amount
+  SELECT event_date, event_type, count(*) AS event_count, CAST(sum(money) AS DOUBLE) AS total_amount,
+         CAST(sum(money) AS DOUBLE) / count(*) AS avg_amount
   FROM silver WHERE event_type IN ('PAYMENT_INITIATED', 'PAYMENT_SUCCESS', 'PAYMENT_FAILED')
   GROUP BY event_date, event_type
 )"""

@@ -213,8 +213,27 @@ def _k11(lake):
     return quality.reconcile(lake.bronze, lake.silver)
 
 
+@query("j1_negative_hours")  # J1: deliveries recorded before the placement
+def _j1n(lake):
+    from orderlake.operators import gold
+    return gold.sla_violations(lake.silver).select("order_id", "placed_ms", "delivered_ms", "delivery_hours")
+
+
+@query("m4_duration_histogram", fuzzy=("duration_sum",))  # M4
+def _m4(lake):
+    from orderlake.operators import monitoring
+    return monitoring.duration_histogram(monitoring.step_durations(lake.silver))
+
+
+@query("m5_duration_percentiles", fuzzy=("p50_s", "p95_s"))  # M5
+def _m5(lake):
+    from orderlake.operators import monitoring
+    return monitoring.duration_percentiles(monitoring.step_durations(lake.silver))
+
+
 def _source(lake):
-    return lake.parsed.where(F.col("event_id").isNotNull())
+    from orderlake.operators.ingest import _time_ok
+    return lake.parsed.where(F.col("event_id").isNotNull() & _time_ok())
 
 
 @query("k12_backfill_dates")  # K11 (source form), K12
@@ -316,7 +335,9 @@ AS_OF_FAILED_MS = 996796800000  # 2001-08-03T00:00:00Z, the failed_at stamp of V
 @query("v4_dlq_envelope")  # V4
 def _v4(lake):
     from orderlake.operators import ingest
-    return ingest.dlq_envelope(lake.parsed, AS_OF_FAILED_MS).drop("original_event")
+    return ingest.dlq_envelope(lake.parsed, AS_OF_FAILED_MS).withColumn(
+        "original_event", F.when(F.col("original_event") == "not json", F.col("original_event"))
+        .otherwise(F.get_json_object("original_event", "$.customer_id")))
 
 
 @query("v5_route")  # V5

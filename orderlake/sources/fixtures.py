@@ -25,6 +25,11 @@ NO_CITY_MOD = 31  # payload without city
 LATE_MOD = 59  # ingested three hours after occurring
 MALFORMED_MOD = 101  # step 1 message is not JSON
 FRACTIONAL_ITEMS_MOD = 43  # item_count text with ".7" appended
+EARLY_DELIVERY_MOD = 89  # delivered two hours before it was placed
+MICROS_MOD = 103  # step 1 with an event time in microseconds
+NANOS_MOD = 107  # step 1 with an event time in nanoseconds
+ODD_AMOUNTS = {109: "NaN", 113: "Infinity", 127: "1e300"}  # amount text by key modulus
+MILLS_MOD = 61  # amount with a third decimal, 5
 KAFKA_PARTITIONS = 8
 NATIONS = 25
 DUPLICATE_DELAY_MS = 10_000
@@ -44,28 +49,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan made of fewer files than the cluster has task slots.
-
-    Each order fans out into several events with JSON encoding and parsing,
-    so a table stored as one small file would run the whole chain in one
-    task.  Large inputs arrive as many files and are left untouched (no
-    shuffle).
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # sessions without a SparkContext handle (Spark Connect): leave the scan as is
-        return df
-    return df.repartition(slots) if len(df.inputFiles()) < slots else df
-
-
 def order_lifecycles(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """One row per order with the attributes its events carry.
 
     The customer's city moves with the order year, so the customer
     dimension has real history: city = nation ``(c_nationkey + year) % 25``.
     """
-    o = spread(orders).select(
+    # Each order fans out into events with JSON encoding and parsing, so the narrow order rows are dealt by key first.
+    o = orders.select(
         F.col("o_orderkey").alias("k"),
         "o_custkey",
         "o_orderstatus",
@@ -73,7 +64,7 @@ def order_lifecycles(orders: DataFrame, customer: DataFrame, nation: DataFrame)
         "o_orderpriority",
         ntz_to_millis("o_orderdate").alias("base_ms"),
         F.year("o_orderdate").alias("order_year"),
-    )
+    ).repartition("k")
     c = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     n = nation.select("n_nationkey", F.col("n_name").alias("city_name"))
     joined = o.join(c, o.o_custkey == c.c_custkey).withColumn(
@@ -110,6 +101,7 @@ def order_events(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> D
         F.when(step == 0, F.lit(0))
         .when(step == 1, F.lit(60_000))
         .when(step == 2, F.lit(120_000))
+        .when(k % EARLY_DELIVERY_MOD == 0, F.lit(-2 * MS_PER_HOUR))
         .otherwise(((k * 7) % 96) * F.lit(MS_PER_HOUR))
     ).cast("long")
     ingested = (
@@ -117,6 +109,11 @@ def order_events(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> D
         + F.col("copy") * F.lit(DUPLICATE_DELAY_MS)
         + F.when(k % LATE_MOD == 0, F.lit(LATE_DELAY_MS)).otherwise(F.lit(0))
     ).cast("long")
+    unit = F.when((step == 1) & (k % MICROS_MOD == 0), 1000).when((step == 1) & (k % NANOS_MOD == 0), 1_000_000).otherwise(1)
+    amount = F.when(k % BAD_AMOUNT_MOD == 0, F.lit("abc"))
+    for mod, text in ODD_AMOUNTS.items():
+        amount = amount.when(k % mod == 0, F.lit(text))
+    amount = amount.when(k % MILLS_MOD == 0, F.concat(_amount_text(F.col("o_totalprice")), F.lit("5"))).otherwise(_amount_text(F.col("o_totalprice")))
     event_type = (
         F.when(step == 0, F.lit("ORDER_PLACED"))
         .when(step == 1, F.when(k % BAD_TYPE_MOD == 0, "PAYMENT_PENDING").otherwise("PAYMENT_INITIATED"))
@@ -132,7 +129,7 @@ def order_events(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> D
         F.create_map(
             F.lit("city"), F.when(k % NO_CITY_MOD != 0, F.col("city_name")),
             F.lit("category"), F.col("o_orderpriority"),
-            F.lit("amount"), F.when(k % BAD_AMOUNT_MOD == 0, F.lit("abc")).otherwise(_amount_text(F.col("o_totalprice"))),
+            F.lit("amount"), amount,
             F.lit("item_count"), item_text,
             F.lit("discount_pct"), ((k % 5) * 5).cast("string"),
             F.lit("device"), F.col("c_mktsegment"),
@@ -147,7 +144,7 @@ def order_events(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> D
         event_type.alias("event_type"),
         F.when(~((step == 0) & (k % MISSING_ORDER_MOD == 0)), F.concat(F.lit("ORD-"), k.cast("string"))).alias("order_id"),
         F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string")).alias("customer_id"),
-        occurred.alias("occurred_at"),
+        (occurred * unit).alias("occurred_at"),
         ingested.alias("ingested_at"),
         F.when(is_v2, F.lit("2.0")).otherwise(F.lit("1.0")).alias("schema_version"),
         F.lit(SOURCE_SYSTEM).alias("source_system"),
@@ -179,11 +176,3 @@ def raw_messages(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> D
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [read_table(spark, sf_dir, n) for n in names]
-
-
-def events_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_events(*tables(spark, sf_dir, "orders", "customer", "nation"))
-
-
-def messages_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_messages(*tables(spark, sf_dir, "orders", "customer", "nation"))
