@@ -90,14 +90,9 @@ def read_silver(silver: DataFrame, processing_date=None, through=None) -> DataFr
     return silver.where(F.col("event_date").between(F.lit(d), F.lit(_as_date(through))))
 
 
-def by_processing_date(df: DataFrame, processing_date, event_date_hint: bool = False) -> DataFrame:
+def by_processing_date(df: DataFrame, processing_date) -> DataFrame:
     """Filter on ``processing_date`` (a data column; pushed to Parquet row groups)."""
-    d = _as_date(processing_date)
-    out = df.where(F.col("processing_date") == F.lit(d))
-    if event_date_hint:
-        # When rows of a processing date can only hold recent event dates, this adds partition pruning.
-        out = out.where(F.col("event_date").between(F.lit(d - dt.timedelta(days=C.RESTATE_DAYS)), F.lit(d)))
-    return out
+    return df.where(F.col("processing_date") == F.lit(_as_date(processing_date)))
 
 
 def late_events(df: DataFrame, tolerance_seconds: int = C.LATE_TOLERANCE_SECONDS) -> DataFrame:

@@ -99,8 +99,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     (a blanket ``except`` once turned failures into full overwrites).
     """
     if table_exists(spark, path):
-        reader = spark.read.option("mergeSchema", "true")
-        return reader.parquet(path)
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     if schema is None:
         raise FileNotFoundError(path)
     return spark.createDataFrame([], schema)
@@ -122,6 +121,10 @@ def _partition_dir(path: str, col: str, value) -> str:
     return f"{path.rstrip('/')}/{col}={value}"
 
 
+#: The folder name Spark gives to rows without a partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _render(value) -> str:
     return value.isoformat() if isinstance(value, (dt.date, dt.datetime)) else str(value)
 
@@ -229,6 +232,24 @@ def replace_partition(df: DataFrame, path: str, partition_col: str, value, log:
     return replace_partitions(df, path, partition_col, [value], log, "REPLACE PARTITION")[_render(value)]
 
 
+def replace_all_partitions(df: DataFrame, path: str, partition_col: str, log: bool = True) -> None:
+    """Replace the whole partitioned table, keeping its hidden folders (the commit log).
+
+    Partitions that receive no rows are removed after the write.
+    """
+    spark = df.sparkSession
+    before = {d for d in list_dirs(spark, path) if d.startswith(f"{partition_col}=")}
+    obs = Observation(f"all_{uuid.uuid4().hex[:8]}")
+    rows = clustered(df, partition_col).observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(partition_col).cast("string")).alias("values"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+    written = {f"{partition_col}={v}" for v in (obs.get.get("values") or [])}
+    for name in before - written:
+        delete_path(spark, f"{path.rstrip('/')}/{name}")
+    if log:
+        log_commit(spark, path, "REPLACE TABLE", {"rows": int(obs.get.get("rows", 0) or 0)})
+
+
 def replace_table(df: DataFrame, path: str, log: bool = True) -> None:
     """Rewrite a whole (unpartitioned) table that ``df`` may itself read.
 
@@ -272,7 +293,8 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], order_cols: lis
     rows can never hit one target row.
     """
     src = latest_per_key(source, keys, order_cols) if order_cols else source.dropDuplicates(keys)
-    return target.join(src.select(*keys), keys, "left_anti").unionByName(src, allowMissingColumns=True)
+    kept = target.join(src.select(*keys), keys, "left_anti")
+    return kept.unionByName(src, allowMissingColumns=True)
 
 
 def _publish(spark: SparkSession, path: str, stage: str, partition_col: str | None) -> None:
@@ -290,8 +312,11 @@ def _publish(spark: SparkSession, path: str, stage: str, partition_col: str | No
         return
     staged = set(list_dirs(spark, stage))
     if any(d.startswith(f"{partition_col}=") for d in staged):
+        # The schema in the manifest: partition values are never guessed, and no footer is needed to find columns.
+        reader = spark.read.schema(StructType.fromJson(manifest["schema"])) if "schema" in manifest else spark.read
+        rows = reader.parquet(stage)
         (
-            clustered(spark.read.parquet(stage), partition_col).write.mode("overwrite")
+            clustered(rows, partition_col).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition_col)
             .parquet(path)
@@ -317,25 +342,32 @@ def recover(spark: SparkSession, path: str, partition_col: str | None) -> int:
     return done
 
 
+def stored_schema(spark: SparkSession, path: str) -> StructType:
+    """The union of the columns of a table's files (an upsert may add columns; older files lack them)."""
+    return spark.read.option("mergeSchema", "true").parquet(path).schema
+
+
 def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
-           order_cols: list[str] | None = None, log: bool = True, key_partitions=None) -> dict:
+           order_cols: list[str] | None = None, log: bool = True) -> dict:
     """Merge ``source`` into the partitioned table at ``path`` on ``keys`` (update-all / insert-all).
 
-    Only touched partitions are read and rewritten: the partitions of the
-    incoming rows plus the partitions where their keys currently live (a
-    key may move between partitions).  The touched-partition list is one
-    value per partition, so it is collected; rows never are.
+    Only touched partitions are rewritten: the partitions of the incoming
+    rows plus the partitions where their keys currently live (a key may move
+    between partitions; finding it reads the key columns of the table).  The
+    touched-partition list is one value per partition, so it is collected;
+    rows never are.
 
-    ``key_partitions`` (a Column predicate on the partition column) bounds
-    where existing copies of the incoming keys can live — e.g. the restated
-    window of a daily job — so finding them prunes partitions instead of
-    scanning the key column of the whole table.
+    A column that only one side has stays, NULL on the other's rows.  Rows
+    without a partition value are refused before anything is staged: they
+    have no partition to be replaced in.
     """
     spark = source.sparkSession
     recover(spark, path, partition_col)
     src = latest_per_key(source, keys, order_cols) if order_cols else source.dropDuplicates(keys)
     src = src.persist()
     try:
+        if src.where(F.col(partition_col).isNull()).limit(1).count():
+            raise ValueError(f"upsert into {path}: rows without {partition_col}")
         if not table_exists(spark, path):
             obs = Observation(f"create_{uuid.uuid4().hex[:8]}")
             clustered(src, partition_col).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
@@ -344,21 +376,24 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
             if log:
                 log_commit(spark, path, "CREATE", metrics)
             return metrics
-        target = spark.read.parquet(path)
-        src = src.select(*target.columns) if set(target.columns) == set(src.columns) else src
+        stored = stored_schema(spark, path)
+        stored[partition_col].dataType = src.schema[partition_col].dataType
+        target = spark.read.schema(stored).parquet(path)
         incoming = src.select(partition_col).distinct()
-        lookup = target.where(key_partitions) if key_partitions is not None else target
-        moved = lookup.join(src.select(*keys), keys, "left_semi").select(partition_col).distinct()
-        touched = [r[0] for r in incoming.union(moved).distinct().collect()]
+        moved = target.join(src.select(*keys), keys, "left_semi").select(partition_col).distinct()
+        touched = [r[0] for r in incoming.unionByName(moved).distinct().collect()]
+        held = [v for v in touched if v is not None]  # an older table may hold a NULL partition
         if not touched:
             return {"touched": 0}
-        old = target.where(F.col(partition_col).isin(touched))
+        inside = F.col(partition_col).isin(held)
+        old = target.where(inside | F.col(partition_col).isNull() if len(held) < len(touched) else inside)
         merged = merge(old, src, keys)
         stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
         obs = Observation(f"upsert_{uuid.uuid4().hex[:8]}")
         clustered(merged, partition_col).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
             .partitionBy(partition_col).parquet(stage)
-        touch(spark, f"{stage}/_READY", json.dumps({"touched": [_render(v) for v in touched]}))
+        manifest = {"touched": [NULL_PARTITION if v is None else _render(v) for v in touched], "schema": json.loads(merged.schema.json())}
+        touch(spark, f"{stage}/_READY", json.dumps(manifest))
         _publish(spark, path, stage, partition_col)
         metrics = {"touched": len(touched), "rows_in_touched": int(obs.get.get("rows", 0) or 0)}
         if log:
@@ -378,11 +413,6 @@ def append_rows(spark: SparkSession, rows: list[tuple] | list[dict], schema: Str
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
 
 
-def append_frame(df: DataFrame, path: str) -> None:
-    """Append a (small) result DataFrame."""
-    df.write.mode("append").parquet(path)
-
-
 def write_json_report(report: DataFrame, path: str) -> None:
     """JSON report rows (nested arrays of check structs)."""
     report.write.mode("overwrite").json(path)

@@ -5,6 +5,7 @@ import datetime as dt
 
 from orderlake import config as C
 from orderlake.operators import gold, ingest, quality
+from orderlake.schemas import DIM_CUSTOMERS
 from tests.helpers import T0, bronze_frame, event, parsed_frame, silver_rows
 
 P = {"city": "Mumbai", "category": "electronics", "amount": "1500.0", "item_count": "2",
@@ -161,3 +162,61 @@ def test_row_without_event_time_goes_to_dead_letters(spark):
                                 "key string, value string, topic string, partition string, offset string, kafka_timestamp long")
     bronze, dlq = ingest.bronze_split(raw, loaded_at_ms=0)
     assert bronze.count() == 0 and dlq.first().validation_failure == "missing_event_time"
+
+
+def test_event_times_out_of_range_are_dead_letters(spark):
+    import json
+
+    from orderlake.operators import ingest
+    base = dict(event_id="e", event_type="ORDER_PLACED", order_id="o", customer_id="c", ingested_at=T0, payload={})
+    times = [T0, T0 * 1000, T0 * 1_000_000, -1, 4_102_444_800_000]
+    raw = spark.createDataFrame(
+        [(f"{k}", json.dumps(base | {"event_id": f"e{k}", "occurred_at": t}), "orders-raw", "0", str(k), T0) for k, t in enumerate(times)],
+        "key string, value string, topic string, partition string, offset string, kafka_timestamp long")
+    bronze, dlq = ingest.bronze_split(raw, 0)
+    assert [r.event_id for r in bronze.collect()] == ["e0"]
+    assert {r.event_id: r.validation_failure for r in dlq.collect()} == {f"e{k}": "invalid_event_time" for k in range(1, 5)}
+
+
+def test_odd_amounts_and_exact_sums(spark):
+    rows = [event(f"e{k}", payload={"city": "X", "category": "y", "amount": a}, order_id=f"o{k}") for k, a in
+            enumerate(["10.00", "10.005", "0.004", "NaN", "Infinity", "-Infinity", "1e300", "abc"])]
+    r = gold.hourly_orders(silver_rows(spark, rows)).first()
+    assert r.gross_revenue == 20.009 and r.order_count == 8
+
+
+def test_older_snapshot_does_not_touch_the_current_city(spark):
+    import datetime as dt
+
+    from orderlake.operators import scd2
+    ts = lambda d: dt.datetime(2024, 1, d)
+    dim = spark.createDataFrame([("c", "A", "m", ts(10), dt.date(2024, 1, 1), None, True, 1)], DIM_CUSTOMERS)
+    snap = spark.createDataFrame([("c", "B", "m", ts(3))], "customer_id string, city string, device string, last_seen_at timestamp")
+    got = scd2.scd2_apply(dim, snap, "2024-01-03").collect()
+    assert [(r.city, r.is_current, r.last_seen_at) for r in got] == [("A", True, ts(10))]
+
+
+def test_broken_dimension_is_reported(spark):
+    import datetime as dt
+
+    from orderlake.operators import scd2
+    d = lambda n: dt.date(2024, 1, n)
+    rows = [("ok", "A", None, None, d(1), d(3), False, 1), ("ok", "B", None, None, d(3), None, True, 2),
+            ("gap", "A", None, None, d(1), d(2), False, 1), ("gap", "B", None, None, d(3), None, True, 2),
+            ("two", "A", None, None, d(1), None, True, 1), ("zero", "A", None, None, d(1), d(1), False, 1)]
+    got = {r.customer_id for r in scd2.dimension_violations(spark.createDataFrame(rows, DIM_CUSTOMERS)).collect()}
+    assert got == {"gap", "zero"}
+
+
+def test_gate_stops_on_an_empty_reconciliation(spark):
+    from orderlake.operators import quality
+    suite = spark.createDataFrame([("PASS",)], "overall_status string")
+    recon = spark.createDataFrame([], "processing_date date, status string")
+    assert quality.gate(suite, recon) == (False, ["recon: ERROR"])
+
+
+def test_delivery_before_placement_is_pending_and_reported(spark):
+    rows = [event("p", "ORDER_PLACED"), event("d", "ORDER_DELIVERED", occurred_at=T0 - 7_200_000)]
+    s = silver_rows(spark, rows)
+    assert [(r.delivery_status, r.delivery_hours, r.sla_met) for r in gold.fulfillment(s).collect()] == [("PENDING", None, False)]
+    assert gold.sla_violations(s).first().delivery_hours == -2.0

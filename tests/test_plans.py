@@ -46,9 +46,9 @@ def test_silver_scan_prunes_partitions_and_columns(spark, stored):
 
 
 def test_processing_date_filter_is_pushed_to_parquet(spark, stored):
-    df = silver.by_processing_date(spark.read.parquet(f"{stored}/silver"), "1998-06-15", event_date_hint=True)
+    df = silver.by_processing_date(spark.read.parquet(f"{stored}/silver"), "1998-06-15")
     plan = plan_of(df)
-    assert "EqualTo(processing_date,1998-06-15)" in plan and "PartitionFilters: [isnotnull(event_date" in plan
+    assert "EqualTo(processing_date,1998-06-15)" in plan
 
 
 def test_dq_suite_is_single_pass(spark, stored):

@@ -121,10 +121,43 @@ def test_export_tables_per_date(spark, tmp_path):
     assert counts == {"fact": 1}
 
 
-def test_upsert_key_lookup_is_bounded_by_partitions(spark, tmp_path):
+def test_upsert_moves_a_key_from_any_partition(spark, tmp_path):
     path = str(tmp_path / "silver")
     tables.upsert(frame(spark, [("a", D1, 1.0, 1), ("b", D2, 2.0, 1), ("c", D3, 3.0, 1)]), path, ["event_id"],
                   "event_date", order_cols=["ingested_at"])
-    m = tables.upsert(frame(spark, [("c", D3, 30.0, 2)]), path, ["event_id"], "event_date",
-                      order_cols=["ingested_at"], key_partitions=F.col("event_date") == F.lit(D3))
-    assert m["touched"] == 1 and snapshot(spark, path) == [("a", D1, 1.0), ("b", D2, 2.0), ("c", D3, 30.0)]
+    m = tables.upsert(frame(spark, [("a", D3, 30.0, 2)]), path, ["event_id"], "event_date", order_cols=["ingested_at"])
+    assert m["touched"] == 2 and snapshot(spark, path) == [("a", D3, 30.0), ("b", D2, 2.0), ("c", D3, 3.0)]
+
+
+def test_upsert_keeps_columns_that_only_one_side_has(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    up = lambda df: tables.upsert(df, path, ["event_id"], "event_date", order_cols=["ingested_at"])
+    up(frame(spark, [("a", D1, 1.0, 1), ("b", D2, 2.0, 1)]))
+    up(frame(spark, [("c", D1, 3.0, 1)]).withColumn("extra", F.lit("x")))
+    up(frame(spark, [("d", D1, 4.0, 1)]))
+    got = {r.event_id: r.extra for r in spark.read.option("mergeSchema", "true").parquet(path).collect()}
+    assert got == {"a": None, "b": None, "c": "x", "d": None}
+
+
+def test_upsert_refuses_rows_without_partition_and_goes_on(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    up = lambda rows: tables.upsert(frame(spark, rows), path, ["event_id"], "event_date", order_cols=["ingested_at"])
+    up([("a", D1, 1.0, 1)])
+    with pytest.raises(ValueError, match="without event_date"):
+        up([("b", None, 2.0, 1), ("c", D1, 3.0, 1)])
+    up([("c", D1, 3.0, 1)])
+    assert snapshot(spark, path) == [("a", D1, 1.0), ("c", D1, 3.0)]
+    # An older table may hold such rows; a key found there moves out and the others stay.
+    old = str(tmp_path / "old")
+    frame(spark, [("a", None, 1.0, 1), ("b", None, 2.0, 1), ("c", D1, 3.0, 1)]).write.partitionBy("event_date").parquet(old)
+    tables.upsert(frame(spark, [("a", D2, 9.0, 2)]), old, ["event_id"], "event_date", order_cols=["ingested_at"])
+    got = {(r.event_id, str(r.event_date), r.amount) for r in spark.read.parquet(old).collect()}
+    assert got == {("a", str(D2), 9.0), ("b", "None", 2.0), ("c", str(D1), 3.0)}
+
+
+def test_replace_all_partitions_keeps_the_log(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    tables.replace_all_partitions(frame(spark, [("a", D1, 1.0, 1), ("b", D2, 2.0, 1)]), path, "event_date")
+    tables.replace_all_partitions(frame(spark, [("b", D2, 3.0, 1)]), path, "event_date")
+    assert snapshot(spark, path) == [("b", D2, 3.0)]
+    assert tables.history(spark, path).count() == 2
