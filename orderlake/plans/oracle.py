@@ -553,3 +553,25 @@ FROM steps GROUP BY job_name, layer"""
 ORACLE["m5_duration_percentiles"] = with_ctes("gold") + _STEPS + f"""
 SELECT job_name, layer, {f6('quantile_cont(duration_s, 0.5)', 'p50_s')}, {f6('quantile_cont(duration_s, 0.95)', 'p95_s')}
 FROM steps GROUP BY job_name, layer"""
+
+ORACLE["j6_fulfillment_within_horizon"] = with_ctes("gold") + """
+SELECT p.order_id, city, placed_ms, d.delivered_ms, (d.delivered_ms - placed_ms) / 3600000.0 AS delivery_hours,
+       CASE WHEN d.delivered_ms IS NULL THEN 'PENDING'
+            WHEN (d.delivered_ms - placed_ms) / 3600000.0 <= 48 THEN 'ON_TIME' ELSE 'LATE' END AS delivery_status
+FROM placed p LEFT JOIN delivered d ON p.order_id = d.order_id AND d.delivered_ms BETWEEN placed_ms AND placed_ms + 72 * 3600000"""
+
+ORACLE["g11_hourly_activity"] = """
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS hour, event_type, count(*) AS events,
+       count(DISTINCT user_id) AS unique_keys, CAST(sum(CAST(value AS DECIMAL(38,6))) AS DOUBLE) AS total_value
+FROM events GROUP BY 1, 2"""
+
+ORACLE["s10_upsert_roundtrip"] = with_ctes("silver") + f"""
+SELECT event_id, CASE WHEN event_date >= DATE '2000-01-01' THEN 'PAYMENT_RESTATED' ELSE event_type END AS event_type,
+       {d('event_date')}, amount, ingested_at + CASE WHEN event_date >= DATE '2000-01-01' THEN 1 ELSE 0 END AS ingested_at,
+       CASE WHEN event_date >= DATE '2000-01-01' THEN 'restated' END AS note
+FROM silver WHERE event_type LIKE 'PAYMENT%'"""
+
+ORACLE["s18_commit_history"] = with_ctes("gold") + """
+SELECT CAST(1 AS BIGINT) AS version, 'REWRITE' AS operation, count(*) AS row_count FROM payments
+UNION ALL SELECT 2, 'REWRITE', count(*) FROM payments WHERE event_type IN ('PAYMENT_INITIATED', 'PAYMENT_FAILED')
+UNION ALL SELECT 3, 'REWRITE', count(*) FROM payments WHERE event_type = 'PAYMENT_FAILED'"""

@@ -448,3 +448,50 @@ def _s10(lake):
 def _k13(lake):
     from orderlake.operators import quality
     return quality.gate_by_date(_suite(lake), quality.reconcile(lake.bronze, lake.silver))
+
+
+@query("j6_fulfillment_within_horizon")  # J6 (batch twin)
+def _j6(lake):
+    from orderlake.operators import gold
+    return gold.fulfillment_within(lake.silver, 72)
+
+
+@query("g11_hourly_activity")  # G11 (batch twin, over the events table)
+def _g11(lake):
+    from orderlake.operators import gold
+    out = gold.hourly_activity(lake.table("events"))
+    return out.withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH:mm"))
+
+
+def _scratch(lake, kind):
+    import uuid
+    from orderlake.session import checkpoint_dir, ensure_checkpoint_dir
+    root = checkpoint_dir(lake.spark) or ensure_checkpoint_dir(lake.spark)  # the shared folder; set only if unset
+    return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+@query("s10_upsert_roundtrip")  # S8, S10, S11, J3: written, merged with moved keys and an added column, read back
+def _s10_roundtrip(lake):
+    from orderlake.sources import tables
+    path = _scratch(lake, "upsert")
+    cols = ["event_id", "event_type", "event_date", "amount", "ingested_at"]
+    payments = lake.silver.where(F.col("event_type").startswith("PAYMENT_")).select(*cols)
+    tables.upsert(payments, path, ["event_id"], "event_type", order_cols=["ingested_at"])
+    base = tables.read_table(lake.spark, path)
+    source = base.where(F.col("event_date") >= F.lit("2000-01-01").cast("date")) \
+        .withColumns({"event_type": F.lit("PAYMENT_RESTATED"), "note": F.lit("restated"), "ingested_at": F.col("ingested_at") + 1})
+    tables.upsert(source.select(*cols, "note"), path, ["event_id"], "event_type", order_cols=["ingested_at"])
+    return lake.spark.read.schema(tables.stored_schema(lake.spark, path)).parquet(path).select(*cols, "note")
+
+
+@query("s18_commit_history")  # S18
+def _s18(lake):
+    from orderlake.sources import tables
+    path = _scratch(lake, "commits")
+    tables.replace_table(lake.payments, path)
+    stored = tables.read_table(lake.spark, path)
+    for types in (["PAYMENT_INITIATED", "PAYMENT_FAILED"], ["PAYMENT_FAILED"]):
+        tables.replace_table(stored.where(F.col("event_type").isin(types)), path)
+        stored = tables.read_table(lake.spark, path)
+    return tables.history(lake.spark, path).select(
+        "version", "operation", F.get_json_object("metrics", "$.rows").cast("long").alias("row_count"))

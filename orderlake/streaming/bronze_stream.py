@@ -84,32 +84,27 @@ def apply_watermark(df: DataFrame, delay: str = C.WATERMARK) -> DataFrame:
 BATCH_METRICS_SCHEMA = "batch_id long, written long, duplicates long, dlq long, processed_at timestamp"
 
 
-def tag_seen_before(bronze: DataFrame, bronze_path: str, batch_id: int, horizon_days: int,
-                    max_batch_rows: int | None = C.MAX_RECORDS_PER_TRIGGER) -> DataFrame:
+def tag_seen_before(bronze: DataFrame, bronze_path: str, batch_id: int, horizon_days: int) -> DataFrame:
     """G9 (tag form): mark ids already present in Bronze from earlier batches.
 
-    Only Bronze partitions within ``horizon_days`` before the batch's
-    earliest date are read (partition pruning, ``event_id`` column only),
-    which bounds the lookup; older duplicates stay untagged here and are
-    removed by the Silver upsert.  The batch's own ids are the broadcast
-    side of a semi-join: a micro-batch holds at most ``max_batch_rows``
-    records (the source's per-trigger cap), so that side has a proven size
-    bound and the Bronze window is never shuffled.  Pass ``None`` for
-    uncapped sources to let the planner choose.
+    The tag means "seen within the horizon": the Bronze partitions read are
+    those from ``horizon_days`` before each of the batch's dates up to that
+    date (an event's copies carry its own date), so one very old event adds
+    its own dates and not all in between; only ``event_id`` is read.  Older
+    copies stay untagged here, and Silver keeps the first copy of all.  The
+    planner chooses the semi-join by the batch's measured size.
     """
     spark = bronze.sparkSession
     if not tables.table_exists(spark, bronze_path):
         return bronze
-    lo = bronze.agg(F.min("ingestion_date")).first()[0]
-    if lo is None:
+    dates = [dt.date.fromisoformat(str(r[0])) for r in bronze.select("ingestion_date").distinct().collect() if r[0] is not None]
+    if not dates:  # one value for each date
         return bronze
-    start = (dt.date.fromisoformat(str(lo)) - dt.timedelta(days=horizon_days)).isoformat()
+    window = sorted({d - dt.timedelta(days=k) for d in dates for k in range(horizon_days + 1)})
     ids = bronze.select("event_id").distinct()
-    if max_batch_rows is not None:
-        ids = F.broadcast(ids)
     seen = (
         spark.read.parquet(bronze_path)
-        .where((F.col("ingestion_date") >= F.lit(start).cast("date")) & (F.col("batch_id") != F.lit(batch_id)))
+        .where(F.col("ingestion_date").isin(window) & (F.col("batch_id") != F.lit(batch_id)))
         .select("event_id")
         .join(ids, "event_id", "left_semi")
         .distinct()
