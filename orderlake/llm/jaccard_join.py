@@ -48,7 +48,7 @@ HIGH = 30
 SKETCH_SHARED = 16
 #: Hashes in one trie block, and identifiers in one broadcast (beyond it the texts are joined by a shuffle).
 BLOCK = 500_000
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS = 250_000
 
 
 def shingle_sets(texts: list[bytes], n: int = N) -> Iterator[np.ndarray]:

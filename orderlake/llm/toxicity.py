@@ -6,9 +6,11 @@ Dirichlet prior that is the feature's share of all documents.  Features whose
 log-odds are significant are the model; every other token scores the small
 negative log-odds of an ordinary token.
 
-Scoring: a linear scan finds all maximal segments of a text (Ruzzo and Tompa),
-and extreme-value statistics turn the sum of the significant ones into the
-chance that a clean text of that length has none like it.
+Scoring: a linear scan finds all maximal segments of a text (Ruzzo and Tompa).
+Extreme-value statistics say how many segments like the significant ones a
+clean text of that length has by chance; the logarithm of that is the text's
+excess, and a logistic curve over it, fitted on labelled documents that had no
+part in the weights, is the score.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ FLAT, PRIOR = 1.0, 20.0
 CALIBRATE = 5
 #: Share of clean labelled texts that may be labelled wrongly; so many of the best clean segments don't count for K.
 LABEL_NOISE = 0.002
+#: The excess of a text without any segment, and the largest that counts.
+NONE, MOST = -12.0, 40.0
 #: Words whose weight a task remembers at most.
 CACHE = 400_000
 
@@ -109,12 +113,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_labelled: int) -> Data
 class Model:
     """Weights of the significant features, the score of all other tokens, and the EVD constant."""
 
-    def __init__(self, weights: dict[str, float], other: float, k: float = 0.0):
-        self.weights, self.other, self.k = weights, other, k
+    def __init__(self, weights: dict[str, float], other: float, k: float = 0.0, slope: float = 0.0, offset: float = -20.0):
+        self.weights, self.other, self.k, self.slope, self.offset = weights, other, k, slope, offset
         self.known: dict[str, float] = {}
 
     def __getstate__(self):
-        return {"weights": self.weights, "other": self.other, "k": self.k, "known": {}}
+        return self.__dict__ | {"known": {}}
 
     def weight(self, word: str) -> float:
         w = self.known.get(word)
@@ -148,18 +152,21 @@ class Model:
                 j = len(out) - 1
         return len(words), [(r - l, a, b) for l, r, a, b in out]
 
-    def score(self, n: int, segments: list[tuple[float, int, int]]) -> float:
-        """1 where no clean text would have such segments by chance, 0 without any segment.
+    def excess(self, n: int, segments: list[tuple[float, int, int]]) -> float:
+        """Extreme-value excess of a text: minus the logarithm of the number of such segments expected by chance.
 
-        The expected number of clean segments of score S in n tokens is
-        K n exp(-S); each significant segment adds its excess over ln(K n).
+        A clean text of n tokens has K n exp(-S) segments of score S or more;
+        each further significant segment adds its own excess over ln(K n).
         """
         if not segments:
-            return 0.0
+            return NONE
         space = math.log(max(self.k * max(n, 1), 1e-12))
-        excess = sorted((s - space for s, _, _ in segments), reverse=True)
-        total = excess[0] + sum(max(0.0, e) for e in excess[1:])
-        return math.exp(-math.exp(-total)) if total > -6 else 0.0
+        each = sorted((s - space for s, _, _ in segments), reverse=True)
+        return min(max(each[0] + sum(max(0.0, e) for e in each[1:]), NONE), MOST)
+
+    def score(self, n: int, segments: list[tuple[float, int, int]]) -> float:
+        """Probability of the toxic label at this excess."""
+        return 1 / (1 + math.exp(-(self.slope * self.excess(n, segments) + self.offset)))
 
 
 def root_ratio(y1: int, y0: int, n1: int, n0: int) -> float:
@@ -176,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     n = {r["toxic"]: r["n"] for r in rows.where(~F.col("later")).groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_clean:
-        return Model({}, -0.01)
+        return Model({}, -0.01)  # no evidence: every score is next to 0
     # At most max_labelled rows of two numbers.
     kinds = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(rows), "doc_id", "left")
     toxic = count_features(kinds.where(fit == 1).select("text", F.lit(0).alias("kind")), None, 1).where(F.col("n0") >= MIN_TEXTS)
@@ -203,9 +210,45 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     for rank, s in enumerate(scores[noise:], 1):
         k = max(k, (rank + 0.5) * math.exp(min(s, 50.0)) / max(tokens, 1))
     model.k = k
+    model.slope, model.offset = _logistic(_excesses(kinds.where("later"), model))
     return model
 
 
+def _excesses(rows: DataFrame, model: Model) -> list[tuple[float, int, int]]:
+    """(excess in steps of 1/4, label, number of documents) of the calibration documents."""
+    sent = rows.sparkSession.sparkContext.broadcast(model)
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, out = sent.value, Counter()
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                out[round(4 * m.excess(*m.segments(text))) / 4, toxic] += 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x for x, _ in out], pa.float64()), pa.array([y for _, y in out], pa.int32()), pa.array(list(out.values()), pa.int64())], ["x", "toxic", "n"]
+        )
+
+    found = map_arrow(rows.select("text", "toxic"), scan, "x double, toxic int, n long").groupBy("x", "toxic").agg(F.sum("n").alias("n"))
+    return [(r["x"], r["toxic"], r["n"]) for r in found.collect()]  # a few hundred steps at most
+
+
+def _logistic(rows: list[tuple[float, int, int]]) -> tuple[float, float]:
+    """Slope and offset of the label's log-odds by the excess (ridge 0.01, Newton's method; the slope is never negative)."""
+    x, y, n = (np.array([r[i] for r in rows], float) for i in range(3))
+    if not len(rows) or not (y * n).sum() or not ((1 - y) * n).sum():
+        return 1.0, 0.0  # one label only: even odds where one such segment is expected by chance
+    a, b = 0.5, -1.0
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
+        g = np.array([(n * (y - p) * x).sum() - 0.01 * a, (n * (y - p)).sum() - 0.01 * b])
+        w = n * p * (1 - p)
+        h = np.array([[(w * x * x).sum() + 0.01, (w * x).sum()], [(w * x).sum(), w.sum() + 0.01]])
+        step = np.clip(np.linalg.solve(h, g), -2, 2)
+        a, b = a + step[0], b + step[1]
+        if abs(step).max() < 1e-6:
+            break
+    return max(float(a), 0.0), float(b)
+
+
 def _calibrate(rows: DataFrame, model: Model) -> tuple[float, float, list[float], int]:
     """Shares of tokens with weight in toxic and clean texts; the scores of clean segments, rounded and counted; clean tokens."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
@@ -233,8 +276,9 @@ def _calibrate(rows: DataFrame, model: Model) -> tuple[float, float, list[float]
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted, and segments (start and end token, score) for every row.
 
-    Null and empty texts score 0; null or repeated identifiers are rows like
-    any other; without labels of both kinds every score is 0; an empty table
+    Null and empty texts have no segment and get the lowest score; null or
+    repeated identifiers are rows like any other; without labels of both kinds
+    every score is next to 0; an empty table
     gives no rows; extra columns are ignored.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
