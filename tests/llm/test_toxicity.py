@@ -1,6 +1,5 @@
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from orderlake.llm import toxicity as X
@@ -69,7 +68,7 @@ def test_nulls_repeats_empty_and_extra_columns(spark):
     kept = X.drop_toxic(d, model)
     assert kept.columns == d.columns and kept.count() == sum(r["predicted"] == 0 for r in got)
     assert X.score(d.where("false"), model).count() == 0
-    assert X.score(d, X.train(d, lab.where("false"))).agg(F.max("score")).first()[0] == 0.0
+    assert X.score(d, X.train(d, lab.where("false"))).agg(F.max("score")).first()[0] < 0.01
 
 
 def test_labels_of_held_out_rows_have_no_part(spark):
@@ -78,7 +77,6 @@ def test_labels_of_held_out_rows_have_no_part(spark):
     assert X.train(docs, labels).weights == X.train(docs, flipped).weights
 
 
-@pytest.mark.slow
 def test_held_out_accuracy(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     rows = X.score(docs, X.train(docs, labels)).where("held_out").join(labels, "doc_id").select("toxic", "predicted").collect()
