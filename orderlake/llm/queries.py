@@ -64,6 +64,16 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_warc_index": """
+        WITH d AS (
+          SELECT page_id, url, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS hex,
+            max(page_id) OVER (PARTITION BY coalesce(html, '')) AS best FROM pages)
+        SELECT page_id, url, strlen(h) AS payload_bytes,
+          array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            ((CAST('0x' || substr(hex, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') AS payload_digest,
+          CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN page_id <> best THEN best END AS refers_to
+        FROM d""",
     "op3_chat_windows": r"""
         WITH t AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
