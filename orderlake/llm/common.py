@@ -108,7 +108,22 @@ def ship(spark: SparkSession) -> None:
     context._orderlake_shipped = True
 
 
+#: Rows of an Arrow batch that a task holds as Python objects at once.
+SLICE = 512
+
+
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """``mapInArrow`` with this package on the workers."""
+    """``mapInArrow`` with this package on the workers; the function gets batches of SLICE rows at most."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return function(b.slice(at, SLICE) for b in batches for at in range(0, max(b.num_rows, 1), SLICE))
+
+    return df.mapInArrow(run, schema)
+
+
+def forget(known: dict, most: int) -> None:
+    """Cut a full memory down to the half that was learned first: frequent words are met early."""
+    if len(known) > most:
+        for k in list(known)[most // 2 :]:
+            del known[k]

@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.common import checkpoint, map_arrow
+from orderlake.llm.common import checkpoint, forget, map_arrow
 
 WINDOW = 2048
 GROUP_ROWS = 100_000
-#: Words whose ids a task remembers at most; the memory is emptied when it is full.
-CACHE_WORDS = 400_000
+#: Words (and runs of letters) whose ids a worker remembers at most.
+CACHE_WORDS = 200_000
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -66,8 +66,7 @@ class Words(dict):
         for run in self.RUNS.findall(word.lower()):
             ids = self.runs.get(run)
             if ids is None:
-                if len(self.runs) > CACHE_WORDS:
-                    self.runs.clear()
+                forget(self.runs, CACHE_WORDS)
                 plain = run if run.isascii() else run.translate(self.table)
                 ids = self.runs[run] = _bytes([t.id for t in self.model.tokenize(plain)])
             out.append(ids)
@@ -77,8 +76,7 @@ class Words(dict):
         return _bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def __missing__(self, raw: bytes) -> bytes:
-        if len(self) > CACHE_WORDS:
-            self.clear()
+        forget(self, CACHE_WORDS)
         word = raw.decode("utf-8", "replace")
         ids = self[raw] = self._short(word) if self.fast and "<|" not in word and self.PLAIN.fullmatch(word) else self._whole(word)
         return ids

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import checkpoint, map_arrow
+from orderlake.llm.common import checkpoint, forget, map_arrow
 
 #: Labelled rows that training uses at most; a larger table is thinned by a hash of the identifier.
 MAX_LABELLED = 200_000
@@ -40,7 +40,7 @@ LABEL_NOISE = 0.002
 #: The excess of a text without any segment, and the largest that counts.
 NONE, MOST = -12.0, 40.0
 #: Words whose weight a task remembers at most.
-CACHE = 400_000
+CACHE = 200_000
 
 _STRIP = string.punctuation + "“”‘’«»¡¿…"
 
@@ -82,15 +82,14 @@ def count_features(docs: DataFrame, listed: set[str] | None, kinds: int) -> Data
                 for w in set((text or "").split()):
                     f = known.get(w)
                     if f is None:
-                        if len(known) > CACHE:
-                            known.clear()
+                        forget(known, CACHE)
                         f = known[w] = tuple(x for x in features(w) if keep is None or x in keep)
                     if f:
                         has.update(f)
                 counts[0].update(has)
                 if kind:
                     counts[kind].update(has)
-            if len(counts[0]) > 2 * CACHE:
+            if len(counts[0]) > CACHE:
                 yield _emit(counts)
                 counts = [Counter() for _ in range(kinds)]
         yield _emit(counts)
@@ -123,8 +122,7 @@ class Model:
     def weight(self, word: str) -> float:
         w = self.known.get(word)
         if w is None:
-            if len(self.known) > CACHE:
-                self.known.clear()
+            forget(self.known, CACHE)
             w = self.known[word] = max((self.weights.get(f, 0.0) for f in features(word)), default=0.0)
         return w
 
