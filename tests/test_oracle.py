@@ -10,11 +10,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from orderlake.plans import oracle, registry
 from orderlake.sources.fixtures import TABLES
 from tests.conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES, ORACLE = registry.QUERIES, oracle.ORACLE  # the optional queries have tests of their own
 SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
                  "boolean": "BOOLEAN", "date": "DATE"}
 

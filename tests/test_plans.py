@@ -3,7 +3,7 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from orderlake.plans import registry
 from orderlake.operators import gold, silver
 from orderlake.plans.chain import Lake
 from orderlake.sources import tables
@@ -14,9 +14,9 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_no_python_in_query_plans(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF_SMALL))
+    plan = plan_of(registry.QUERIES[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
         assert node not in plan
 
@@ -61,7 +61,7 @@ def test_dq_suite_is_single_pass(spark, stored):
 @pytest.mark.parametrize("name", ["p12_silver_orders", "j5_city_as_of", "m8_records_per_minute", "d7_full_history",
                                   "a1_hourly_orders"])
 def test_results_do_not_depend_on_session_time_zone(spark, name):
-    q = entry.queries()[name]
+    q = registry.QUERIES[name]
     utc = sorted(map(tuple, q(spark, SF_SMALL).collect()), key=str)
     spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
     try:
