@@ -8,7 +8,8 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["p2_parse_messages"] = with_ctes("parsed") + """
 SELECT event_id, event_type, order_id, customer_id, occurred_at, ingested_at, schema_version,
-       source_system, kafka_partition, kafka_offset, malformed, p_city, p_amount, p_gateway
+       source_system, kafka_partition, kafka_offset, malformed, p_city, p_category, p_amount, p_item_count,
+       p_discount_pct, p_device, p_pincode, p_gateway, p_loyalty_points
 FROM parsed"""
 
 ORACLE["v1_valid_events"] = with_ctes("parsed") + """
@@ -18,7 +19,8 @@ ORACLE["v2_dead_letter"] = with_ctes("bronze") + """
 SELECT event_id, event_type, order_id, kafka_partition, kafka_offset, reason AS validation_failure FROM dlq"""
 
 ORACLE["w1_bronze_duplicates"] = with_ctes("bronze") + """
-SELECT event_id, kafka_partition, kafka_offset, ingestion_date, '1.0.0' AS pipeline_version, is_duplicate
+SELECT event_id, kafka_partition, kafka_offset, ingestion_date, '1.0.0' AS pipeline_version, is_duplicate,
+       p_city, p_category, p_amount, p_item_count, p_discount_pct, p_device, p_pincode, p_gateway, p_loyalty_points
 FROM bronze"""
 
 ORACLE["p12_silver_orders"] = with_ctes("silver") + f"""
@@ -374,7 +376,7 @@ SELECT customer_id, CAST(count_if(is_current) AS BIGINT) AS current_rows, CAST(s
 FROM per_row GROUP BY customer_id
 HAVING count_if(is_current) <> 1 OR sum(zero_length) > 0 OR sum(bad_link) > 0"""
 
-ORACLE["d6_initial_load"] = (with_ctes("silver") + _SPLIT + "," + _snapshot("snap", "before") + f"""
+ORACLE["d6_initial_load"] = (with_ctes("silver") + "," + _snapshot("snap", "silver") + f"""
 SELECT customer_id, coalesce(city, 'UNKNOWN') AS city, device, last_seen_ms AS last_seen_at,
        '{_CUT}' AS effective_from, CAST(NULL AS VARCHAR) AS effective_to, true AS is_current, 1 AS dim_version
 FROM snap""")

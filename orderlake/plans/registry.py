@@ -22,15 +22,15 @@ def query(name, fuzzy: tuple[str, ...] = ()):
 
 # --- ingest ------------------------------------------------------------------
 
+PAYLOAD_KEYS = ["city", "category", "amount", "item_count", "discount_pct", "device", "pincode", "gateway", "loyalty_points"]
+
 @query("p2_parse_messages")  # P1, P2
 def _p2(lake):
     p = lake.parsed
     return p.select(
         "event_id", "event_type", "order_id", "customer_id", "occurred_at", "ingested_at",
         "schema_version", "source_system", "kafka_partition", "kafka_offset", "malformed",
-        p.payload.getItem("city").alias("p_city"),
-        p.payload.getItem("amount").alias("p_amount"),
-        p.payload.getItem("gateway").alias("p_gateway"),
+        *[p.payload.getItem(k).alias(f"p_{k}") for k in PAYLOAD_KEYS],
     )
 
 
@@ -50,7 +50,8 @@ def _v2(lake):
 @query("w1_bronze_duplicates")  # W1, P3, P4
 def _w1(lake):
     return lake.bronze.select("event_id", "kafka_partition", "kafka_offset", "ingestion_date",
-                              "pipeline_version", "is_duplicate")
+                              "pipeline_version", "is_duplicate",
+                              *[F.col("payload").getItem(k).alias(f"p_{k}") for k in PAYLOAD_KEYS])
 
 
 @query("p12_silver_orders")  # P5-P12, P11
@@ -295,7 +296,7 @@ def _d1(lake):
 @query("d6_initial_load")  # D6
 def _d6(lake):
     from orderlake.operators import scd2
-    return scd2.scd2_apply(scd2.empty_dimension(lake.spark), scd2.customer_snapshot(_before(lake)), SCD_CUTOFF)
+    return scd2.scd2_apply(scd2.empty_dimension(lake.spark), scd2.customer_snapshot(lake.silver), SCD_CUTOFF)
 
 
 @query("j5_city_as_of")  # J5
