@@ -397,7 +397,12 @@ SELECT CAST(kafka_partition AS INTEGER) AS partition, CAST(kafka_offset AS BIGIN
 FROM events ORDER BY CAST(kafka_offset AS BIGINT), CAST(kafka_partition AS INTEGER) LIMIT 20"""
 
 ORACLE["s19_keyed_publish"] = with_ctes("bronze") + """
-SELECT coalesce(order_id, event_id) AS key, occurred_at, event_id AS json_event_id, order_id AS json_order_id
+SELECT coalesce(order_id, event_id) AS key, occurred_at, event_id AS json_event_id, event_type AS json_event_type,
+       order_id AS json_order_id, customer_id AS json_customer_id, CAST(occurred_at AS VARCHAR) AS json_occurred_at,
+       CAST(ingested_at AS VARCHAR) AS json_ingested_at, schema_version AS json_schema_version, source_system AS json_source_system,
+       p_city AS json_p_city, p_category AS json_p_category, p_amount AS json_p_amount, p_item_count AS json_p_item_count,
+       p_discount_pct AS json_p_discount_pct, p_device AS json_p_device, p_pincode AS json_p_pincode, p_gateway AS json_p_gateway,
+       p_loyalty_points AS json_p_loyalty_points
 FROM bronze WHERE is_duplicate = 'false'"""
 
 _PRODUCER = """

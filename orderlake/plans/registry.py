@@ -318,10 +318,12 @@ def _s3(lake):
 @query("s19_keyed_publish")  # S19
 def _s19(lake):
     from orderlake.operators import ingest
-    pub = ingest.keyed_publish(ingest.first_copies(lake.bronze_rows), num_partitions=8)
+    pub = ingest.keyed_publish(ingest.first_copies(lake.bronze_rows))
+    # The whole value, field by field (an absent key is null).
+    fields = ["event_id", "event_type", "order_id", "customer_id", "occurred_at", "ingested_at", "schema_version", "source_system"]
     return pub.select("key", "occurred_at",
-                      F.get_json_object("value", "$.event_id").alias("json_event_id"),
-                      F.get_json_object("value", "$.order_id").alias("json_order_id"))
+                      *[F.get_json_object("value", f"$.{c}").alias(f"json_{c}") for c in fields],
+                      *[F.get_json_object("value", f"$.payload.{k}").alias(f"json_p_{k}") for k in PAYLOAD_KEYS])
 
 
 @query("v3_producer_check")  # V3
