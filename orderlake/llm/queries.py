@@ -78,12 +78,26 @@ ORACLE = {
         WITH t AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
           UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
-          UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
-        SELECT conv_id, count(*) AS n_turns,
-          sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+          UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        u AS (
+          SELECT *, row_number() OVER w AS n, len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\s\p{L}\p{N}]')) + 2 AS tokens,
+            15 + length(role) + length(text) + length(regexp_replace(role || text, '[^\\<>]', '', 'g')) AS chars
+          FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+        v AS (SELECT *, CAST(sum(tokens) OVER (PARTITION BY conv_id ORDER BY n) - tokens AS BIGINT) AS pos FROM u),
+        x AS (
+          SELECT *, (pos // 384) * 2 + CASE WHEN tokens > 384 THEN 1 ELSE 0 END AS span,
+            n = 1 AND role = 'system' AS is_system FROM v),
+        f AS (SELECT conv_id, n, pos, span, lag(span) OVER (PARTITION BY conv_id ORDER BY n) AS span_before FROM x),
+        repeats AS (
+          SELECT f.conv_id, sum(x.chars) AS chars FROM f JOIN x ON x.conv_id = f.conv_id
+            AND (x.is_system OR x.pos BETWEEN f.pos - 256 AND f.pos - 1)
+          WHERE f.n > 1 AND f.span <> f.span_before AND x.n < f.n GROUP BY f.conv_id)
+        SELECT t.conv_id, count(*) AS n_turns,
+          sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
           coalesce(length(string_agg(text, '') FILTER (role = 'assistant')), 0) AS loss_chars,
-          sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256
-        FROM t GROUP BY conv_id""",
+          sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+          CAST(sum(t.chars) + coalesce(any_value(repeats.chars), 0) AS BIGINT) AS formatted_chars
+        FROM x AS t LEFT JOIN repeats ON repeats.conv_id = t.conv_id GROUP BY t.conv_id""",
     "op5_content_sort": r"""
         WITH d AS (
           SELECT doc_id, length(coalesce(text, '')) AS n,
