@@ -15,10 +15,11 @@
 4. Links become components, named by their smallest document.
 
 What is exact: sets (up to 64-bit hash collisions), the similarity of each
-pair that the trie compares, and the prefix of sets of up to about 150 hashes.
-Longer sets use the first SLOTS hashes only; each of those differs from its
-partner's with a chance of at most 0.15, so a link is missed with a chance of
-less than 1e-12.
+pair that the trie compares, and the prefix of sets of up to about 150 hashes
+(115 at 80 %).  Longer sets use the first SLOTS hashes only; each of those
+differs from its partner's with a chance of at most 0.15 (0.2 at 80 %), so a
+link is missed with a chance of less than 1e-12.  The constants are set for
+80 % and more.
 """
 
 from __future__ import annotations
@@ -42,9 +43,11 @@ SLOTS, SKETCH = 24, 48
 #: A hash in more sketches than this goes last in the order.
 HOT = 64
 #: Sketches with fewer ordinary hashes than this link through hot hashes too.  Sets with fewer than 12 of 48 need it;
-#: a partner that similar has 30 or more with a chance of about 1e-12 only.
-HIGH = 30
-#: Hashes two long sets' sketches must share to stay candidates (at the threshold about 40 of 48 are shared).
+#: a partner that similar has 30 or more with a chance of about 1e-12 only.  Below 85 % partners differ in more hashes:
+#: at 80 % that chance is about 2e-10 for 30, and less than 1e-13 for 36.
+HIGH, HIGH_BELOW_85 = 30, 36
+#: Hashes two long sets' sketches must share to stay candidates (at 85 % about 40 of 48 are shared, at 80 % 38; fewer
+#: than 16 with a chance of less than 1e-12 at either).
 SKETCH_SHARED = 16
 #: Hashes in one trie block, and identifiers in one broadcast (beyond it the texts are joined by a shuffle).
 BLOCK = 500_000
@@ -128,8 +131,10 @@ def _prefix_rows(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     last = F.element_at("rest", F.least(F.size("rest"), F.col("slots")))
     rows = rows.withColumn("warm", F.when(F.size("rest") > 0, F.filter("warm", lambda t: t <= last)).otherwise(F.array().cast("array<long>")))
     # Sets known in full fill their prefix with hot hashes; of larger ones, those made mostly of hot hashes use them too.
+    # From 80 % on, a set of up to 0.8 * SKETCH has only partners known in full.
     short = F.col("slots") - F.size("rest")
-    fill = F.when((F.col("n") > 0.8 * SKETCH) & (F.size("rest") < HIGH), F.lit(SLOTS)).when((F.col("n") <= SKETCH) & (short > 0), short).otherwise(F.lit(0))
+    high = HIGH if percent >= 85 else HIGH_BELOW_85
+    fill = F.when((F.col("n") > 0.8 * SKETCH) & (F.size("rest") < high), F.lit(SLOTS)).when((F.col("n") <= SKETCH) & (short > 0), short).otherwise(F.lit(0))
     rows = rows.withColumn("hots", F.slice("hots", F.lit(1), fill))
     return rows.select("sid", F.explode("warm").alias("token")), rows.select("sid", F.explode("hots").alias("token"))
 
