@@ -26,7 +26,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.drop_near_copies(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
+    return jaccard_join.one_per_component(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,7 +78,8 @@ def _sid(s: np.ndarray) -> bytes | None:
 
 
 def signatures(rows: DataFrame, n: int) -> DataFrame:
-    """doc_id, n, sid (the set's name), toks (its SKETCH smallest hashes) from (doc_id, text)."""
+    """doc_id, n, sid (the set's name), toks (its SKETCH smallest hashes) from (doc_id, text); further columns are kept."""
+    more = rows.columns[2:]
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,10 +89,12 @@ def signatures(rows: DataFrame, n: int) -> DataFrame:
                 name.append(_sid(s))
                 toks.append(s[:SKETCH])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(name, pa.binary()), pa.array(toks, pa.list_(pa.int64()))], ["doc_id", "n", "sid", "toks"]
+                [batch.column(0), pa.array(size, pa.int64()), pa.array(name, pa.binary()), pa.array(toks, pa.list_(pa.int64())), *batch.columns[2:]],
+                ["doc_id", "n", "sid", "toks", *more],
             )
 
-    return map_arrow(rows, sign, "doc_id long, n long, sid binary, toks array<long>")
+    kept = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in more)
+    return map_arrow(rows, sign, "doc_id long, n long, sid binary, toks array<long>" + kept)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -345,6 +348,14 @@ def link_families(docs: DataFrame, reps: DataFrame, fams: DataFrame, n: int, per
     return map_arrow(pairs.repartition(*keys).sortWithinPartitions(*keys), join, "a binary, b binary")
 
 
+def _linked(rows: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of the rows, their sets (sid, rep, n, toks), and (node, root) of the sets that link to another."""
+    sig = checkpoint(signatures(rows, n))
+    classes = sig.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("toks").alias("toks"))
+    reps = checkpoint(classes)
+    return sig, reps, components(link_families(rows, reps, families(reps, percent), n, percent))
+
+
 def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
 
@@ -356,12 +367,8 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> D
     extra columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sig = checkpoint(signatures(rows, n))
+    sig, reps, linked = _linked(rows, n, percent)
     own = sig.select("doc_id", "n", "sid")
-    classes = sig.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("toks").alias("toks"))
-    reps = checkpoint(classes)
-    edges = link_families(rows, reps, families(reps, percent), n, percent)
-    linked = components(edges)
     named = linked.join(reps.select(F.col("sid").alias("node"), "rep"), "node")
     best = per_key(named, ["root"], F.min("rep").alias("component_id"))
     named = named.join(best, "root").select(F.col("node").alias("sid"), "component_id")
@@ -380,3 +387,38 @@ def drop_near_copies(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Dat
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def one_per_component(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """One row of ``docs`` for each component, all columns kept.
+
+    The row with the smallest identifier stays; one without an identifier
+    only if no other has one.  Each row is decided by identifier and text
+    digest, so rows that repeat an identifier are told apart, and of rows that
+    repeat both, one stays.  Rows without words are copies of nothing and all
+    stay.  Only rows that go, or that repeat both, are joined to the texts.
+    """
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    digest = F.sha2(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), 256)
+    rows = docs.select(doc_id.alias("doc_id"), text.alias("text"), digest.alias("digest"))
+    sig, _, linked = _linked(rows, n, percent)
+    own = sig.where("sid IS NOT NULL").select("doc_id", "digest", "sid").join(linked.withColumnRenamed("node", "sid"), "sid", "left")
+    own = own.select("doc_id", "digest", F.coalesce("root", "sid").alias("root"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("i"), F.col("digest").alias("d")))
+    best = per_key(own, ["root"], first.alias("best"), F.count(F.lit(1)).alias("c")).where("c > 1").select("root", "best")
+    stays = F.col("doc_id").eqNullSafe(F.col("best.i")) & (F.col("digest") == F.col("best.d"))
+    many = checkpoint(own.join(best, "root").groupBy("doc_id", "digest").agg(F.min(stays).alias("stays"), F.count(F.lit(1)).alias("c")))
+
+    def keys(found: DataFrame) -> tuple[DataFrame, int]:
+        found = found.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+        size = found.count()
+        return (F.broadcast(found) if size <= BROADCAST_IDS else found), size
+
+    gone, _ = keys(many.where("NOT stays"))
+    twice, repeats = keys(many.where("stays AND c > 1"))
+    same = lambda k: docs["doc_id"].cast("long").eqNullSafe(k["_id"]) & (digest == k["_digest"])
+    out = docs.join(gone, same(gone), "left_anti")
+    if not repeats:
+        return out
+    marked = docs.join(twice, same(twice)).dropDuplicates(["_id", "_digest"]).select(*docs.columns)
+    return out.join(twice, same(twice), "left_anti").unionByName(marked)

@@ -87,3 +87,28 @@ def test_stage_with_hot_hashes(spark):
 def test_stage_on_given_documents(spark):
     rows = [(r["doc_id"], r["text"]) for r in table(spark, SF, "documents").collect()]
     assert stage(spark, rows) == kept_by_brute_force(rows)
+
+
+def test_one_row_of_each_component_whatever_the_identifiers(spark):
+    a = " ".join(f"a{i}" for i in range(60))
+    b = " ".join(f"b{i}" for i in range(60))
+    c = " ".join(f"c{i}" for i in range(60))
+    rows = [
+        (5, a), (5, a + " more"),  # two near copies under one identifier
+        (3, b), (2, "another text of that name"), (2, b + " more"),  # the copy's identifier has a text of its own too
+        (None, a + " unnamed"), (None, c), (None, c + " unnamed"),
+        (8, "x y z"), (8, "x y z"), (None, None), (9, ""),
+    ]
+    df = spark.createDataFrame([(*r, "extra") for r in rows], "doc_id long, text string, note string")
+    for limit in (J.BROADCAST_IDS, 0):
+        old, J.BROADCAST_IDS = J.BROADCAST_IDS, limit
+        try:
+            out = corpus_pipeline.drop_near_copies(spark, df, SF)
+            assert out.columns == df.columns
+            got = [(r["doc_id"], r["text"]) for r in out.collect()]
+        finally:
+            J.BROADCAST_IDS = old
+        assert len(got) == 7 and {g for g in got if g[0] in (2, 8, 9)} == {(2, "another text of that name"), (2, b + " more"), (8, "x y z"), (9, "")}
+        assert sum(g[0] == 5 for g in got) == 1 and (None, None) in got
+        assert sum(g[0] is None and g[1] is not None and g[1].startswith("c0 ") for g in got) == 1
+        assert not any(g[0] is None and g[1] is not None and g[1].startswith("a0 ") for g in got)
