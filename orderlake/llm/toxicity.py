@@ -175,7 +175,12 @@ def root_ratio(y1: int, y0: int, n1: int, n0: int) -> float:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
-    """Fit on the labelled rows that aren't held out; the prior and the EVD constant come from all documents."""
+    """Fit on the labelled rows that aren't held out; the prior comes from all documents.
+
+    The score of other tokens, the EVD constant and the logistic curve come
+    from the labelled rows set aside for calibration (one in CALIBRATE, of at
+    most ``max_labelled`` rows), which have no part in the weights.
+    """
     rows = training_rows(docs, labels, max_labelled).withColumn("later", F.pmod(F.xxhash64("doc_id", F.lit("later")), F.lit(CALIBRATE)) == 0)
     fit = F.when(~F.col("later"), F.col("toxic"))
     n = {r["toxic"]: r["n"] for r in rows.where(~F.col("later")).groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
