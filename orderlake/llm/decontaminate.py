@@ -6,6 +6,9 @@ bytes with at most e edits shares at least ``m - q + 1 - q * e`` of its q-grams
 with its copy, all of them within e diagonals of each other.  So q-gram hits
 are counted in overlapping diagonal bands, bands below that bound are dropped,
 and what remains is verified by a banded alignment.
+
+Only whole items are matched: the budget of edits is that of the whole item, so
+a part of an item, however long, is no match.
 """
 
 from __future__ import annotations
