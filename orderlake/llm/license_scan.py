@@ -5,7 +5,8 @@ runs of K, and of each W neighbouring hashes the smallest are kept.  A shared
 run of K + W - 1 words shares a fingerprint, which the inverted index of the
 templates finds.  Each candidate is a template and a diagonal; a banded
 alignment of the words there gives the share of the template that the text
-covers, and where.
+covers, and where.  The words that tell licenses apart (name, version) must
+stand in the text exactly as in the template.
 """
 
 from __future__ import annotations
@@ -48,6 +49,51 @@ TEMPLATES = [
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("BSD", "Licensed under the BSD License."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("ISC", "Licensed under the ISC License."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
+    ("EPL-2.0", "Licensed under the Eclipse Public License, Version 2.0."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    # Titles of the full texts.
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+]
+#: Identifiers whose SPDX line is a template too; of an expression, the first one is reported.
+SPDX = (
+    "MIT MIT-0 Apache-2.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 AGPL-3.0 MPL-2.0 EPL-2.0 BSD-2-Clause BSD-3-Clause 0BSD ISC Unlicense CC0-1.0 "
+    "CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 CC-BY-ND-4.0 CC-BY-NC-SA-4.0 CC-BY-NC-ND-4.0"
+).split()
+TEMPLATES += [(name, f"SPDX-License-Identifier: {name}") for name in SPDX]
+
+#: Names and versions.  Those that a template holds must stand in the text too, each as one run of words.
+NAMES = [
+    "MIT License", "BSD License", "BSD 2-Clause License", "BSD 3-Clause License", "ISC License", "Apache License, Version 2.0", "under the Apache License, Version 2.0",
+    "GNU General Public License", "GNU Lesser General Public License", "GNU Affero General Public License",
+    "Public License, version 2", "Public License, version 2.1", "Public License, version 3", "either version 2 of", "either version 2.1 of", "either version 3 of",
+    "Mozilla Public License, v. 2.0", "Mozilla Public License, Version 2.0", "Eclipse Public License, Version 2.0", "Eclipse Public License 2.0", "Eclipse Public License - v 2.0",
+    *(f"CC {kind} 4.0" for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")), "CC0 1.0 Universal",
+    *(f"Creative Commons Attribution{kind} 4.0" for kind in ("", "-ShareAlike", "-NonCommercial", "-NoDerivatives", "-NonCommercial-ShareAlike", "-NonCommercial-NoDerivatives")),
+    *(f"SPDX-License-Identifier: {name}" for name in SPDX),
 ]
 
 _OUTSIDE = ~B.ALNUM
@@ -72,6 +118,10 @@ def winnow(words: np.ndarray, whole: np.ndarray | None = None) -> np.ndarray:
     return np.flatnonzero(keep), h
 
 
+def _holds(words: np.ndarray, run: np.ndarray) -> bool:
+    return len(words) >= len(run) and bool((np.lib.stride_tricks.sliding_window_view(words, len(run)) == run).all(axis=1).any())
+
+
 class Templates:
     def __init__(self, templates: list[tuple[str, str]] = TEMPLATES):
         self.names = [n for n, _ in templates]
@@ -79,6 +129,8 @@ class Templates:
         self.words = [B.word_hashes([t], _OUTSIDE)[0] for t in raw]
         if min(map(len, self.words)) < K + W - 1:
             raise ValueError(f"a template has fewer than {K + W - 1} words")
+        names = [B.word_hashes([n.encode()], _OUTSIDE)[0] for n in NAMES]
+        self.marks = [[n for n in names if _holds(w, n)] for w in self.words]
         keys, number, place = [], [], []
         for i, w in enumerate(self.words):
             at, h = winnow(w)
@@ -116,7 +168,7 @@ def scan_texts(t: Templates, raw: list[bytes], coverage: float = COVERAGE) -> It
         part = words[low:high]
         edits, s, e = B.banded_alignment(pattern, part, diagonal - slack - low, diagonal + 2 * slack - low)
         share = 1 - edits / m
-        if share >= coverage and e > s:
+        if share >= coverage and e > s and all(_holds(part[s:e], n) for n in t.marks[k]):
             yield doc, k, share, int(starts[low + s] - text_start[doc]), int(ends[low + e - 1] - text_start[doc])
 
 
