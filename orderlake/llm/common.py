@@ -122,6 +122,33 @@ def map_arrow(df: DataFrame, function, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def sum_vectors(rows: DataFrame) -> DataFrame:
+    """Element-wise sums of ``values`` (array<double>, one length per key) for each ``key``, added in the order of ``part``.
+
+    Every task sends one row per key, so a reducer streams as many short rows
+    as there were tasks and holds one sum.
+    """
+    dealt = rows.select("key", "part", "values").repartition("key").sortWithinPartitions("key", "part")
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = None, None
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([held], pa.int64()), pa.array([total], pa.list_(pa.float64()))], ["key", "values"])
+        for batch in batches:
+            values = batch.column(2)
+            for i, key in enumerate(batch.column(0).to_pylist()):
+                now = values[i].values.to_numpy(zero_copy_only=False)
+                if key == held:
+                    total = total + now
+                    continue
+                if held is not None:
+                    yield done()
+                held, total = key, now
+        if held is not None:
+            yield done()
+
+    return map_arrow(dealt, add, "key long, values array<double>")
+
+
 def forget(known: dict, most: int) -> None:
     """Cut a full memory down to the half that was learned first: frequent words are met early."""
     if len(known) > most:

@@ -1,11 +1,11 @@
-"""Registered queries of the ten operators, and their SQL where SQL can express them."""
+"""Registered queries of the operators, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import chat, decontaminate, exact_dedup, html_extract, jaccard_join, license_scan, packing, sharding, toxicity, warc
+from orderlake.llm import chat, decontaminate, exact_dedup, html_extract, jaccard_join, license_scan, packing, sharding, toxicity, warc, whitening
 from orderlake.llm.common import table
 
 
@@ -55,11 +55,16 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+    return white.select("vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_warc_index, op3_chat_windows, op4_vector_shards, op5_content_sort, op6_main_text,
-        op7_jaccard_join, op8_license_scan, op9_packing, op10_toxic_segments,
+        op7_jaccard_join, op8_license_scan, op9_packing, op10_toxic_segments, op12_whitening,
     )
 }
 
