@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import chat, decontaminate, exact_dedup, html_extract, jaccard_join, license_scan, packing, sharding, toxicity, warc, whitening
+from orderlake.llm import chat, decontaminate, exact_dedup, html_extract, jaccard_join, license_scan, packing, repair, sharding, toxicity, warc, whitening
 from orderlake.llm.common import table
 
 
@@ -55,6 +55,11 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.with_empty(repair.repair(repair.damage(turns)), turns)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     white = whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
     return white.select("vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error")
@@ -64,7 +69,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_warc_index, op3_chat_windows, op4_vector_shards, op5_content_sort, op6_main_text,
-        op7_jaccard_join, op8_license_scan, op9_packing, op10_toxic_segments, op12_whitening,
+        op7_jaccard_join, op8_license_scan, op9_packing, op10_toxic_segments, op11_conversation_repair, op12_whitening,
     )
 }
 
@@ -112,4 +117,63 @@ ORACLE = {
             first_value(doc_id) OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS keep_id,
             count(*) OVER (PARTITION BY norm) AS group_size FROM d)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
+    "op11_conversation_repair": r"""
+        WITH RECURSIVE k AS (
+          SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            xor(4294967295, list_reduce(
+              list_concat([4294967295], list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                lambda c: CAST(ascii(c) AS BIGINT))),
+              lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+                lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))) % 20 AS k
+          FROM conversations),
+        d AS (
+          SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+            CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy
+          FROM k WHERE k <> 0),
+        f AS (
+          SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), sha256(text), copy) AS n,
+            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+            regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') AS solid
+          FROM d),
+        g AS (
+          SELECT conv_id, turn, n, role, text, left(role, 1) AS i, solid = '' AS blank, solid <> '' AND seen AS copied,
+            solid <> '' AND NOT seen AND right(solid, 1) NOT IN ('.', '!', '?') AS cut,
+            coalesce(lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1) NOT IN ('su', 'ua', 'au'), false) AS bad,
+            5 * CAST(solid <> '' AND NOT seen AND right(solid, 1) NOT IN ('.', '!', '?') AS BIGINT) AS stay
+          FROM f),
+        s AS (
+          SELECT conv_id, CAST(0 AS BIGINT) AS n, {'c': CAST(0 AS BIGINT), 'a': '', 'r': ''} AS s0,
+            CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, r VARCHAR)) AS s1,
+            {'c': CAST(5 AS BIGINT), 'a': 'I', 'r': chr(10) || 'user:'} AS s2,
+            {'c': CAST(10 AS BIGINT), 'a': 'II', 'r': chr(10) || 'user:' || chr(10) || 'assistant:'} AS s3
+          FROM (SELECT DISTINCT conv_id FROM g)
+          UNION ALL
+          SELECT conv_id, n, s0, s1, s2, list_min([s3, CASE WHEN s2 IS NOT NULL THEN {'c': s2.c + 5, 'a': s2.a || 'I', 'r': s2.r || chr(10) || 'assistant:'} END])
+          FROM (
+            SELECT conv_id, n, s0, s1, s3, list_min(list_concat([s2], list_transform(list_filter([s0, s1, s3], lambda x: x IS NOT NULL),
+              lambda x: {'c': x.c + 5, 'a': x.a || 'I', 'r': x.r || chr(10) || 'user:'}))) AS s2
+            FROM (
+              SELECT g.conv_id, g.n,
+                {'c': s0.c + 2, 'a': s0.a || 'D', 'r': s0.r} AS s0,
+                list_min([CASE WHEN s1 IS NOT NULL THEN {'c': s1.c + 2, 'a': s1.a || 'D', 'r': s1.r} END,
+                  CASE WHEN i = 's' AND NOT blank AND NOT copied THEN {'c': s0.c + stay, 'a': s0.a || 'K', 'r': s0.r || chr(10) || role || ':' || text} END]) AS s1,
+                list_min(list_concat([{'c': s2.c + 2, 'a': s2.a || 'D', 'r': s2.r}],
+                  list_transform(list_filter([s0, s1, s3], lambda x: x IS NOT NULL AND i = 'u' AND NOT blank AND NOT copied),
+                    lambda x: {'c': x.c + stay, 'a': x.a || 'K', 'r': x.r || chr(10) || role || ':' || text}),
+                  list_transform(list_filter([s0, s1, s3], lambda x: x IS NOT NULL AND NOT blank AND NOT copied),
+                    lambda x: {'c': x.c + 1 + stay, 'a': x.a || 'R', 'r': x.r || chr(10) || 'user:' || text}))) AS s2,
+                list_min([{'c': s3.c + 2, 'a': s3.a || 'D', 'r': s3.r},
+                  CASE WHEN i = 'a' AND NOT blank AND NOT copied THEN {'c': s2.c + stay, 'a': s2.a || 'K', 'r': s2.r || chr(10) || role || ':' || text} END,
+                  CASE WHEN NOT blank AND NOT copied THEN {'c': s2.c + 1 + stay, 'a': s2.a || 'R', 'r': s2.r || chr(10) || 'assistant:' || text} END]) AS s3
+              FROM s JOIN g ON g.conv_id IS NOT DISTINCT FROM s.conv_id AND g.n = s.n + 1))),
+        h AS (
+          SELECT conv_id, max(n) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+            count(*) FILTER (copied) AS duplicate, count(*) FILTER (cut) AS truncated, count(*) FILTER (bad) AS illegal
+          FROM g GROUP BY conv_id),
+        e AS (
+          SELECT h.*, list_min([s0, s3]) AS best FROM h JOIN s ON s.conv_id IS NOT DISTINCT FROM h.conv_id AND s.n = h.n)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+          coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.r, 2), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) AS c LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM c.conv_id""",
 }
