@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import chat, decontaminate, exact_dedup, html_extract, jaccard_join, license_scan, packing, repair, sharding, toxicity, warc, whitening
+from orderlake.llm import chat, decontaminate, exact_dedup, html_extract, jaccard_join, license_scan, lm_scoring, packing, repair, sharding, toxicity, warc, whitening
 from orderlake.llm.common import table
 
 
@@ -65,11 +65,16 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return white.select("vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error")
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"), lm_scoring.tokenizer_path())
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_warc_index, op3_chat_windows, op4_vector_shards, op5_content_sort, op6_main_text,
         op7_jaccard_join, op8_license_scan, op9_packing, op10_toxic_segments, op11_conversation_repair, op12_whitening,
+        op13_lm_scoring,
     )
 }
 
