@@ -20,16 +20,20 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.llm.common import checkpoint, forget, map_arrow
+from orderlake.llm.wordchunks import chunks, coded_words, gather
 
 WINDOW = 2048
 GROUP_ROWS = 100_000
 #: Words (and runs of letters) whose ids a worker remembers at most.
 CACHE_WORDS = 200_000
+#: Bytes of text that a task tokenises at once (a longer text is taken alone).
+CHUNK_BYTES = 8_000_000
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -85,16 +89,20 @@ class Words(dict):
 class WordTokenizer:
     """Ids of whole texts through a tokenizer whose pre-tokens never cross ASCII white space.
 
-    The result equals encoding the text as one string.
+    The result equals encoding each text as one string.  Texts are split and
+    coded in Arrow, so Python sees each distinct word of a chunk once.
     """
 
     def __init__(self, path: str):
         self.words = Words(path)
 
-    def encode(self, text: str | None, end_id: int) -> bytes:
-        """Little-endian unsigned 32-bit ids of a text, then ``end_id``."""
-        words = (text or "").encode("utf-8", "surrogatepass").split()
-        return b"".join(map(self.words.__getitem__, words)) + end_id.to_bytes(4, "little")
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Little-endian unsigned 32-bit ids of all texts (strings without nulls), each closed by ``end_id``; their number per text."""
+        codes, distinct, sizes = coded_words(texts)
+        raw = [self.words[w] for w in distinct.cast(pa.binary()).to_pylist()]
+        per_word = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        ids, per_text, _ = gather(codes, sizes, per_word, np.frombuffer(b"".join(raw), "<u4"), end_id)
+        return ids, per_text
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -164,28 +172,28 @@ def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int, with_ids:
         tok = _tokenizers.get(tokenizer)
         if tok is None:
             tok = _tokenizers[tokenizer] = WordTokenizer(tokenizer)
-        width = 4 * window
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                out: list[list] = [[] for _ in schema.names]
-                ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                for doc, text in zip(ids, texts, strict=True):
-                    raw = tok.encode(text, end_id)
-                    n = len(raw) // 4
-                    for start in range(0, len(raw), width):
-                        piece = raw[start : start + width]
-                        row = [doc, start // 4, len(piece) // 4, zlib.crc32(piece), n]
-                        if with_ids:
-                            row.append(np.frombuffer(piece, "<u4").astype(np.int64))
-                        for c, v in zip(out, row, strict=True):
-                            c.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, arrow_types, strict=True)], schema.names)
+        for part in chunks(batches, CHUNK_BYTES):
+            docs = part.column(0).to_pylist()
+            every, per_text = tok.encode(pc.fill_null(part.column(1).combine_chunks(), ""), end_id)
+            raw = memoryview(every.tobytes())
+            first, of, starts, lengths, crcs, ids = 0, [], [], [], [], []
+            for k, n in enumerate(per_text.tolist()):
+                for start in range(0, n, window):
+                    end = min(start + window, n)
+                    of.append(k)
+                    starts.append(start)
+                    lengths.append(end - start)
+                    crcs.append(zlib.crc32(raw[4 * (first + start) : 4 * (first + end)]))
+                    if with_ids:
+                        ids.append(every[first + start : first + end].astype(np.int64))
+                first += n
+            out = [[docs[k] for k in of], starts, lengths, crcs, per_text[of], *([ids] if with_ids else [])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, arrow_types, strict=True)], schema.names)
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     arrow_types = [to_arrow_type(f.dataType) for f in schema]
-    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), cut, schema)
+    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), cut, schema)
 
 
 def pack(
