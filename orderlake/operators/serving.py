@@ -172,3 +172,47 @@ def schema_drift(actual: StructType, expected: StructType, spark) -> DataFrame:
 def enum_violations(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:
     """Values of ``column`` outside an enum, with their counts (NULL is not flagged)."""
     return df.where(~F.col(column).isin(allowed)).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
+
+
+#: Payload keys of the contract and the type that each value's text must have.
+PAYLOAD_CONTRACT = {
+    "city": "string", "category": "string", "amount": "double", "item_count": "int", "discount_pct": "double",
+    "device": "string", "pincode": "string", "gateway": "string",
+}
+
+
+def payload_drift(messages: DataFrame, contract: dict[str, str] | None = None) -> DataFrame:
+    """S21 over the data: how far the payloads of each event type depart from the contract.
+
+    One row per event type and key that the contract names or any payload has:
+    in_contract, messages of the type, those with the key, those without,
+    those whose value doesn't read as the contract's type, and the JSON types
+    met.  Messages are read as VARIANT, so keys need not be known.  What is
+    not JSON or has no payload object takes no part; a null or missing event
+    type is a type of its own.
+    """
+    contract = PAYLOAD_CONTRACT if contract is None else contract
+    spark = messages.sparkSession
+    parsed = messages.select(F.try_parse_json(F.col("value").cast("string")).alias("v")).where("v IS NOT NULL")
+    parsed = parsed.select(F.try_variant_get("v", "$.event_type", "string").alias("event_type"), F.try_variant_get("v", "$.payload", "variant").alias("payload"))
+    parsed = parsed.where("schema_of_variant(payload) LIKE 'OBJECT%'")
+    total = parsed.groupBy("event_type").agg(F.count(F.lit(1)).alias("messages"))
+    keys = spark.sql("SELECT event_type, e.key, e.value FROM {parsed} AS p, LATERAL variant_explode(p.payload) AS e", parsed=parsed)
+    text = F.try_variant_get("value", "$", "string")
+    failed = F.lit(False)
+    for key, kind in contract.items():
+        if kind != "string":
+            failed = F.when(F.col("key") == key, text.try_cast(kind).isNull()).otherwise(failed)
+    met = keys.groupBy("event_type", "key").agg(
+        F.count(F.lit(1)).alias("present"), F.count_if(failed).alias("failed_casts"), F.expr("schema_of_variant_agg(value)").alias("json_type")
+    )
+    expected = total.select("event_type", F.explode(F.array(*[F.lit(k) for k in contract])).alias("key"))
+    every = expected.unionByName(met.select("event_type", "key")).distinct()
+    found = every.alias("e").join(met.alias("m"), F.col("e.event_type").eqNullSafe(F.col("m.event_type")) & (F.col("e.key") == F.col("m.key")), "left")
+    found = found.join(total.alias("t"), F.col("e.event_type").eqNullSafe(F.col("t.event_type")))
+    present = F.coalesce("present", F.lit(0))
+    return found.select(
+        F.col("e.event_type"), F.col("e.key").alias("payload_key"), F.col("e.key").isin(list(contract)).alias("in_contract"), "messages",
+        present.alias("present"), (F.col("messages") - present).alias("missing"), F.coalesce("failed_casts", F.lit(0)).alias("failed_casts"),
+        F.coalesce("json_type", F.lit("")).alias("json_type"),
+    )

@@ -582,3 +582,21 @@ ORACLE["s18_commit_history"] = with_ctes("gold") + """
 SELECT CAST(1 AS BIGINT) AS version, 'REWRITE' AS operation, count(*) AS row_count FROM payments
 UNION ALL SELECT 2, 'REWRITE', count(*) FROM payments WHERE event_type IN ('PAYMENT_INITIATED', 'PAYMENT_FAILED')
 UNION ALL SELECT 3, 'REWRITE', count(*) FROM payments WHERE event_type = 'PAYMENT_FAILED'"""
+
+ORACLE["k11_checksum_recon"] = with_ctes("silver") + f""",
+swapped AS (SELECT event_id, 'X-' || split_part(event_id, '-', 2) AS foreign_id, event_date FROM silver
+            WHERE event_type = 'ORDER_PLACED' AND CAST(split_part(event_id, '-', 2) AS BIGINT) % 211 = 0)
+SELECT {d('event_date', 'processing_date')}, event_id, 'missing' AS status, CAST(1 AS BIGINT) AS copies FROM swapped
+UNION ALL SELECT {d('event_date', 'processing_date')}, foreign_id, 'foreign', 1 FROM swapped"""
+
+ORACLE["x6_from_gold"] = ORACLE["x6_exact_daily_revenue"]
+
+_DRIFT_KEYS = ("city", "category", "amount", "item_count", "discount_pct", "device", "pincode", "gateway", "loyalty_points")
+_DRIFT_FAILS = {"amount": "try_cast(p_amount AS DOUBLE) IS NULL", "item_count": "NOT regexp_full_match(p_item_count, '-?[0-9]+')",
+                "discount_pct": "try_cast(p_discount_pct AS DOUBLE) IS NULL"}
+
+ORACLE["s21_payload_drift"] = with_ctes("parsed") + ", k AS (" + " UNION ALL ".join(
+    f"SELECT event_type, '{k}' AS payload_key, {str(k != 'loyalty_points').lower()} AS in_contract, count(*) AS messages, count(p_{k}) AS present, "
+    f"count(*) - count(p_{k}) AS missing, count(*) FILTER (p_{k} IS NOT NULL AND {_DRIFT_FAILS.get(k, 'false')}) AS failed_casts, "
+    f"CASE WHEN count(p_{k}) > 0 THEN 'STRING' ELSE '' END AS json_type FROM parsed WHERE NOT malformed GROUP BY event_type"
+    for k in _DRIFT_KEYS) + ") SELECT * FROM k WHERE in_contract OR present > 0"

@@ -487,6 +487,31 @@ def _s10_roundtrip(lake):
     return lake.spark.read.schema(tables.stored_schema(lake.spark, path)).parquet(path).select(*cols, "note")
 
 
+@query("k11_checksum_recon")  # K11, K12 by content: a Silver in which placed events were swapped for foreign ones of the same dates
+def _k11c(lake):
+    from orderlake.operators import reconciliation
+    k = F.split_part("event_id", F.lit("-"), F.lit(2)).cast("long")
+    swapped = F.when((F.col("event_type") == "ORDER_PLACED") & (k % 211 == 0), F.concat(F.lit("X-"), k.cast("string"))).otherwise(F.col("event_id"))
+    silver = lake.silver.select("event_date", swapped.alias("event_id"))
+    return reconciliation.checksum_reconcile(lake.silver.select("event_date", "event_id"), silver)
+
+
+@query("x6_from_gold")  # X6, A1: written as Gold with customer bitmaps, read back and rolled up
+def _x6g(lake):
+    from orderlake.operators import rollup
+    path = _scratch(lake, "gold")
+    numbers = rollup.dense_numbers(lake.silver, "customer_id")
+    rollup.hourly_rollup(lake.silver).write.parquet(f"{path}/hourly")
+    rollup.hourly_customers(lake.silver, numbers).write.parquet(f"{path}/customers")
+    return rollup.roll_up(lake.spark.read.parquet(f"{path}/hourly"), lake.spark.read.parquet(f"{path}/customers"), ["event_date"])
+
+
+@query("s21_payload_drift")  # S21: raw messages against the payload contract
+def _s21(lake):
+    from orderlake.operators import serving
+    return serving.payload_drift(lake.raw)
+
+
 @query("s18_commit_history")  # S18
 def _s18(lake):
     from orderlake.sources import tables

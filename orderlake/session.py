@@ -52,9 +52,11 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset (tests)."""
+    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only in a local session without it (tests)."""
     value = checkpoint_dir(spark)
     if value is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         value = tempfile.mkdtemp(prefix="orderlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", value)
     spark.sparkContext.setCheckpointDir(value)
