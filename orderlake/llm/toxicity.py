@@ -22,13 +22,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm.common import checkpoint, forget, map_arrow
 
 #: Labelled rows that training uses at most; a larger table is thinned by a hash of the identifier.
 MAX_LABELLED = 200_000
+#: Tasks that share these rows; each sends one row per feature that it meets.
+LABEL_TASKS = 12
 #: A feature is listed if this many toxic training texts have it, and used if the signed root of its likelihood ratio is above MIN_Z.
 MIN_TEXTS, MIN_Z = 4, 4.0
 #: Weight of the prior in documents: the same for each feature, and shared out as the features are over all documents.
@@ -57,27 +59,17 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 5 == 0
 
 
-def _emit(counts: list[Counter]) -> pa.RecordBatch:
-    names = list(set().union(*counts))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(names, pa.string()), *(pa.array([c[n] for n in names], pa.int64()) for c in counts)], ["feature", *(f"n{k}" for k in range(len(counts)))]
-    )
-
-
-def count_features(docs: DataFrame, listed: set[str] | None, kinds: int) -> DataFrame:
-    """Documents that have each feature, by kind: ``docs`` has text and kind (0 to kinds - 1, null: none).
-
-    Every text counts in n0; a text of kind k counts in nk too.  With
-    ``listed`` only those features are counted.
-    """
-    sent = None if listed is None else docs.sparkSession.sparkContext.broadcast(listed)
+def count_features(texts: DataFrame, listed: set[str] | None) -> DataFrame:
+    """(feature, n): the number of texts that have each feature, with ``listed`` of those only."""
+    sent = None if listed is None else texts.sparkSession.sparkContext.broadcast(listed)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = None if sent is None else sent.value
         known: dict[str, tuple[str, ...]] = {}
-        counts = [Counter() for _ in range(kinds)]
+        counts: Counter = Counter()
+        emit = lambda: pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["feature", "n"])
         for batch in batches:
-            for text, kind in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text in batch.column(0).to_pylist():
                 has: set[str] = set()
                 for w in set((text or "").split()):
                     f = known.get(w)
@@ -86,27 +78,34 @@ def count_features(docs: DataFrame, listed: set[str] | None, kinds: int) -> Data
                         f = known[w] = tuple(x for x in features(w) if keep is None or x in keep)
                     if f:
                         has.update(f)
-                counts[0].update(has)
-                if kind:
-                    counts[kind].update(has)
-            if len(counts[0]) > CACHE:
-                yield _emit(counts)
-                counts = [Counter() for _ in range(kinds)]
-        yield _emit(counts)
+                counts.update(has)
+            if len(counts) > CACHE:
+                yield emit()
+                counts = Counter()
+        yield emit()
+
+    return map_arrow(texts.select("text"), count, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
-    schema = "feature string, " + ", ".join(f"n{k} long" for k in range(kinds))
-    return map_arrow(docs, count, schema).groupBy("feature").agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(kinds)])
 
+def training_texts(docs: DataFrame, labels: DataFrame, max_labelled: int) -> DataFrame:
+    """(text, toxic, later) of the labelled rows to learn from: not held out, one for each different text.
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_labelled: int) -> DataFrame:
-    """(doc_id, toxic) of the labelled rows to learn from: not held out, one for each different text."""
+    ``later`` marks those that are kept for calibration.  At most
+    ``max_labelled`` texts, so they are read from ``docs`` once and kept in
+    LABEL_TASKS partitions for all later steps.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IN (0, 1)")
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = known.count()
     if n > max_labelled:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(0.98e6 * max_labelled / n))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8"), 256).alias("sha"))
-    return checkpoint(texts.join(F.broadcast(known), "doc_id").groupBy("sha").agg(F.min(F.struct("doc_id", "toxic")).alias("r")).select("r.doc_id", "r.toxic"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    sha = F.sha2(F.encode("text", "UTF-8"), 256)
+    # ``known`` has at most max_labelled rows of two numbers.
+    found = checkpoint(texts.join(F.broadcast(known), "doc_id").withColumn("sha", sha).repartition(LABEL_TASKS, "sha"))
+    later = F.pmod(F.xxhash64("doc_id", F.lit("later")), F.lit(CALIBRATE)) == 0
+    one = Window.partitionBy("sha").orderBy("doc_id", "toxic")
+    return checkpoint(found.withColumn("at", F.row_number().over(one)).where("at = 1").select("text", "toxic", later.alias("later")))
 
 
 class Model:
@@ -181,29 +180,30 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     from the labelled rows set aside for calibration (one in CALIBRATE, of at
     most ``max_labelled`` rows), which have no part in the weights.
     """
-    rows = training_rows(docs, labels, max_labelled).withColumn("later", F.pmod(F.xxhash64("doc_id", F.lit("later")), F.lit(CALIBRATE)) == 0)
-    fit = F.when(~F.col("later"), F.col("toxic"))
-    n = {r["toxic"]: r["n"] for r in rows.where(~F.col("later")).groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = training_texts(docs, labels, max_labelled)
+    fit = rows.where("NOT later")
+    n = {r["toxic"]: r["n"] for r in fit.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_clean:
         return Model({}, -0.01)  # no evidence: every score is next to 0
-    # At most max_labelled rows of two numbers.
-    kinds = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(rows), "doc_id", "left")
-    toxic = count_features(kinds.where(fit == 1).select("text", F.lit(0).alias("kind")), None, 1).where(F.col("n0") >= MIN_TEXTS)
-    listed = {r["feature"] for r in toxic.select("feature").collect()}
-    counted = count_features(kinds.select("text", F.when(fit == 1, 1).when(fit == 0, 2).alias("kind")), listed, 3).collect()
-    n_all = kinds.count()
+    toxic = count_features(fit.where("toxic = 1"), None).where(F.col("n") >= MIN_TEXTS)
+    in_toxic = {r["feature"]: r["n"] for r in toxic.collect()}  # features of max_labelled texts
+    in_clean = {r["feature"]: r["n"] for r in count_features(fit.where("toxic = 0"), set(in_toxic)).collect()}
+    # Whether a feature tells the labels apart needs no prior, so only those that do are counted over all documents.
+    told = {f: (n1, in_clean.get(f, 0)) for f, n1 in in_toxic.items() if root_ratio(n1, in_clean.get(f, 0), n_toxic, n_clean) >= MIN_Z}
+    n_all = docs.count()
     weights = {}
-    for r in counted:
-        share = r["n0"] / max(n_all, 1)
+    for r in count_features(docs.select(F.col("text").cast("string").alias("text")), set(told)).collect():
+        n1, n2 = told[r["feature"]]
+        share = r["n"] / max(n_all, 1)
         a = FLAT + PRIOR * share
-        y1, y0 = r["n1"] + a, r["n2"] + a
+        y1, y0 = n1 + a, n2 + a
         odds = math.log(y1 / max(n_toxic + FLAT + PRIOR - y1, 0.5)) - math.log(y0 / max(n_clean + FLAT + PRIOR - y0, 0.5))
-        if odds > 1 and root_ratio(r["n1"], r["n2"], n_toxic, n_clean) >= MIN_Z:
+        if odds > 1:
             weights[r["feature"]] = odds
     model = Model(weights, 0.0)
     # Calibrated on documents that had no part in the weights.
-    toxic_share, clean_share, clean_hits, tokens = _calibrate(kinds.where("later"), model)
+    toxic_share, clean_share, clean_hits, tokens = _calibrate(rows.where("later"), model)
     model.other = math.log((1 - toxic_share) / (1 - min(clean_share, 0.5 * toxic_share))) if toxic_share > 0 else -0.01
     model.other = min(model.other, -1e-3)
     # K: the largest K for which K N exp(-S) is the number of clean segments of score S or more (one half added).
@@ -213,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     for rank, s in enumerate(scores[noise:], 1):
         k = max(k, (rank + 0.5) * math.exp(min(s, 50.0)) / max(tokens, 1))
     model.k = k
-    model.slope, model.offset = _logistic(_excesses(kinds.where("later"), model))
+    model.slope, model.offset = _logistic(_excesses(rows.where("later"), model))
     return model
 
 
