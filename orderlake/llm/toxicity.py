@@ -102,7 +102,7 @@ def training_texts(docs: DataFrame, labels: DataFrame, max_labelled: int) -> Dat
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sha = F.sha2(F.encode("text", "UTF-8"), 256)
     # ``known`` has at most max_labelled rows of two numbers.
-    found = checkpoint(texts.join(F.broadcast(known), "doc_id").withColumn("sha", sha).repartition(LABEL_TASKS, "sha"))
+    found = texts.join(F.broadcast(known), "doc_id").withColumn("sha", sha).repartition(LABEL_TASKS, "sha")
     later = F.pmod(F.xxhash64("doc_id", F.lit("later")), F.lit(CALIBRATE)) == 0
     one = Window.partitionBy("sha").orderBy("doc_id", "toxic")
     return checkpoint(found.withColumn("at", F.row_number().over(one)).where("at = 1").select("text", "toxic", later.alias("later")))
