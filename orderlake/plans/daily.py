@@ -52,15 +52,14 @@ def _day(d) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))
 
 
-CONSUMED_SCHEMA = "processing_date date, after_batch long, through_batch long"
+CONSUMED_SCHEMA = "processing_date date, stream_id string, after_batch long, through_batch long"
 
 
 @dataclass(frozen=True)
 class Intake:
-    """What a run has to process: its Bronze batches and the event dates they hold."""
+    """What a run has to process: for each stream its batches (after, through), and the event dates they hold."""
 
-    after_batch: int
-    through_batch: int
+    streams: dict
     dates: list
 
 
@@ -69,15 +68,25 @@ def intake(spark: SparkSession, paths: LakePaths, day) -> Intake:
 
     A rerun of a day starts where that day's first run started.  However late
     an event arrives, its date is among the dates of the batch it arrived in.
+    Batches are counted for each stream: one with a new checkpoint starts at 0
+    again and is taken in from there.
     """
     day = _day(day)
-    done = tables.read_table(spark, paths.consumed, StructType.fromDDL(CONSUMED_SCHEMA)).collect()  # a row per day
-    own = [r["after_batch"] for r in done if r["processing_date"] == day]
-    after = own[0] if own else max((r["through_batch"] for r in done), default=-1)
-    bronze = spark.read.parquet(paths.bronze).where(F.col("batch_id") > F.lit(after))
-    # Both are partition columns, one value for each folder.
-    found = bronze.select(F.to_date("ingestion_date").alias("d"), F.col("batch_id").cast("long").alias("b")).distinct().collect()
-    return Intake(after, max((r["b"] for r in found), default=after), sorted({r["d"] for r in found if r["d"] is not None}))
+    done = tables.read_table(spark, paths.consumed, StructType.fromDDL(CONSUMED_SCHEMA)).collect()  # a row per day and stream
+    after: dict = {}
+    for r in done:
+        after[r["stream_id"]] = max(after.get(r["stream_id"], -1), r["through_batch"])
+    after |= {r["stream_id"]: r["after_batch"] for r in done if r["processing_date"] == day}
+    bronze = spark.read.parquet(paths.bronze)
+    for stream, batch in after.items():
+        bronze = bronze.where((F.col("stream_id").cast("string") != stream) | (F.col("batch_id") > batch))
+    # All three are partition columns, one value for each folder.
+    found = bronze.select(F.to_date("ingestion_date").alias("d"), F.col("stream_id").cast("string").alias("s"), F.col("batch_id").cast("long").alias("b")).distinct().collect()
+    streams = {s: (b, b) for s, b in after.items()}
+    for r in found:
+        first, last = streams.get(r["s"], (-1, -1))
+        streams[r["s"]] = (first, max(last, r["b"]))
+    return Intake(streams, sorted({r["d"] for r in found if r["d"] is not None}))
 
 
 def bronze_to_silver(spark: SparkSession, paths: LakePaths, day, new: Intake) -> None:
@@ -173,7 +182,7 @@ def run_daily(spark: SparkSession, paths: LakePaths, day, as_of_ms: int | None =
     with _Timer(spark, paths, "dq_suite", "quality", day):
         suite = dq_suite_day(spark, paths, day, as_of_ms)
     # The batches count as consumed only now: a run that fails before is simply run again.
-    mark = spark.createDataFrame([(day, new.after_batch, new.through_batch)], CONSUMED_SCHEMA)
+    mark = spark.createDataFrame([(day, stream, *batches) for stream, batches in sorted(new.streams.items())], CONSUMED_SCHEMA)
     marks = tables.read_table(spark, paths.consumed, StructType.fromDDL(CONSUMED_SCHEMA)).where(F.col("processing_date") != F.lit(day))
     tables.replace_table(marks.unionByName(mark), paths.consumed, log=False)
     ok, reasons = quality.gate(suite, recon)  # K13

@@ -543,7 +543,8 @@ FROM j"""
 
 ORACLE["j1_negative_hours"] = with_ctes("gold") + """
 SELECT p.order_id, placed_ms, d.delivered_ms, (d.delivered_ms - placed_ms) / 3600000.0 AS delivery_hours
-FROM placed p JOIN delivered d ON p.order_id = d.order_id WHERE d.delivered_ms < placed_ms"""
+FROM placed p JOIN (SELECT order_id, min(occurred_at) AS delivered_ms FROM silver WHERE event_type = 'ORDER_DELIVERED' GROUP BY order_id) d
+  ON p.order_id = d.order_id WHERE d.delivered_ms < placed_ms"""
 
 _STEPS = """,
 steps AS (

@@ -127,9 +127,10 @@ placed AS (
   SELECT order_id, customer_id, city, occurred_at AS placed_ms, event_date AS placed_date
   FROM silver WHERE event_type = 'ORDER_PLACED'
 ),
+started AS (SELECT order_id, min(placed_ms) AS started_ms FROM placed GROUP BY order_id),
 delivered AS (
-  SELECT order_id, min(occurred_at) AS delivered_ms FROM silver
-  WHERE event_type = 'ORDER_DELIVERED' GROUP BY order_id
+  SELECT s.order_id, min(occurred_at) AS delivered_ms FROM silver s JOIN started t ON t.order_id = s.order_id
+  WHERE event_type = 'ORDER_DELIVERED' AND occurred_at >= started_ms GROUP BY s.order_id
 ),
 fulfil AS (
   SELECT p.*, d.delivered_ms, (d.delivered_ms - p.placed_ms) / 3600000.0 AS delivery_hours,

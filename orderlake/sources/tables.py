@@ -14,8 +14,12 @@ combine Spark's dynamic partition overwrite with a staging directory:
 * ``replace_partition`` (S12) replaces one partition; rows outside it
   fail the job inside the plan (no extra pass), and an empty input
   removes the partition (dynamic overwrite alone would keep it).
-* ``append_batch`` (S8/S9/G6) appends a micro-batch under a
-  ``batch_id`` partition, so a replay overwrites exactly its own rows.
+* ``replace_table`` writes each rewrite as a version of its own; the newest
+  finished version is the table.
+* ``append_batch`` (S8/S9/G6) appends a micro-batch under ``stream_id`` and
+  ``batch_id`` partitions, so a replay overwrites exactly its own rows and a
+  stream with a new checkpoint, whose batches count from 0 again, overwrites
+  nothing.
 * ``log_commit``/``history`` (S18) keep a commit-log table.
 
 Directory names starting with ``_`` are invisible to Spark's Parquet
@@ -80,29 +84,68 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def _visible(spark: SparkSession, path: str) -> list:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath() for s in fs.listStatus(p) if not s.getPath().getName().startswith(("_", "."))]
+
+
+def _versions(spark: SparkSession, path: str) -> tuple[str, list[str], str | None]:
+    """The folder of a rewritten table's versions, their names in order, and the newest finished one."""
+    root = f"{path.rstrip('/')}/_versions"
+    names = sorted(list_dirs(spark, root))
+    done = next((n for n in reversed(names) if path_exists(spark, f"{root}/{n}/_READY")), None)
+    return root, names, done
+
+
+def _ready(spark: SparkSession, path: str) -> list[str]:
+    root = f"{path.rstrip('/')}/_staging"
+    return [f"{root}/{n}" for n in sorted(list_dirs(spark, root)) if path_exists(spark, f"{root}/{n}/_READY")]
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """A table exists when its directory holds visible data (a file or a partition directory).
+    """A table exists when it has a finished version, a ready staging or visible data (a file or a partition directory).
 
-    Hidden entries (``_SUCCESS``, ``_staging``, ``_log``, ``.crc``) do not count;
+    Other hidden entries (``_SUCCESS``, ``_log``, ``.crc``) do not count;
     dynamic partition overwrite does not leave ``_SUCCESS`` at the root.
     """
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return False
-    return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+    return bool(_visible(spark, path) or _versions(spark, path)[2] or _ready(spark, path))
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Read a Parquet table, or an empty frame of ``schema`` when it does not exist.
 
     Absence is checked explicitly; read errors of an existing table propagate
-    (a blanket ``except`` once turned failures into full overwrites).
+    (a blanket ``except`` once turned failures into full overwrites).  A table
+    that is rewritten as a whole is read in its newest finished version.  While
+    an upsert is being published, or after it stopped there, the partitions it
+    touches are read from its staging, so no reader sees half of them.
     """
-    if table_exists(spark, path):
-        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
-    if schema is None:
-        raise FileNotFoundError(path)
-    return spark.createDataFrame([], schema)
+    reader = lambda: spark.read.schema(schema) if schema is not None else spark.read
+    root, _, version = _versions(spark, path)
+    if version:
+        return reader().parquet(f"{root}/{version}")
+    ready = _ready(spark, path)
+    visible = _visible(spark, path)
+    if not visible and not ready:
+        if schema is None:
+            raise FileNotFoundError(path)
+        return spark.createDataFrame([], schema)
+    rows = reader().parquet(path) if visible else None
+    for stage in ready:
+        manifest = json.loads(read_text(spark, f"{stage}/_READY"))
+        staged = None
+        if _visible(spark, stage):
+            staged = spark.read.schema(StructType.fromJson(manifest["schema"])).parquet(stage) if "schema" in manifest else reader().parquet(stage)
+            if schema is not None:
+                staged = staged.select(*[c if c in staged.columns else F.lit(None).cast(schema[c].dataType).alias(c) for c in schema.names])
+        if rows is not None and "partition" in manifest:
+            value = F.coalesce(F.col(manifest["partition"]).cast("string"), F.lit(NULL_PARTITION))
+            rows = rows.where(~value.isin(manifest["touched"]))
+        if staged is not None:
+            rows = staged if rows is None else rows.unionByName(staged, allowMissingColumns=True)
+    return rows if rows is not None else spark.createDataFrame([], schema)
 
 
 def clustered(df: DataFrame, *cols: str) -> DataFrame:
@@ -159,17 +202,17 @@ def history(spark: SparkSession, table_path: str, n: int = 5) -> DataFrame:
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, partition_cols: tuple[str, ...] = ("ingestion_date",),
-                 observation: Observation | None = None, metrics: list | None = None) -> dict:
-    """Append ``df`` as micro-batch ``batch_id``; a replay of the batch overwrites only its own rows.
+                 observation: Observation | None = None, metrics: list | None = None, stream_id: str = "batch") -> dict:
+    """Append ``df`` as micro-batch ``batch_id`` of ``stream_id``; a replay of the batch overwrites only its own rows.
 
-    ``batch_id`` becomes the innermost partition column and the write uses
-    dynamic partition overwrite, so exactly the (date, batch) partitions of
-    this batch are replaced.  An empty batch writes nothing.  ``metrics``
+    ``stream_id`` and ``batch_id`` become the innermost partition columns and
+    the write uses dynamic partition overwrite, so exactly the (date, stream,
+    batch) partitions of this batch are replaced.  An empty batch writes nothing.  ``metrics``
     (aggregate Columns) are observed during the write itself and returned;
     the observation sits above the layout shuffle so that it also reports
     on empty batches.
     """
-    out = clustered(df.withColumn("batch_id", F.lit(int(batch_id)).cast("long")), *partition_cols)
+    out = clustered(df.withColumns({"stream_id": F.lit(stream_id), "batch_id": F.lit(int(batch_id)).cast("long")}), *partition_cols)
     obs = observation
     if metrics:
         obs = obs or Observation(f"batch_{batch_id}_{uuid.uuid4().hex[:6]}")
@@ -177,7 +220,7 @@ def append_batch(df: DataFrame, path: str, batch_id: int, partition_cols: tuple[
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_cols, "batch_id")
+        .partitionBy(*partition_cols, "stream_id", "batch_id")
         .parquet(path)
     )
     return dict(obs.get) if obs is not None and metrics else {}
@@ -251,19 +294,25 @@ def replace_all_partitions(df: DataFrame, path: str, partition_col: str, log: bo
 
 
 def replace_table(df: DataFrame, path: str, log: bool = True) -> None:
-    """Rewrite a whole (unpartitioned) table that ``df`` may itself read.
+    """Rewrite a whole (unpartitioned) table that ``df`` may itself read, with :func:`read_table`.
 
-    ``df`` is written to staging and marked ready before the table is
-    replaced, so the input is never overwritten while being read, and a
-    crash after the mark is finished by ``recover``.
+    Each rewrite is a version in a folder of its own, which counts from the
+    moment its ``_READY`` mark is there: a run that stops anywhere leaves
+    either the old rows or the new ones, never a part, and nothing is written
+    twice.  The version before stays for readers that have opened it; older
+    and unfinished ones are removed.
     """
     spark = df.sparkSession
-    recover(spark, path, None)
-    stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    root, names, current = _versions(spark, path)
+    target = f"{int(names[-1]) + 1 if names else 1:010d}"
     obs = Observation(f"rewrite_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(stage)
-    touch(spark, f"{stage}/_READY", json.dumps({"full": True}))
-    _publish(spark, path, stage, None)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(f"{root}/{target}")
+    touch(spark, f"{root}/{target}/_READY")
+    for name in names:
+        if name != current:
+            delete_path(spark, f"{root}/{name}")
+    for old in _visible(spark, path):  # a table written before it had versions
+        delete_path(spark, str(old))
     if log:
         log_commit(spark, path, "REWRITE", {"rows": int(obs.get.get("rows", 0) or 0)})
 
@@ -297,19 +346,8 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], order_cols: lis
     return kept.unionByName(src, allowMissingColumns=True)
 
 
-def _publish(spark: SparkSession, path: str, stage: str, partition_col: str | None) -> None:
+def _publish(spark: SparkSession, path: str, stage: str, partition_col: str) -> None:
     manifest = json.loads(read_text(spark, f"{stage}/_READY"))
-    if manifest.get("full"):
-        # Whole-table rewrite: keep the table's hidden folders (staging, log), replace the data.
-        data = spark.read.parquet(stage)
-        fs, p = _fs(spark, path)
-        if fs.exists(p):
-            for st in fs.listStatus(p):
-                if not st.getPath().getName().startswith(("_", ".")):
-                    fs.delete(st.getPath(), True)
-        data.write.mode("append").parquet(path)
-        delete_path(spark, stage)
-        return
     staged = set(list_dirs(spark, stage))
     if any(d.startswith(f"{partition_col}=") for d in staged):
         # The schema in the manifest: partition values are never guessed, and no footer is needed to find columns.
@@ -328,7 +366,7 @@ def _publish(spark: SparkSession, path: str, stage: str, partition_col: str | No
     delete_path(spark, stage)
 
 
-def recover(spark: SparkSession, path: str, partition_col: str | None) -> int:
+def recover(spark: SparkSession, path: str, partition_col: str) -> int:
     """Finish publishing any staged upsert that reached ``_READY``; drop unfinished ones."""
     root = f"{path.rstrip('/')}/_staging"
     done = 0
@@ -392,7 +430,7 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
         obs = Observation(f"upsert_{uuid.uuid4().hex[:8]}")
         clustered(merged, partition_col).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
             .partitionBy(partition_col).parquet(stage)
-        manifest = {"touched": [NULL_PARTITION if v is None else _render(v) for v in touched], "schema": json.loads(merged.schema.json())}
+        manifest = {"partition": partition_col, "touched": [NULL_PARTITION if v is None else _render(v) for v in touched], "schema": json.loads(merged.schema.json())}
         touch(spark, f"{stage}/_READY", json.dumps(manifest))
         _publish(spark, path, stage, partition_col)
         metrics = {"touched": len(touched), "rows_in_touched": int(obs.get.get("rows", 0) or 0)}

@@ -84,7 +84,7 @@ def apply_watermark(df: DataFrame, delay: str = C.WATERMARK) -> DataFrame:
 BATCH_METRICS_SCHEMA = "batch_id long, written long, duplicates long, dlq long, processed_at timestamp"
 
 
-def tag_seen_before(bronze: DataFrame, bronze_path: str, batch_id: int, horizon_days: int) -> DataFrame:
+def tag_seen_before(bronze: DataFrame, bronze_path: str, batch_id: int, horizon_days: int, stream_id: str = "batch") -> DataFrame:
     """G9 (tag form): mark ids already present in Bronze from earlier batches.
 
     The tag means "seen within the horizon": the Bronze partitions read are
@@ -104,7 +104,7 @@ def tag_seen_before(bronze: DataFrame, bronze_path: str, batch_id: int, horizon_
     ids = bronze.select("event_id").distinct()
     seen = (
         spark.read.parquet(bronze_path)
-        .where(F.col("ingestion_date").isin(window) & (F.col("batch_id") != F.lit(batch_id)))
+        .where(F.col("ingestion_date").isin(window) & ((F.col("batch_id") != F.lit(batch_id)) | (F.col("stream_id").cast("string") != stream_id)))
         .select("event_id")
         .join(ids, "event_id", "left_semi")
         .distinct()
@@ -119,28 +119,34 @@ def tag_seen_before(bronze: DataFrame, bronze_path: str, batch_id: int, horizon_
 
 
 def bronze_writer(bronze_path: str, dlq_path: str, metrics_path: str | None = None,
-                  horizon_days: int = 2) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function of the Bronze stream."""
+                  horizon_days: int = 2, stream_id: str | None = None) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function of the Bronze stream.
+
+    Rows carry ``stream_id``, by default the identity that the running stream
+    has from its checkpoint, so that a stream started anew with an empty
+    checkpoint overwrites nothing.
+    """
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
+        stream = stream_id or batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
         batch = batch_df.persist()
         try:
             if batch.isEmpty():  # G7
                 return
             bronze, dlq = ingest.bronze_split(batch, loaded_at_ms=int(time.time() * 1000))
             if horizon_days:
-                bronze = tag_seen_before(bronze, bronze_path, batch_id, horizon_days)
-            mb = tables.append_batch(bronze, bronze_path, batch_id, metrics=[  # S8, G6
+                bronze = tag_seen_before(bronze, bronze_path, batch_id, horizon_days, stream)
+            mb = tables.append_batch(bronze, bronze_path, batch_id, stream_id=stream, metrics=[  # S8, G6
                 F.count(F.lit(1)).alias("written"),
                 F.count_if(F.col("is_duplicate") == "true").alias("duplicates")])
-            md = tables.append_batch(dlq, dlq_path, batch_id,  # S9: an empty DLQ batch writes no partition
+            md = tables.append_batch(dlq, dlq_path, batch_id, stream_id=stream,  # S9: an empty DLQ batch writes no partition
                                      metrics=[F.count(F.lit(1)).alias("dlq")])
             if metrics_path:  # M1, replay-safe like the data
                 m = {**mb, **md}
                 row = [(int(batch_id), int(m.get("written", 0)), int(m.get("duplicates", 0)), int(m.get("dlq", 0)),
                         dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
                 metrics = batch.sparkSession.createDataFrame(row, BATCH_METRICS_SCHEMA).drop("batch_id")
-                tables.append_batch(metrics.coalesce(1), metrics_path, batch_id, partition_cols=())
+                tables.append_batch(metrics.coalesce(1), metrics_path, batch_id, partition_cols=(), stream_id=stream)
         finally:
             batch.unpersist()
 

@@ -16,7 +16,7 @@ DAY = dt.date(1998, 6, 15)
 
 
 def snap(spark, path, drop=("silver_loaded_at", "gold_loaded_at")):
-    df = spark.read.parquet(path)
+    df = tables.read_table(spark, path)
     df = df.drop(*[c for c in drop if c in df.columns])
     return sorted(tuple(str(v) for v in r) for r in df.collect())
 
@@ -104,7 +104,7 @@ def test_events_ten_days_late_and_late_deliveries_match_the_batch_operators(spar
     hourly = ["event_date", "event_hour", "city", "order_count", "gross_revenue"]
     assert key(spark.read.parquet(paths.gold_hourly), *hourly) == key(gold.hourly_orders(every), *hourly)
     dim = ["customer_id", "city", "effective_from", "effective_to", "is_current", "dim_version"]
-    assert key(spark.read.parquet(paths.dim_customers), *dim) == key(scd2.scd2_history(every), *dim)
+    assert key(tables.read_table(spark, paths.dim_customers), *dim) == key(scd2.scd2_history(every), *dim)
 
 
 def test_a_first_day_without_events_gives_a_report(spark, tmp_path):
@@ -120,7 +120,7 @@ def test_consecutive_days_keep_dimension_valid(spark, lake_paths):
     lake, paths = lake_paths
     for d in (DAY, DAY + dt.timedelta(days=1), DAY - dt.timedelta(days=5)):  # includes an out-of-order day
         daily.run_daily(spark, paths, d)
-    dim = spark.read.parquet(paths.dim_customers)
+    dim = tables.read_table(spark, paths.dim_customers)
     assert scd2.dimension_violations(dim).count() == 0
 
 
@@ -134,3 +134,62 @@ def test_backfill_matches_registry_chain(spark, lake_paths):
     daily.backfill(spark, paths)
     assert spark.read.parquet(paths.silver).count() == lake.silver.count()
     assert spark.read.parquet(paths.gold_hourly).count() == gold.hourly_orders(lake.silver).count()
+
+
+def test_a_run_stopped_while_the_dimension_is_rewritten_is_run_again(spark, tmp_path, monkeypatch):
+    paths = daily.LakePaths(str(tmp_path / "lake"))
+    first = [event(f"p{k}", "ORDER_PLACED", order_id=f"ORD-{k}", customer_id=f"CUST-{k}") for k in range(5)]
+    batch(spark, paths, 0, first)
+    daily.run_daily(spark, paths, dt.date(2024, 1, 1))
+    later = T0 + 86_400_000
+    batch(spark, paths, 1, [event("p9", "ORDER_PLACED", occurred_at=later, ingested_at=later, order_id="ORD-9", customer_id="CUST-0", offset="9")])
+    for name in ("touch", "delete_path", "log_commit"):  # the run stops at each step of each table's writing in turn
+        real = getattr(tables, name)
+
+        def stop(spark, path, *rest, real=real, name=name):
+            if "dim_customers" in path:
+                raise OSError("stopped")
+            return real(spark, path, *rest)
+
+        monkeypatch.setattr(tables, name, stop)
+        with pytest.raises(OSError):
+            daily.run_daily(spark, paths, dt.date(2024, 1, 2))
+        monkeypatch.undo()
+        ids = {r[0] for r in tables.read_table(spark, paths.dim_customers).select("customer_id").collect()}
+        assert ids == {f"CUST-{k}" for k in range(5)}
+        daily.intake(spark, paths, dt.date(2024, 1, 2))
+    daily.run_daily(spark, paths, dt.date(2024, 1, 2))
+    from orderlake.operators import scd2
+    dim = tables.read_table(spark, paths.dim_customers)
+    exp = scd2.scd2_history(tables.read_table(spark, paths.silver))
+    cols = ["customer_id", "effective_from", "effective_to", "is_current", "dim_version"]
+    assert sorted(map(str, dim.select(*cols).collect())) == sorted(map(str, exp.select(*cols).collect()))
+
+
+def test_an_early_delivery_doesnt_hide_a_valid_one(spark, tmp_path):
+    hour = 3_600_000
+    rows = [event("p", "ORDER_PLACED", occurred_at=T0, ingested_at=T0, order_id="A"),
+            event("d0", "ORDER_DELIVERED", occurred_at=T0 - 30 * hour, ingested_at=T0, order_id="A", offset="1"),
+            event("d1", "ORDER_DELIVERED", occurred_at=T0 + 10 * hour, ingested_at=T0 + 10 * hour, order_id="A", offset="2")]
+    from orderlake.operators import ingest, silver
+    paths = daily.LakePaths(str(tmp_path / "lake"))
+    for n, part in enumerate((rows[1:2], rows[:1], rows[2:])):  # the early one comes in a run of its own
+        batch(spark, paths, n, part)
+        daily.run_daily(spark, paths, dt.date(2024, 1, 1) + dt.timedelta(days=n))
+    every = silver.cast_and_extract(ingest.first_copies(bronze_frame(spark, rows).drop("is_duplicate")))
+    got = gold.fulfillment(every).collect()
+    assert [(r.delivered_ms, r.delivery_status) for r in got] == [(T0 + 10 * hour, "ON_TIME")]
+    assert [(r.delivered_ms, r.delivery_hours) for r in gold.sla_violations(every).collect()] == [(T0 - 30 * hour, -30.0)]
+    sla = ["event_date", "city", "delivery_status", "order_count"]
+    key = lambda df: sorted(map(str, df.select(*sla).collect()))
+    assert key(spark.read.parquet(paths.gold_sla)) == key(gold.daily_sla(every))
+
+
+def test_a_stream_with_a_new_checkpoint_loses_nothing(spark, tmp_path):
+    paths = daily.LakePaths(str(tmp_path / "lake"))
+    for stream in ("first", "second"):  # both count their batches from 0
+        rows = bronze_frame(spark, [event(f"{stream}-{k}", order_id=f"{stream}-{k}", offset=str(k)) for k in range(3)])
+        tables.append_batch(rows, paths.bronze, 0, stream_id=stream)
+        daily.run_daily(spark, paths, dt.date(2024, 1, 1 if stream == "first" else 2))
+    assert spark.read.parquet(paths.silver).count() == 6
+    assert daily.intake(spark, paths, dt.date(2024, 1, 3)).dates == []

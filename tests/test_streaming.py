@@ -81,7 +81,9 @@ def test_restart_resumes_and_replay_is_idempotent(spark, by_year, tmp_path):
     # replay batch 0 through the writer: the table is unchanged
     before = sorted(map(tuple, total.select("event_id", "kafka_offset", "batch_id").collect()))
     batch0 = spark.read.schema(bs.KAFKA_METADATA).json(os.path.join(src, files[0]))
-    bs.bronze_writer(f"{root}/bronze", f"{root}/dlq", None, horizon_days=2)(batch0, 0)
+    stream = [r[0] for r in total.select("stream_id").distinct().collect()]
+    assert len(stream) == 1 and stream[0] != "batch"  # a restart keeps the identity that the checkpoint holds
+    bs.bronze_writer(f"{root}/bronze", f"{root}/dlq", None, horizon_days=2, stream_id=stream[0])(batch0, 0)
     after = sorted(map(tuple, spark.read.parquet(f"{root}/bronze").select("event_id", "kafka_offset", "batch_id").collect()))
     assert before == after
 

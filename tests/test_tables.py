@@ -161,3 +161,43 @@ def test_replace_all_partitions_keeps_the_log(spark, tmp_path):
     tables.replace_all_partitions(frame(spark, [("b", D2, 3.0, 1)]), path, "event_date")
     assert snapshot(spark, path) == [("b", D2, 3.0)]
     assert tables.history(spark, path).count() == 2
+
+
+def test_a_rewrite_stopped_anywhere_leaves_the_old_rows_or_the_new_ones(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "dim")
+    rows = lambda: sorted(r.event_id for r in tables.read_table(spark, path).collect())
+    tables.replace_table(frame(spark, [("a", D1, 1.0, 1), ("b", D1, 2.0, 1)]), path)
+    opened = tables.read_table(spark, path)
+    for name, seen in (("touch", ["a", "b"]), ("log_commit", ["a", "b", "c"])):
+        def stop(*_, **__):
+            raise OSError("stopped")
+        monkeypatch.setattr(tables, name, stop)
+        with pytest.raises(OSError):
+            tables.replace_table(tables.read_table(spark, path).unionByName(frame(spark, [("c", D1, 3.0, 1)])), path)
+        monkeypatch.undo()
+        assert rows() == seen
+    assert sorted(r.event_id for r in opened.collect()) == ["a", "b"]  # a reader of the version before goes on
+    tables.replace_table(frame(spark, []), path)
+    assert rows() == [] and tables.table_exists(spark, path)
+    assert len(tables.list_dirs(spark, f"{path}/_versions")) == 2
+
+
+def test_readers_never_see_a_half_published_upsert(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "silver")
+    up = lambda rows: tables.upsert(frame(spark, rows), path, ["event_id"], "event_date", order_cols=["ingested_at"])
+    up([("a", D1, 1.0, 1), ("b", D2, 2.0, 1), ("c", D3, 3.0, 1)])
+
+    def stop(*_):
+        raise OSError("stopped")
+
+    monkeypatch.setattr(tables, "_publish", stop)
+    with pytest.raises(OSError):
+        up([("a", D2, 9.0, 2)])
+    monkeypatch.undo()
+    new = [("a", D2, 9.0), ("b", D2, 2.0), ("c", D3, 3.0)]
+    seen = lambda: sorted(tuple(r) for r in tables.read_table(spark, path).select("event_id", "event_date", "amount").collect())
+    assert seen() == new
+    tables.delete_path(spark, f"{path}/event_date={D2}")  # half of the publish: one partition gone, the other still old
+    assert seen() == new
+    tables.recover(spark, path, "event_date")
+    assert seen() == new == snapshot(spark, path)
