@@ -13,6 +13,7 @@ counted as template: an article may quote a line that others quote too.
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterable, Iterator
@@ -88,6 +89,7 @@ def tree(page: str) -> Node:
     """The elements of a page, with the implied end tags of HTML; never fails, whatever the markup."""
     root = Node("")
     stack = [root]
+    places: dict[str, list[int]] = {}  # of each tag, the places of its open elements in the stack
     at, n = 0, len(page)
     while at < n:
         m = TAG.search(page, at)
@@ -106,20 +108,17 @@ def tree(page: str) -> Node:
         if close:
             if name == "br":
                 stack[-1].children.append(" ")
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == name:
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("article", "main", "body") and name not in ("article", "main", "body", "html"):
-                    break
+            at_name = _last(places, (name,))
+            if at_name and (name in CONTENT or at_name > _last(places, ("article", "main", "body"))):
+                _cut(stack, places, at_name)
             continue
         if name == "br":
             stack[-1].children.append(" ")
             continue
         if name in BLOCKS:
-            _pop(stack, ("p",), WALLS)
+            _pop(stack, places, ("p",), WALLS)
         if name in CLOSES:
-            _pop(stack, CLOSES[name], WALLS - {"tbody"})
+            _pop(stack, places, CLOSES[name], WALLS - {"tbody"})
         named, furniture = _furniture(name, attrs or "")
         node = Node(name, named, furniture)
         stack[-1].children.append(node)
@@ -127,19 +126,29 @@ def tree(page: str) -> Node:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else n
         elif name not in VOID and not ((attrs or "").endswith("/") and name not in BLOCKS):
+            places.setdefault(name, []).append(len(stack))
             stack.append(node)
     return root
 
 
-def _pop(stack: list[Node], tags: tuple[str, ...], walls: frozenset) -> None:
-    found = None
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag in tags:
-            found = k
-        elif stack[k].tag in walls:
-            break
-    if found is not None:
-        del stack[found:]
+def _last(places: dict[str, list[int]], tags: Iterable[str]) -> int:
+    """The place of the innermost open element of these tags, 0 if none is open."""
+    return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+
+def _cut(stack: list[Node], places: dict[str, list[int]], at: int) -> None:
+    """Close the elements from place ``at`` on; each is closed once, so a page costs its length."""
+    for node in stack[at:]:
+        places[node.tag].pop()
+    del stack[at:]
+
+
+def _pop(stack: list[Node], places: dict[str, list[int]], tags: tuple[str, ...], walls: frozenset) -> None:
+    """Close the outermost of the open ``tags`` inside the innermost wall (a tag that is itself in ``tags`` is no wall)."""
+    wall = _last(places, (t for t in walls if t not in tags))
+    found = [places[t][bisect.bisect_right(places[t], wall)] for t in tags if places.get(t) and places[t][-1] > wall]
+    if found:
+        _cut(stack, places, min(found))
 
 
 def _walk(root: Node) -> Iterator[tuple[Node, bool, bool]]:

@@ -35,7 +35,11 @@ def test_against_brute_force(spark):
 def test_hot_group_spreads_over_runs(spark):
     rows = [(i, "same text" if i % 3 else f"text {i}") for i in range(600)]
     assert run(spark, rows) == expected(rows)
-    assert run(spark, rows, salts=1) == expected(rows)
+    for sampling in ({"sample": 1, "shown": 3, "run": 8}, {"sample": 2, "shown": 1, "run": 1}):
+        assert run(spark, rows, **sampling) == expected(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = exact_dedup.content_runs(df, sample=1, shown=3, run=8).where("salted")
+    assert cut.count() == 400 and cut.where("run_row = 1").count() > 25 and cut.agg(F.max("run_size")).first()[0] < 40
 
 
 def test_empty_table_and_clashing_columns(spark):
@@ -51,6 +55,17 @@ def test_filter_keeps_one_row_of_each_text(spark):
     assert sorted(map(tuple, got), key=str) == sorted([(1, "a"), (None, "b"), (3, None), (5, "c"), (5, "d")], key=str)
 
 
+def test_neighbours_settle_every_copy_outside_hot_texts(spark):
+    rows = [(i, "hot" if i % 3 == 0 else f"text {i % 500} " * 9) for i in range(3000)]
+    runs = exact_dedup.content_runs(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), sample=4, shown=50, run=100)
+    cold = runs.where(~F.col("salted")).agg(F.count_if(F.col("run_row") == 1).alias("texts"), F.count_if(F.col("run_row") > 1).alias("copies")).first()
+    different = {t for _, t in rows if t != "hot"}
+    assert (cold.texts, cold.copies) == (len(different), 2000 - len(different))
+    assert runs.where("salted").count() == 1000
+
+
 def test_plan_is_native_and_ranges(spark):
-    plan = spark.createDataFrame([(1, "a")], "doc_id long, text string").select(F.col("text"))
-    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    plan = exact_dedup.content_runs(df)._jdf.queryExecution().toString()
+    assert "Python" not in plan.split("Physical Plan")[1].replace("applySchemaToPythonRDD", "") and "rangepartitioning(prefix" in plan
+    assert "Python" not in exact_dedup.content_sort(df)._jdf.queryExecution().optimizedPlan().toString()

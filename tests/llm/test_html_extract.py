@@ -46,3 +46,12 @@ def test_nulls_repeats_and_empty_table(spark):
     assert run(spark, []) == {}
     got = run(spark, [(1, None, "<p>a</p>"), (None, "x", None), (2, "http://a/", ""), (2, "http://a/", "")])
     assert got == {1: "a", None: "", 2: ""}
+
+
+def test_stray_end_tags_cost_the_length_of_the_page():
+    import time
+    n = 20_000
+    for page in ("<div>" * n + "</x>" * n + "deep", "<x><article>" + "<span>" * n + "</x>" * n + "deep", "<span>" * n + "<p>" * n + "deep"):
+        start = time.time()
+        assert H.main_text(page) == "deep"
+        assert time.time() - start < 5
