@@ -523,6 +523,8 @@ SELECT event_id, {d('event_date')},
        amount
 FROM silver"""
 
+ORACLE["s10_upsert_indexed"] = ORACLE["s10_merge"]
+
 ORACLE["k13_gate_by_date"] = with_ctes("silver") + "," + _SUITE_AGG + f""",
 b AS (SELECT CAST(ingestion_date AS DATE) AS pd, count_if(is_duplicate = 'false') AS bc FROM bronze GROUP BY 1),
 s AS (SELECT event_date AS pd, count(*) AS sc FROM silver GROUP BY 1),

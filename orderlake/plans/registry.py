@@ -487,6 +487,19 @@ def _s10_roundtrip(lake):
     return lake.spark.read.schema(tables.stored_schema(lake.spark, path)).parquet(path).select(*cols, "note")
 
 
+@query("s10_upsert_indexed")  # S10, J3: all of Silver stored by the month of processing, every restated key found by the key index and moved
+def _s10_indexed(lake):
+    from orderlake.sources import tables
+    path = _scratch(lake, "indexed")
+    month = F.date_format("processing_date", "yyyy-MM").alias("month")
+    rows = lake.silver.select("event_id", "event_date", "processing_date", "amount", "ingested_at", month)
+    tables.upsert(rows, path, ["event_id"], "month", order_cols=["ingested_at"])
+    stored = tables.read_table(lake.spark, path).where(F.col("event_date") >= F.lit("2000-01-01").cast("date"))
+    source = stored.withColumns({"processing_date": F.lit(RESTAMP_DAY).cast("date"), "month": F.lit(RESTAMP_DAY[:7])})
+    tables.upsert(source, path, ["event_id"], "month", order_cols=["ingested_at"])
+    return tables.read_table(lake.spark, path).select("event_id", "event_date", "processing_date", "amount")
+
+
 @query("k11_checksum_recon")  # K11, K12 by content: a Silver in which placed events were swapped for foreign ones of the same dates
 def _k11c(lake):
     from orderlake.operators import reconciliation

@@ -10,7 +10,8 @@ combine Spark's dynamic partition overwrite with a staging directory:
   staging it finds before doing new work, so a crash between stage and
   publish loses nothing (roll forward).  Reading a table while
   overwriting it would destroy it, which is why the merge never writes
-  straight back to its own input.
+  straight back to its own input.  A key index beside the table finds the
+  partitions that hold a batch's keys.
 * ``replace_partition`` (S12) replaces one partition; rows outside it
   fail the job inside the plan (no extra pass), and an empty input
   removes the partition (dynamic overwrite alone would keep it).
@@ -38,6 +39,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from orderlake.sources import key_index
+
 # ---------------------------------------------------------------------------
 # Hadoop file-system helpers (metadata only; data always moves through Spark)
 # ---------------------------------------------------------------------------
@@ -241,6 +244,7 @@ def replace_partitions(df: DataFrame, path: str, partition_col: str, values: lis
     keep their old contents).  Returns rows written per value.
     """
     spark = df.sparkSession
+    _forget(spark, path)
     values = list(values)
     dtype = df.schema[partition_col].dataType
     inside = F.col(partition_col).isin(values)
@@ -281,6 +285,7 @@ def replace_all_partitions(df: DataFrame, path: str, partition_col: str, log: bo
     Partitions that receive no rows are removed after the write.
     """
     spark = df.sparkSession
+    _forget(spark, path)
     before = {d for d in list_dirs(spark, path) if d.startswith(f"{partition_col}=")}
     obs = Observation(f"all_{uuid.uuid4().hex[:8]}")
     rows = clustered(df, partition_col).observe(
@@ -363,6 +368,8 @@ def _publish(spark: SparkSession, path: str, stage: str, partition_col: str) ->
         name = f"{partition_col}={value}"
         if name not in staged:  # the merge emptied this partition
             delete_path(spark, f"{path.rstrip('/')}/{name}")
+    if "schema" in manifest:
+        touch(spark, _schema_file(path), json.dumps(manifest["schema"]))
     delete_path(spark, stage)
 
 
@@ -380,8 +387,23 @@ def recover(spark: SparkSession, path: str, partition_col: str) -> int:
     return done
 
 
+def _schema_file(path: str) -> str:
+    return f"{path.rstrip('/')}/_schema.json"
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    """Drop what upserts keep beside a table, as another writer changes its rows."""
+    key_index.drop_index(spark, path)
+    delete_path(spark, _schema_file(path))
+
+
 def stored_schema(spark: SparkSession, path: str) -> StructType:
-    """The union of the columns of a table's files (an upsert may add columns; older files lack them)."""
+    """The union of the columns of a table's files (an upsert may add columns; older files lack them).
+
+    Upserts keep it beside the table; without it, all footers are read.
+    """
+    if path_exists(spark, _schema_file(path)):
+        return StructType.fromJson(json.loads(read_text(spark, _schema_file(path))))
     return spark.read.option("mergeSchema", "true").parquet(path).schema
 
 
@@ -391,7 +413,9 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
 
     Only touched partitions are rewritten: the partitions of the incoming
     rows plus the partitions where their keys currently live (a key may move
-    between partitions; finding it reads the key columns of the table).  The
+    between partitions).  The key index beside the table finds these from the
+    hashes of the incoming keys alone, so no other partition is opened; a
+    table without an index gets one, from its key columns.  The
     touched-partition list is one value per partition, so it is collected;
     rows never are.
 
@@ -410,6 +434,8 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
             obs = Observation(f"create_{uuid.uuid4().hex[:8]}")
             clustered(src, partition_col).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
                 .partitionBy(partition_col).parquet(path)
+            key_index.build(src, path, keys, partition_col)
+            touch(spark, _schema_file(path), src.schema.json())
             metrics = {"inserted": int(obs.get.get("rows", 0) or 0), "created": True}
             if log:
                 log_commit(spark, path, "CREATE", metrics)
@@ -417,9 +443,19 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
         stored = stored_schema(spark, path)
         stored[partition_col].dataType = src.schema[partition_col].dataType
         target = spark.read.schema(stored).parquet(path)
+        if key_index.needs_build(spark, path, keys):
+            key_index.build(target, path, keys, partition_col)
+        wanted = key_index.entries(src, stored, keys, partition_col)
+        found = key_index.lookup(spark, path, wanted).persist()
+        dtype = src.schema[partition_col].dataType
         incoming = src.select(partition_col).distinct()
-        moved = target.join(src.select(*keys), keys, "left_semi").select(partition_col).distinct()
+        moved = found.select(F.col("value").cast(dtype).alias(partition_col)).distinct()
         touched = [r[0] for r in incoming.unionByName(moved).distinct().collect()]
+        if not key_index.same_types(src, stored, keys):
+            key_index.drop_index(spark, path)
+        elif touched:
+            key_index.add(spark, path, wanted, found)  # before the rows: the index may know too much, never too little
+        found.unpersist()
         held = [v for v in touched if v is not None]  # an older table may hold a NULL partition
         if not touched:
             return {"touched": 0}

@@ -18,11 +18,13 @@ import datetime as dt
 import time
 from typing import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from orderlake import config as C
-from orderlake.functions.columns import millis_to_date, money_avg, money_sum
+from orderlake.functions.columns import millis_to_date, money
 from orderlake.operators import ingest, silver
 from orderlake.schemas import KAFKA_METADATA
 from orderlake.sources import tables
@@ -191,31 +193,37 @@ def dedup_within_watermark(events: DataFrame, delay: str = C.WATERMARK) -> DataF
     return apply_watermark(events, delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def hourly_orders_stream(events: DataFrame, delay: str = C.WATERMARK, dedup: bool = True,
-                         approx_customers: bool = False) -> DataFrame:
+def hourly_orders_stream(events: DataFrame, delay: str = C.WATERMARK, dedup: bool = True) -> DataFrame:
     """Hourly orders per city and category as a tumbling event-time window.
 
     In append mode a window is emitted once the watermark passes its end;
     events later than the watermark are dropped here but kept in Bronze
     (G10).  Copies of an event are dropped within the same watermark first
-    (as Silver keeps first copies).  Distinct customers use a per-window
-    set, since streaming aggregations do not support DISTINCT; the set is
-    bounded by the customers of one hour, city and category.  For groups
-    too hot for an exact set, ``approx_customers`` keeps a HyperLogLog
-    sketch of fixed size instead.
+    (as Silver keeps first copies).  Distinct customers are exact in two
+    chained aggregates: a state row per customer of an hour, city and category,
+    then one per hour, city and category over the customers' rows.  So no
+    state holds a set, and a hot group is spread by its customers.
     """
     placed = apply_watermark(events.where(F.col("event_type") == "ORDER_PLACED"), delay)
     if dedup:
         placed = placed.dropDuplicatesWithinWatermark(["event_id"])
-    return placed.groupBy(F.window("event_time", "1 hour").alias("w"), "city", "category").agg(
-        F.count(F.lit(1)).alias("order_count"),
-        money_sum("amount").alias("gross_revenue"),
-        money_avg("amount").alias("avg_order_value"),
-        F.sum("item_count").alias("total_items"),
-        (F.approx_count_distinct("customer_id") if approx_customers
-         else F.size(F.collect_set("customer_id"))).cast("long").alias("unique_customers"),
-        F.avg("discount_pct").alias("avg_discount_pct"),
-    ).select(
+    by_customer = placed.groupBy(F.window("event_time", "1 hour").alias("w"), "city", "category", "customer_id").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.sum(money("amount")).alias("revenue"),
+        F.count("amount").alias("amounts"),
+        F.sum("item_count").alias("items"),
+        F.sum("discount_pct").alias("discount"),
+        F.count("discount_pct").alias("discounts"),
+    )
+    hourly = by_customer.groupBy(F.window(F.window_time("w"), "1 hour").alias("w"), "city", "category").agg(
+        F.sum("orders").alias("order_count"),
+        F.sum("revenue").cast("double").alias("gross_revenue"),
+        (F.sum("revenue").cast("double") / F.nullif(F.sum("amounts"), F.lit(0))).alias("avg_order_value"),
+        F.sum("items").alias("total_items"),
+        F.count("customer_id").alias("unique_customers"),
+        (F.sum("discount") / F.nullif(F.sum("discounts"), F.lit(0))).alias("avg_discount_pct"),
+    )
+    return hourly.select(
         millis_to_date(F.unix_millis(F.col("w.start"))).alias("event_date"),
         (F.floor(F.pmod(F.unix_millis(F.col("w.start")), F.lit(C.MS_PER_DAY)) / F.lit(C.MS_PER_HOUR))).cast("int").alias("event_hour"),
         "city", "category", "order_count", "gross_revenue", "avg_order_value", "total_items",
@@ -223,14 +231,81 @@ def hourly_orders_stream(events: DataFrame, delay: str = C.WATERMARK, dedup: boo
     )
 
 
+#: What J6 keeps of an order: the placement, the first delivery at or after it, earlier-seen deliveries, the status last emitted.
+_ORDER_STATE = "city string, placed_ms long, delivered_ms long, early_ms array<long>, said string"
+_STATUS_ROWS = "order_id string, city string, placed_ms long, delivered_ms long, delivery_hours double, delivery_status string"
+
+
+def _settle(horizon_ms: int):
+    """The state function of :func:`delivery_status_stream`; one call per order and batch, or at its timer."""
+
+    def status(placed, delivered):
+        if delivered is None:
+            return "PENDING"
+        return "ON_TIME" if (delivered - placed) / float(C.MS_PER_HOUR) <= C.SLA_HOURS else "LATE"
+
+    def step(key, batches, state):
+        city, placed, delivered, waiting, said = state.get if state.exists else (None, None, None, [], None)
+        waiting = set(waiting or []) | ({delivered} if delivered is not None else set())
+        for pdf in batches:  # a state function of a timer gets none
+            is_placed = pdf["event_type"] == "ORDER_PLACED"
+            for at, where in zip(pdf.loc[is_placed, "occurred_at"], pdf.loc[is_placed, "city"], strict=True):
+                if placed is None or at < placed:
+                    placed, city = int(at), where
+            waiting.update(int(t) for t in pdf.loc[~is_placed, "occurred_at"])
+        if placed is None:
+            kept = sorted(waiting)
+        else:
+            delivered = min((t for t in waiting if t >= placed), default=None)
+            # Deliveries before the placement wait for an earlier placement; later ones than the first can't count any more.
+            kept = sorted(t for t in waiting if t < placed)
+        rows = []
+        due = state.hasTimedOut
+        now = None
+        if placed is not None and (delivered is not None or due or said is not None):
+            now = f"{placed}|{delivered}"
+            if now != said:
+                hours = None if delivered is None else (delivered - placed) / float(C.MS_PER_HOUR)
+                rows.append((key[0], city, placed, delivered, hours, status(placed, delivered)))
+        state.update((city, placed, delivered, kept, now or said))
+        if placed is not None and delivered is None and said is None and not due:
+            state.setTimeoutTimestamp(max(placed + horizon_ms, state.getCurrentWatermarkMs() + 1))
+        if rows:
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _STATUS_ROWS.split(", ")]).astype({"placed_ms": "Int64", "delivered_ms": "Int64"})
+
+    return step
+
+
+def delivery_status_stream(events: DataFrame, horizon_hours: int = 96, delay: str = C.WATERMARK) -> DataFrame:
+    """J6 with corrections: the last row of an order is its row in ``gold.fulfillment``, however late its delivery comes.
+
+    One state row per order.  A delivery gives ON_TIME or LATE at once; an
+    order without one gives PENDING when the watermark passes
+    ``horizon_hours`` after its placement, and a correction when the delivery
+    comes after all.  A repeated delivery changes nothing and gives no row; a
+    placement or delivery that arrives out of order corrects the row given.
+
+    The state of an order stays, as any later event may concern it: it is a few
+    numbers per order in the state store, on disk with the RocksDB provider.
+    Placements of an order count as one, the earliest.  Rows later than the
+    watermark are dropped, as in all stateful paths (Bronze keeps them, G10).
+    """
+    rows = apply_watermark(events.where(F.col("event_type").isin("ORDER_PLACED", "ORDER_DELIVERED") & F.col("order_id").isNotNull()), delay)
+    rows = rows.select("order_id", "event_type", "city", "occurred_at", "event_time")
+    return rows.groupBy("order_id").applyInPandasWithState(
+        _settle(horizon_hours * C.MS_PER_HOUR), _STATUS_ROWS, _ORDER_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def fulfillment_stream(events: DataFrame, horizon_hours: int = 96, delay: str = C.WATERMARK) -> DataFrame:
     """Placed ⋈ delivered as a stream-stream left outer join on order_id.
 
     Both sides carry watermarks and the join is bounded in event time
     (delivery within ``horizon_hours`` of placement), so state is released
     once the watermark passes; unmatched orders are emitted as PENDING then.
-    Copies of events are dropped within the watermark on both sides, so
-    neither duplicates nor repeated deliveries fan out the join.
+    Copies of events and repeated deliveries are dropped within the watermark
+    on both sides; a delivery repeated later than that gives a second row, and
+    one later than the horizon none.  :func:`delivery_status_stream` has
+    neither limit.
     """
     placed = (
         events.where(F.col("event_type") == "ORDER_PLACED")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -201,3 +202,70 @@ def test_readers_never_see_a_half_published_upsert(spark, tmp_path, monkeypatch)
     assert seen() == new
     tables.recover(spark, path, "event_date")
     assert seen() == new == snapshot(spark, path)
+
+
+def _spoil(path):
+    """Files that any reader of data or footers stumbles over."""
+    for f in os.listdir(path):
+        if f.endswith(".parquet"):
+            with open(os.path.join(path, f), "wb") as out:
+                out.write(b"no parquet")
+            crc = os.path.join(path, f".{f}.crc")
+            if os.path.exists(crc):
+                os.remove(crc)
+
+
+def test_upsert_opens_only_partitions_that_the_key_index_names(spark, tmp_path):
+    path = str(tmp_path / "t")
+    up = lambda rows: tables.upsert(frame(spark, rows), path, ["event_id"], "event_date", order_cols=["ingested_at"])
+    days = [dt.date(2024, 1, d) for d in range(1, 11)]
+    up([(f"k{d.day}-{i}", d, float(i), 1) for d in days for i in range(5)])
+    for d in days[3:]:
+        _spoil(f"{path}/event_date={d}")
+    m = up([("k1-0", days[1], 100.0, 2), ("new", days[2], 7.0, 2)])  # one key moves, one is new
+    assert m["touched"] == 3
+    rows = spark.read.parquet(*[f"{path}/event_date={d}" for d in days[:3]]).collect()
+    assert len(rows) == 16 and [r.amount for r in rows if r.event_id == "k1-0"] == [100.0]
+    assert up([("new", days[2], 8.0, 3)])["touched"] == 1
+    assert up([("k1-0", days[1], 101.0, 3)])["touched"] == 2  # the entry of its former day is still there ...
+    with pytest.raises(Exception):  # noqa: B017  (a spoilt day is read when a key of it comes)
+        up([("k9-0", days[0], 1.0, 4)])
+
+
+def test_key_index_is_rebuilt_and_survives_other_writers(spark, tmp_path, monkeypatch):
+    from orderlake.sources import key_index
+    monkeypatch.setattr(key_index, "REBUILD_RUNS", 2)
+    path = str(tmp_path / "t")
+    up = lambda rows: tables.upsert(frame(spark, rows), path, ["event_id"], "event_date", order_cols=["ingested_at"])
+    stored = lambda: {(r.event_id, r.event_date, r.amount) for r in tables.read_table(spark, path).collect()}
+    up([("a", D1, 1.0, 1), ("b", D2, 2.0, 1)])
+    up([("a", D2, 1.0, 2)])
+    up([("a", D3, 1.0, 3)])
+    assert up([("a", D3, 4.0, 4)])["touched"] == 1  # ... until the index is built anew
+    assert len(key_index._runs(spark, path)) == 2
+    tables.replace_partition(frame(spark, [("z", D1, 9.0, 1)]), path, "event_date", D1)  # the index doesn't know z
+    up([("z", D2, 10.0, 2)])
+    assert stored() == {("a", D3, 4.0), ("b", D2, 2.0), ("z", D2, 10.0)}
+
+
+def test_upsert_that_stops_after_its_index_entries_loses_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    up = lambda rows: tables.upsert(frame(spark, rows), path, ["event_id"], "event_date", order_cols=["ingested_at"])
+    up([("a", D1, 1.0, 1), ("b", D2, 2.0, 1)])
+    with monkeypatch.context() as m:
+        m.setattr(tables, "merge", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("executor lost")))
+        with pytest.raises(RuntimeError):
+            up([("a", D3, 5.0, 2)])
+    up([("a", D2, 6.0, 3)])
+    assert {(r.event_id, r.event_date, r.amount) for r in tables.read_table(spark, path).collect()} == {("a", D2, 6.0), ("b", D2, 2.0)}
+
+
+def test_upsert_finds_keys_of_another_type_or_key_set(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda t, *r: spark.createDataFrame(r, f"k {t}, event_date date, v double")
+    tables.upsert(rows("long", (1, D1, 1.0), (2, D2, 2.0)), path, ["k"], "event_date")
+    tables.upsert(rows("int", (1, D3, 5.0)), path, ["k"], "event_date")  # the same key, hashed as another type
+    got = lambda: {(r.k, r.event_date, r.v) for r in tables.read_table(spark, path).collect()}
+    assert got() == {(1, D3, 5.0), (2, D2, 2.0)}
+    tables.upsert(rows("long", (7, D1, 2.0)), path, ["v"], "event_date")  # another key: the index is built for it
+    assert got() == {(1, D3, 5.0), (7, D1, 2.0)}
