@@ -1,11 +1,12 @@
 """Chat formatting in budgeted windows (DataFrame operations only).
 
 Prefix sums of the turns' token counts choose turn-aligned windows: with a
-stride of half of what the budget leaves after history, a turn belongs to the
-window in which its prefix sum falls, and a turn longer than the stride gets a
-window of its own.  Every window but the first opens with the conversation's
-system turn and the last turns before it that fit the history budget; both are
-repeated there with their loss mask off, so each target is learned once.
+stride of half of what the budget leaves after history and system turn, a turn
+belongs to the window in which its prefix sum falls, and a turn longer than the
+stride gets a window of its own.  Every window but the first opens with the
+conversation's system turn and the last turns before it that fit the history
+budget, or what a long turn leaves of it; both are repeated there with their
+loss mask off, so each target is learned once.
 
 Template: ``<turn ROLE>TEXT</turn>`` and a line feed.  Inside roles and texts
 ``\\`` is written ``\\b``, ``<`` is written ``\\l`` and ``>`` is written ``\\g``,
@@ -56,18 +57,22 @@ def budgeted_windows(turns: DataFrame, budget: int = BUDGET, history: int = HIST
         F.col("conv_id"), F.col("turn"), F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     ).withColumn("tokens", turn_tokens(F.col("text")))
     rows = rows.select("*", F.row_number().over(order).alias("n"), (F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens")).alias("at"))
-    long_turn = F.col("tokens") > stride
     rows = rows.select(
         "conv_id", "n", "at", "tokens", "role",
         escape(F.col("text")).alias("body"),
         F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(">")).alias("head"),
-        (F.floor(F.col("at") / stride) * 2 + long_turn.cast("long")).alias("span"),
     )
     piece = F.struct("head", "body", "role", "tokens")
     # The system turn opens the conversation, so it is the first row or there is none.
-    system = F.first(F.when((F.col("n") == 1) & (F.col("role") == "system"), piece)).over(before.rowsBetween(Window.unboundedPreceding, 0))
-    past = F.collect_list(F.when(~((F.col("n") == 1) & (F.col("role") == "system")), piece)).over(before.rangeBetween(-history, -1))
-    rows = rows.select("*", system.alias("system"), F.lag("span").over(before).alias("span_before"), past.alias("past_all"))
+    is_system = (F.col("n") == 1) & (F.col("role") == "system")
+    rows = rows.select("*", F.first(F.when(is_system, piece)).over(before.rowsBetween(Window.unboundedPreceding, 0)).alias("system"))
+    room = F.lit(budget) - F.coalesce(F.col("system.tokens"), F.lit(0))  # of history and new turns
+    stride = F.greatest(F.floor((room - history) / 2), F.lit(1))
+    rows = rows.select("*", (F.floor(F.col("at") / stride) * 2 + (F.col("tokens") > stride).cast("long")).alias("span"))
+    past = F.collect_list(F.when(~is_system, F.struct("at", piece.alias("p")))).over(before.rangeBetween(-history, -1))
+    rows = rows.select("*", F.lag("span").over(before).alias("span_before"), past.alias("past_near"))
+    past_all = F.transform(F.filter("past_near", lambda x: x["at"] >= F.col("at") - (room - F.col("tokens"))), lambda x: x["p"])
+    rows = rows.select("*", past_all.alias("past_all"))
     opens = F.col("span_before").isNull() | (F.col("span_before") != F.col("span"))
     none = F.array().cast("array<struct<head:string,body:string,role:string,tokens:bigint>>")
     kept = F.when(opens & (F.col("n") > 1), F.concat(F.when(F.col("system").isNotNull(), F.array("system")).otherwise(none), F.col("past_all"))).otherwise(none)

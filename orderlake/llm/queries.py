@@ -99,13 +99,15 @@ ORACLE = {
             15 + length(role) + length(text) + length(regexp_replace(role || text, '[^\\<>]', '', 'g')) AS chars
           FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
         v AS (SELECT *, CAST(sum(tokens) OVER (PARTITION BY conv_id ORDER BY n) - tokens AS BIGINT) AS pos FROM u),
-        x AS (
-          SELECT *, (pos // 384) * 2 + CASE WHEN tokens > 384 THEN 1 ELSE 0 END AS span,
-            n = 1 AND role = 'system' AS is_system FROM v),
-        f AS (SELECT conv_id, n, pos, span, lag(span) OVER (PARTITION BY conv_id ORDER BY n) AS span_before FROM x),
+        r AS (
+          SELECT *, n = 1 AND role = 'system' AS is_system,
+            1024 - max(CASE WHEN n = 1 AND role = 'system' THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS room FROM v),
+        x AS (SELECT *, (pos // stride) * 2 + CASE WHEN tokens > stride THEN 1 ELSE 0 END AS span
+          FROM (SELECT *, greatest(CAST(floor((room - 256) / 2) AS BIGINT), 1) AS stride FROM r)),
+        f AS (SELECT conv_id, n, pos, span, least(256, room - tokens) AS past, lag(span) OVER (PARTITION BY conv_id ORDER BY n) AS span_before FROM x),
         repeats AS (
           SELECT f.conv_id, sum(x.chars) AS chars FROM f JOIN x ON x.conv_id = f.conv_id
-            AND (x.is_system OR x.pos BETWEEN f.pos - 256 AND f.pos - 1)
+            AND (x.is_system OR x.pos BETWEEN f.pos - f.past AND f.pos - 1)
           WHERE f.n > 1 AND f.span <> f.span_before AND x.n < f.n GROUP BY f.conv_id)
         SELECT t.conv_id, count(*) AS n_turns,
           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
