@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-BUCKETS = 256
+BUCKETS = 32
 REBUILD_RUNS = 32
 
 SCHEMA = "h long, value string, run long, bucket int"
