@@ -4,9 +4,10 @@
 2. The counts of subword ids follow from the words' counts.  The most frequent
    ids are classes of their own; the others are grouped by the ids that stand
    beside them in words.
-3. The attention model (``attention``) learns in ROUNDS rounds: in each, every
-   task walks a share of the training texts from the same weights, and Spark
-   averages what the tasks learned, weighted by their positions.
+3. The attention model (``attention``) learns from every training text, in
+   ROUNDS rounds that share the texts out: in each, every task walks its texts
+   from the same weights, and Spark averages what the tasks learned, weighted
+   by their positions.
 4. Every text is scored in overlapping windows.  The network spells a word as
    its ids and the opening of the next word; the model's probability of a word
    mixes that with the word's share of the training tokens, so it
@@ -33,8 +34,8 @@ from orderlake.llm.wordchunks import chunks, coded_words, gather
 
 #: Words that are sent to all tasks at most; the counts of the others are joined.
 HOT_WORDS = 200_000
-#: One training text in SHARE is walked in each of ROUNDS rounds, at these rates.
-SHARE, RATES, WALK = 32, (4e-3, 1.5e-3), 4
+#: Every training text is walked in one of ROUNDS rounds, at these rates.
+RATES = (4e-3, 1.5e-3)
 ROUNDS = len(RATES)
 #: Bytes of text that a task counts or scores at once (a longer text is taken alone).
 COUNT_BYTES, SCORE_BYTES = 8_000_000, 2_000_000
@@ -352,12 +353,9 @@ def train(texts: DataFrame, path: str, hot_words: int = HOT_WORDS) -> tuple[Mode
     model = Model(path, hot_word, hot.column("n").to_numpy().astype(np.int64), int(total["e"] or 0), int(total["n"] or 0), int(total["v"]), n, class_of, row_of)
     after = follows(counts, sub.opens, row_of, class_of, n)
     model.table, model.weights = attention.bigrams(after, model.share), attention.initial(after, model.share)
-    part = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("fit")), F.lit(SHARE))
+    part = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("fit")), F.lit(ROUNDS))
     for k, rate in enumerate(RATES):
-        own = texts.where(part == k)
-        # A task gets the chosen texts of WALK partitions, so that it takes enough steps between two averages.
-        own = own.coalesce(max(1, -(-own.rdd.getNumPartitions() // WALK)))
-        model.weights = _averaged(own, model, rate) or model.weights
+        model.weights = _averaged(texts.where(part == k), model, rate) or model.weights
     return model, known.where(~listed)
 
 

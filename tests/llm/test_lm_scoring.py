@@ -157,6 +157,19 @@ def test_learning_lowers_the_loss(model):
     assert losses[-1] < 0.7 * losses[0]
 
 
+def test_every_training_text_is_walked_once(spark, monkeypatch):
+    walked, averaged = [], L._averaged
+
+    def spy(texts, model, rate):
+        walked.append([r["doc_id"] for r in texts.select("doc_id").collect()])
+        return averaged(texts, model, rate)
+
+    monkeypatch.setattr(L, "_averaged", spy)
+    L.train(spark.createDataFrame([(None if i == 7 else i // 2, "a b " * (i % 5)) for i in range(120)], "doc_id long, text string"), PATH)
+    assert len(walked) == L.ROUNDS and all(walked)
+    assert sorted((i for w in walked for i in w), key=str) == sorted((None if i == 7 else i // 2 for i in range(120)), key=str)
+
+
 def test_words_and_chunks():
     texts = pa.array(["A bCÉ  d", None, "", "  x ", "\x1c y z"])
     codes, distinct, sizes = L.words(pa.chunked_array([texts]))
