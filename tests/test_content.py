@@ -105,3 +105,8 @@ def test_payload_drift_of_odd_messages(spark):
     p = lambda k: tuple(got["P", k][c] for c in ("in_contract", "messages", "present", "missing", "failed_casts"))
     assert p("city") == (True, 3, 2, 1, 0) and p("amount") == (True, 3, 3, 0, 1) and p("item_count") == (True, 3, 2, 1, 1) and p("new") == (False, 3, 2, 1, 0)
     assert got["P", "new"]["json_type"] == "VARIANT" and got[None, "amount"]["missing"] == 1
+
+
+def test_messages_are_parsed_once(spark):
+    plan = serving.payload_drift(Lake(spark, SF_SMALL).raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("orders.parquet") == 1 and plan.count("parseJson(") + plan.count("parse_json(") <= 1
