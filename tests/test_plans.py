@@ -69,3 +69,30 @@ def test_results_do_not_depend_on_session_time_zone(spark, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert utc == other
+
+
+def test_published_values_are_parsed_once(spark):
+    plan = plan_of(registry.QUERIES["s19_keyed_publish"](spark, SF_SMALL))
+    assert "get_json_object" not in plan and plan.count("Generate inline(array(from_json") == 1
+
+
+def test_orders_keep_their_tasks_before_they_fan_out(spark):
+    assert "REPARTITION_BY_NUM" in plan_of(Lake(spark, SF_SMALL).raw)
+
+
+@pytest.mark.parametrize("name, unused", [("m10_silver_count", ["pincode", "discount_pct"]), ("d7_full_history", ["pincode", "amount"]), ("m5_duration_percentiles", ["device", "city"]),
+                                          ("k13_gate_by_date", ["pincode", "device"]), ("s10_upsert_indexed", ["pincode", "device"])])
+def test_silver_holds_only_the_columns_that_a_query_reads(spark, monkeypatch, name, unused):
+    asked = []
+
+    def spy(self, *columns):
+        asked.append(columns)
+        return kept(self, *columns)
+
+    kept = Lake.silver_of
+    monkeypatch.setattr(Lake, "silver_of", spy)
+    registry.QUERIES[name](spark, SF_SMALL)
+    assert asked and not any(c in columns for columns in asked for c in unused)
+    plan = plan_of(Lake(spark, SF_SMALL).silver_of(*asked[0]))
+    narrow = [line for line in plan.splitlines() if "partial_min_by" in line]
+    assert narrow and not any(c in line for line in narrow for c in [*unused, "payload"])
