@@ -1,9 +1,10 @@
-"""Distinct customers that roll up (X1, X6, A1): bitmaps over dense customer numbers, stored with Gold.
+"""Distinct customers that roll up (X1, X6, A1): sets of dense customer numbers, stored with Gold.
 
-Distinct counts don't add up, bitmaps do: a day is the OR of its hours.  Each
-customer gets a dense number once; a Gold row's customers are bits in buckets
-of 32,768 numbers, so a group is a few short binary values however many
-events it has.
+Distinct counts don't add up, sets do: a day is the union of its hours.  Each
+customer gets a dense number once; a Gold row's customers are the positions
+they have in buckets of 32,768 numbers, so a group is a few short lists however
+many events it has.  A rolled-up bucket is a bitmap.  Hours are no bitmaps:
+each would take 4 KB, and with many customers most have one bit.
 """
 
 from __future__ import annotations
@@ -46,17 +47,19 @@ def hourly_rollup(silver: DataFrame) -> DataFrame:
 
 
 def hourly_customers(silver: DataFrame, numbers: DataFrame) -> DataFrame:
-    """The customers of each hour, city and category: a bitmap per bucket of customer numbers."""
+    """The customers of each hour, city and category: their positions in each bucket of customer numbers."""
     placed = silver.where(F.col("event_type") == "ORDER_PLACED").select(*HOUR, F.col("customer_id").alias("id"))
     # One row per customer and hour first, so a customer with many events is combined before the join.
     rows = placed.distinct().join(numbers, "id")
-    return rows.groupBy(*HOUR, F.bitmap_bucket_number("number").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("customers"))
+    return rows.groupBy(*HOUR, F.bitmap_bucket_number("number").alias("bucket")).agg(F.collect_list(F.bitmap_bit_position("number").cast("int")).alias("customers"))
 
 
 def roll_up(hourly: DataFrame, customers: DataFrame, by: list[str]) -> DataFrame:
     """Orders, exact revenue, average and distinct customers by any of the hourly keys, from the two Gold tables alone."""
     money = hourly.groupBy(*by).agg(F.sum("order_count").alias("total_orders"), F.sum("revenue").alias("revenue"))
-    merged = customers.groupBy(*by, "bucket").agg(F.bitmap_or_agg("customers").alias("customers"))
+    # Dealt by bucket first, so that each bitmap is made once and no partial ones are shuffled.
+    bits = customers.select(*by, "bucket", F.explode("customers").alias("bit")).repartition(*by, "bucket")
+    merged = bits.groupBy(*by, "bucket").agg(F.bitmap_construct_agg("bit").alias("customers"))
     people = merged.groupBy(*by).agg(F.sum(F.bitmap_count("customers")).alias("unique_customers")).toDF(*[f"_{b}" for b in by], "unique_customers")
     same = F.lit(True)
     for b in by:

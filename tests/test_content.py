@@ -110,3 +110,11 @@ def test_payload_drift_of_odd_messages(spark):
 def test_messages_are_parsed_once(spark):
     plan = serving.payload_drift(Lake(spark, SF_SMALL).raw)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("orders.parquet") == 1 and plan.count("parseJson(") + plan.count("parse_json(") <= 1
+
+
+def test_sparse_hours_store_positions_only(spark):
+    lake = Lake(spark, SF_SMALL)
+    stored = rollup.hourly_customers(lake.silver, rollup.dense_numbers(lake.silver, "customer_id"))
+    people = lake.silver.where("event_type = 'ORDER_PLACED' AND customer_id IS NOT NULL").select(*rollup.HOUR, "customer_id").distinct().count()
+    # A number for each customer of an hour, not 4 KB for each hour.
+    assert stored.agg(F.sum(F.size("customers"))).first()[0] == people
