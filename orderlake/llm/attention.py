@@ -161,6 +161,7 @@ def forward(w: dict[str, np.ndarray], table: np.ndarray, room: Room, now: np.nda
 #: exp(x) as a float whose bits are the whole number x * 2^23 / ln 2 + 127 * 2^23: the power of two is joined by straight lines.
 _BITS, _ZERO = 2.0**23 / math.log(2), 127 * 2.0**23
 _TOP = _ZERO + float(LIMIT) * _BITS
+_LEAST = 2.0**23  # the smallest normal float: a share of it still has a logarithm
 
 
 def _power(a: np.ndarray, whole: np.ndarray) -> np.ndarray:
@@ -189,8 +190,6 @@ class Scorer:
         self.near[_DIST < 0] = 0  # power zero: a later key has no share
         self.causal = (_DIST >= 0).astype(np.float32)
         self.w_seen, self.out = w["w_seen"], (w["w_out"] * _BITS).astype(np.float32)
-        # Held so low, the hidden layer cannot move a logit by more than two thirds of LIMIT; with the bigrams it stays in the range of the power.
-        self.most = np.float32(2 / 3 * float(LIMIT) / max(float(np.abs(w["w_out"]).sum(axis=0).max()), 1e-9))
         self.table = (np.maximum(table, -45) * _BITS + _ZERO).astype(np.float32)
 
     def shares(self, now: np.ndarray, before: np.ndarray, opens: np.ndarray, last: tuple | None) -> tuple[np.ndarray, np.ndarray, tuple]:
@@ -214,9 +213,10 @@ class Scorer:
         hidden = self.now.take(now, axis=0, out=room("hidden", m, HIDDEN), mode="clip")
         hidden += self.before.take(before, axis=0, out=room("part", m, HIDDEN), mode="clip")
         hidden += np.matmul(seen, self.w_seen, out=room("part", m, HIDDEN))
-        np.clip(hidden, np.float32(0), self.most, out=hidden)
+        np.maximum(hidden, np.float32(0), out=hidden)
         logits = np.matmul(hidden, self.out, out=room("logits", m, CLASSES))
         logits += self.table.take(now, axis=0, out=room("table", m, CLASSES), mode="clip")
+        np.clip(logits, np.float32(_LEAST), np.float32(_TOP), out=logits)  # the logits, not the hidden layer: a well-trained one is large
         whole = room("whole", m, CLASSES).view(np.int32)
         np.copyto(whole, logits, casting="unsafe")
         shares = whole.view(np.float32)
