@@ -96,3 +96,19 @@ def test_silver_holds_only_the_columns_that_a_query_reads(spark, monkeypatch, na
     plan = plan_of(Lake(spark, SF_SMALL).silver_of(*asked[0]))
     narrow = [line for line in plan.splitlines() if "partial_min_by" in line]
     assert narrow and not any(c in line for line in narrow for c in [*unused, "payload"])
+
+
+@pytest.mark.parametrize("name", ["a7_bronze_profile", "d1_scd2_apply", "d8_dimension_violations", "j5_city_as_of", "k11_checksum_recon", "k11_reconciliation", "k12_backfill_dates", "k13_gate_by_date",
+                                  "m2_records_by_layer", "m5_duration_percentiles", "s4_bronze_date_scan", "s10_merge", "w1_bronze_duplicates", "x3_sla_compliance"])
+def test_rows_read_more_than_once_are_stored_first(spark, name):
+    assert "from_json" not in plan_of(registry.QUERIES[name](spark, SF_SMALL))  # else each branch of the plan parses every message again
+
+
+def test_orders_are_dealt_after_their_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many customers
+    try:
+        lines = plan_of(Lake(spark, SF_SMALL).raw).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    at = lambda what: [i for i, line in enumerate(lines) if what in line]
+    assert at("SortMergeJoin") and at("Generate inline")[-1] < at("REPARTITION_BY_NUM")[0] < at("SortMergeJoin")[0]  # the plan's root is its first line
