@@ -52,6 +52,8 @@ SKETCH_SHARED = 16
 #: Hashes in one trie block, and identifiers in one broadcast (beyond it the texts are joined by a shuffle).
 BLOCK = 500_000
 BROADCAST_IDS = 250_000
+#: Edges or nodes that a task of a round of ``components`` holds at least: with fewer, every shuffle would be mostly small files.
+ROUND_ROWS = 100_000
 
 
 def shingle_sets(texts: list[bytes], n: int = N) -> Iterator[np.ndarray]:
@@ -97,6 +99,12 @@ def signatures(rows: DataFrame, n: int) -> DataFrame:
     return map_arrow(rows, sign, "doc_id long, n long, sid binary, toks array<long>" + kept)
 
 
+def _packed(df: DataFrame) -> DataFrame:
+    """A checkpoint of ``df`` in as few partitions as its rows fill."""
+    held = checkpoint(df)
+    return held.coalesce(max(1, -(-held.count() // ROUND_ROWS)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes of ``edges`` (a, b); the root is the smallest node it reaches.
 
@@ -104,18 +112,18 @@ def components(edges: DataFrame) -> DataFrame:
     edges.  Nodes are random names, so rounds grow with the logarithm of the
     longest path.
     """
-    e = checkpoint(edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    e = _packed(edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     out = None
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hook = checkpoint(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("up")))
+        hook = _packed(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("up")))
         if out is None:
             out = hook.select("node", F.col("up").alias("root"))
         else:
             out = out.join(hook.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
         left = e.join(hook.select(F.col("node").alias("a"), F.col("up").alias("ua")), "a").join(hook.select(F.col("node").alias("b"), F.col("up").alias("ub")), "b")
-        e = checkpoint(left.where("ua != ub").select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct())
-        out = checkpoint(out)
+        e = _packed(left.where("ua != ub").select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct())
+        out = _packed(out)
         if e.isEmpty():
             return out
 

@@ -100,6 +100,16 @@ def test_components_of_paths(spark):
     assert got == {n: min(nodes[:20]) for n in nodes[:20]} | {n: min(nodes[30:32]) for n in nodes[30:32]}
 
 
+def test_rounds_of_components_do_not_shuffle_small_files(spark):
+    edges = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}") for i in range(0, 40, 2)], "a string, b string").repartition(16)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would put small partitions together by itself
+    try:
+        got = J.components(edges)
+        assert got.rdd.getNumPartitions() == 1 and got.count() == 40
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_filter_keeps_one_of_each_group(spark):
     text = " ".join(f"x{i}" for i in range(50))
     rows = [(4, text), (2, text + " more"), (9, "something else"), (None, text), (7, None)]
