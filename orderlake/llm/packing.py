@@ -159,7 +159,7 @@ def best_fit_decreasing(lengths: np.ndarray, window: int) -> tuple[np.ndarray, n
     return bins, offsets, n
 
 
-def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int, with_ids: bool, id_col: str, text_col: str) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int, with_ids: bool, id_col: str, text_col: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField("id", docs.schema[id_col].dataType),
@@ -172,7 +172,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int, with_ids:
         tok = _tokenizers.get(tokenizer)
         if tok is None:
             tok = _tokenizers[tokenizer] = WordTokenizer(tokenizer)
-        for part in chunks(batches, CHUNK_BYTES):
+        for part in chunks(batches, chunk_bytes):
             docs = part.column(0).to_pylist()
             every, per_text = tok.encode(pc.fill_null(part.column(1).combine_chunks(), ""), end_id)
             raw = memoryview(every.tobytes())
@@ -205,15 +205,17 @@ def pack(
     group_rows: int = GROUP_ROWS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """One row per piece: its place in its document and in its sequence.
 
     A document is its ids and ``end_id``, so a null or empty text is one piece
     of one id.  Null or repeated identifiers are documents like any other; an
     empty table gives no pieces.  Only the two named columns are read.
-    Sequence numbers are unique, not gapless.
+    Sequence numbers are unique, not gapless.  ``chunk_bytes`` of text are tokenised
+    at once: it changes the memory of a task, not the rows.
     """
-    rows = checkpoint(pieces(docs, tokenizer, window, end_id, with_ids, id_col, text_col).withColumn("row", F.monotonically_increasing_id()))
+    rows = checkpoint(pieces(docs, tokenizer, window, end_id, with_ids, id_col, text_col, chunk_bytes).withColumn("row", F.monotonically_increasing_id()))
     full = rows.where(F.col("length") == window)
     rest = rows.where(F.col("length") < window)
     n_groups = max(1, -(-rest.count() // group_rows))

@@ -77,3 +77,13 @@ def test_best_fit_decreasing_takes_the_tightest_window():
         else:
             left.append(64 - lengths[k])
     assert n == len(left) and sorted(64 - np.bincount(bins, lengths).astype(int)) == sorted(left)
+
+
+def test_the_pipeline_packs_small_chunks_to_the_same_pieces(spark, path, monkeypatch):
+    import corpus_pipeline
+
+    df = spark.createDataFrame([(i, f"some text number {i} " * (i % 70)) for i in range(100)], "doc_id long, text string")
+    want, seen, pack = {tuple(r) for r in packing.pack(df, path).collect()}, [], packing.pack
+    monkeypatch.setattr(corpus_pipeline, "PACK_BYTES", 900)  # an executor of the pipeline was stopped beyond 3,000 MB with the chunk of op9
+    monkeypatch.setattr(packing, "pack", lambda *a, **k: seen.append(k["chunk_bytes"]) or pack(*a, **k))
+    assert {tuple(r) for r in corpus_pipeline.pack(spark, df, "").collect()} == want and seen == [900]
