@@ -75,3 +75,13 @@ def test_first_copies_equals_tag_and_filter_and_combines_map_side(spark):
     assert b.where("event_id = 'HOT'").first().kafka_offset == "0"
     plan = b._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan and "Join" not in plan  # one aggregate, combined before the shuffle
+
+
+def test_a_scan_tags_its_rows_against_copies_outside_it(spark):
+    rows = [("a", "PLACED", 5, "0"), ("a", "DELIVERED", 3, "0"), ("b", "PLACED", 9, "0"), ("b", "PLACED", 9, "1"),
+            (None, "PLACED", 2, "0"), (None, "DELIVERED", 1, "0"), ("c", "DELIVERED", 1, "0")]
+    df = spark.createDataFrame(rows, "event_id string, event_type string, ingested_at long, kafka_offset string").withColumn("kafka_partition", F.lit("0"))
+    wanted, cols = F.col("event_type") == "PLACED", ["event_id", "ingested_at", "kafka_offset", "is_duplicate"]
+    some = sorted(tuple(r) for r in ingest.tag_duplicates_where(df, wanted).select(*cols).na.fill("").collect())
+    assert some == sorted(tuple(r) for r in ingest.tag_duplicates(df).where(wanted).select(*cols).na.fill("").collect())
+    assert some == [("", 2, "0", "true"), ("a", 5, "0", "true"), ("b", 9, "0", "false"), ("b", 9, "1", "true")]
