@@ -85,3 +85,15 @@ def test_a_scan_tags_its_rows_against_copies_outside_it(spark):
     some = sorted(tuple(r) for r in ingest.tag_duplicates_where(df, wanted).select(*cols).na.fill("").collect())
     assert some == sorted(tuple(r) for r in ingest.tag_duplicates(df).where(wanted).select(*cols).na.fill("").collect())
     assert some == [("", 2, "0", "true"), ("a", 5, "0", "true"), ("b", 9, "0", "false"), ("b", 9, "1", "true")]
+
+
+def test_first_copies_sorts_by_a_hash_of_the_key(spark):
+    rows = [("a", "x", 5, "1"), ("a", "y", 3, "0"), (None, "z", 2, "0"), (None, "w", 1, "0"), ("b", None, None, "0")]
+    df = spark.createDataFrame(rows, "event_id string, city string, ingested_at long, kafka_offset string").withColumn("kafka_partition", F.lit("0"))
+    got = ingest.first_copies(df, columns=["city", "event_id"])
+    assert got.columns == ["city", "event_id"]
+    assert {tuple(r) for r in got.collect()} == {("y", "a"), ("w", None), (None, "b")} and got.count() == 3
+    assert sorted(r.event_id or "" for r in ingest.first_copies(df, columns=["event_id"]).collect()) == ["", "a", "b"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    sorts = [line.split("Sort [", 1)[1] for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and not any(s.startswith("event_id#") for s in sorts)  # the hash first, not the key itself, whose first bytes are alike
