@@ -118,3 +118,10 @@ def test_sparse_hours_store_positions_only(spark):
     people = lake.silver.where("event_type = 'ORDER_PLACED' AND customer_id IS NOT NULL").select(*rollup.HOUR, "customer_id").distinct().count()
     # A number for each customer of an hour, not 4 KB for each hour.
     assert stored.agg(F.sum(F.size("customers"))).first()[0] == people
+
+
+def test_quantiles_count_repeated_values_by_weight(spark):
+    df = spark.createDataFrame([("a", 2.0)] * 7 + [("a", 4.0), ("a", None), ("b", None)], "k string, x double")
+    assert {tuple(r) for r in quantiles.weighted(df, ["k"], "x").collect()} == {("a", 2.0, 7), ("a", 4.0, 1)}
+    got = quantiles.exact_quantiles(df, ["k"], "x", {"p": 0.95}, bins=2, small=1).collect()
+    assert [r["k"] for r in got] == ["a"] and abs(got[0]["p"] - np.quantile([2.0] * 7 + [4.0], 0.95)) < 1e-12
