@@ -39,21 +39,27 @@ def _latest_known(col: str) -> F.Column:
     return F.max_by(_known(col), order)
 
 
-def customer_snapshot(silver: DataFrame, effective_date=None) -> DataFrame:
-    """A5: latest known city/device and last-seen time per customer.
-
-    ``max_by`` over (occurred_at, event_id) replaces the unordered ``first``
-    and skips UNKNOWN, so the snapshot is deterministic (SURVEY Q8).
-    """
-    snap = (
+def _latest_state(silver: DataFrame, *keys: str) -> DataFrame:
+    # The aggregate sorts its rows; with a hash first, keys that begin alike ("CUST-1…") are not compared in full.
+    return (
         silver.where(F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
+        .groupBy(F.xxhash64(*keys).alias("_h"), *keys)
         .agg(
             _latest_known("city").alias("city"),
             _latest_known("device").alias("device"),
             F.max(F.timestamp_millis(F.col("occurred_at"))).alias("last_seen_at"),
         )
+        .drop("_h")
     )
+
+
+def customer_snapshot(silver: DataFrame, effective_date=None) -> DataFrame:
+    """A5: latest known city/device and last-seen time per customer.
+
+    ``max_by`` over (occurred_at, event_id) replaces the unordered ``first``
+    and skips UNKNOWN, so the snapshot is deterministic (SURVEY Q8).
+    """
+    snap = _latest_state(silver, "customer_id")
     if effective_date is not None:
         snap = snap.withColumn("effective_from", F.lit(_date(effective_date)))
     return snap
@@ -66,7 +72,7 @@ def empty_dimension(spark: SparkSession) -> DataFrame:
 def scd2_apply(dim: DataFrame, snapshot: DataFrame, effective_date) -> DataFrame:
     """Apply one snapshot to the dimension as of ``effective_date``.
 
-    One full outer join of the current rows with the snapshot decides, per
+    One full outer join of the rows with the snapshot, current ones by key, decides, per
     key, between: keep (not in snapshot), refresh ``last_seen_at`` and the
     type-1 device (same city, D2), close and open a version (changed city,
     D3/D4), correct in place (changed city on the version's own first day),
@@ -77,15 +83,15 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, effective_date) -> DataFrame
     belongs into the history, which ``scd2_history`` rebuilds (D7).
     """
     eff = F.lit(_date(effective_date))
-    cur = dim.where("is_current").select(*[F.col(c).alias(f"d_{c}") for c in DIM_COLUMNS])
-    hist = dim.where(~F.col("is_current")).select(*DIM_COLUMNS)
+    # Closed versions go through the same join without a partner, so that the dimension is computed or read once.
+    versions = dim.where(F.col("is_current").isNotNull()).select(*[F.col(c).alias(f"d_{c}") for c in DIM_COLUMNS])
     snap = snapshot.select(
         F.col("customer_id").alias("s_customer_id"),
         F.col("city").alias("s_city"),
         F.col("device").alias("s_device"),
         F.col("last_seen_at").alias("s_last_seen_at"),
     )
-    j = cur.join(snap, F.col("d_customer_id") == F.col("s_customer_id"), "full_outer")
+    j = versions.join(snap, (F.col("d_customer_id") == F.col("s_customer_id")) & F.col("d_is_current"), "full_outer")
 
     in_dim, in_snap = F.col("d_customer_id").isNotNull(), F.col("s_customer_id").isNotNull()
     changed = (
@@ -107,7 +113,7 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, effective_date) -> DataFrame
         )
 
     kept = row(F.col("d_customer_id"), F.col("d_city"), F.col("d_device"), F.col("d_last_seen_at"),
-               F.col("d_effective_from"), F.col("d_effective_to"), F.lit(True), F.col("d_dim_version"))
+               F.col("d_effective_from"), F.col("d_effective_to"), F.col("d_is_current"), F.col("d_dim_version"))
     refreshed = row(F.col("d_customer_id"),
                     F.when(changed, F.col("s_city")).otherwise(F.col("d_city")),
                     device, seen, F.col("d_effective_from"), F.col("d_effective_to"), F.lit(True),
@@ -125,21 +131,19 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, effective_date) -> DataFrame
         .when(opens, F.array(closed, opened))
         .otherwise(F.array(refreshed))
     )
-    applied = j.select(F.inline(actions))
-    return applied.unionByName(hist)
+    return j.select(F.inline(actions))
 
 
 def daily_customer_state(silver: DataFrame) -> DataFrame:
     """Latest known city/device per (customer, day) — a partial aggregate."""
-    return (
-        silver.where(F.col("customer_id").isNotNull())
-        .groupBy("customer_id", "event_date")
-        .agg(
-            _latest_known("city").alias("city"),
-            _latest_known("device").alias("device"),
-            F.max(F.timestamp_millis(F.col("occurred_at"))).alias("last_seen_at"),
-        )
-    )
+    return _latest_state(silver, "customer_id", "event_date")
+
+
+def snapshot_from_days(days: DataFrame) -> DataFrame:
+    """A5 from the daily customer states (:func:`daily_customer_state`): days follow the event times, so the
+    latest day with a known value holds the latest known one."""
+    at = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("event_date"))).alias(c)
+    return days.groupBy("customer_id").agg(at("city"), at("device"), F.max("last_seen_at").alias("last_seen_at"))
 
 
 def scd2_history(silver: DataFrame) -> DataFrame:

@@ -112,3 +112,19 @@ def test_orders_are_dealt_after_their_joins(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     at = lambda what: [i for i, line in enumerate(lines) if what in line]
     assert at("SortMergeJoin") and at("Generate inline")[-1] < at("REPARTITION_BY_NUM")[0] < at("SortMergeJoin")[0]  # the plan's root is its first line
+
+
+def test_messages_are_built_outside_the_parser(spark):
+    # from_json generates no code for what stands inside it, so the message must reach it as a column
+    plan = Lake(spark, SF_SMALL).typed.select("event_id", "city")._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.splitlines() if "from_json" in line]
+    assert len(lines) == 1 and "to_json" not in lines[0] and "StructsToJson" not in lines[0]
+    assert "to_json" in plan or "StructsToJson" in plan
+
+
+def test_customer_history_is_computed_once(spark):
+    from orderlake.operators import scd2
+    # closed and current versions come from one pass over the daily states: no union of two
+    dim = scd2.scd2_history(Lake(spark, SF_SMALL).silver)
+    plan = plan_of(scd2.scd2_apply(dim, scd2.customer_snapshot(Lake(spark, SF_SMALL).silver), "2000-01-01"))
+    assert "Union" not in plan and plan.count("FullOuter") == 1

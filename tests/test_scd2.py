@@ -100,3 +100,30 @@ def test_as_of_lookup_matches_range_join(spark):
                                "event_id string, customer_id string, event_date date")
     got = {r.event_id: (r.city_at_event, r.dim_version_at_event) for r in scd2.city_as_of(ev, dim).collect()}
     assert got == {"e1": (None, None), "e2": ("A", 1), "e3": ("B", 2), "e4": (None, None)}
+
+
+def test_snapshot_from_days_equals_the_snapshot_of_the_events(spark):
+    day = 86_400_000
+    rows = [(f"E-{i:03}", f"CUST-{i % 4}" if i % 9 else None, (i * 7 % 5) * day + i % 3, ["A", "B", None, "UNKNOWN"][i * i % 4], ["m", None, "UNKNOWN"][i % 3])
+            for i in range(120)] + [("X-1", "CUST-dark", day, None, None)]
+    events = spark.createDataFrame(rows, "event_id string, customer_id string, occurred_at long, city string, device string")
+    events = events.withColumn("event_date", F.date_from_unix_date((F.col("occurred_at") / day).cast("int")))
+    want, got = scd2.customer_snapshot(events), scd2.snapshot_from_days(scd2.daily_customer_state(events))
+    assert got.columns == want.columns and want.count() == 5
+    assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
+
+
+def test_apply_keeps_closed_versions_and_drops_rows_of_unknown_state(spark):
+    d = dt.date
+    seen = dt.datetime(2024, 1, 1)
+    dim = spark.createDataFrame(
+        [("c1", "A", "m", seen, d(2024, 1, 1), d(2024, 1, 3), False, 1), ("c1", "B", "m", seen, d(2024, 1, 3), None, True, 2),
+         ("c2", "A", "m", seen, d(2024, 1, 1), d(2024, 1, 2), False, 1), (None, "Z", "m", seen, d(2024, 1, 1), None, True, 1),
+         ("c3", "A", "m", seen, d(2024, 1, 1), None, None, 1)],
+        "customer_id string, city string, device string, last_seen_at timestamp, effective_from date, effective_to date, is_current boolean, dim_version int")
+    snapshot = spark.createDataFrame([("c1", "C", "w", dt.datetime(2024, 1, 5)), ("c2", "D", "w", dt.datetime(2024, 1, 5))],
+                                     "customer_id string, city string, device string, last_seen_at timestamp")
+    got = scd2.scd2_apply(dim, snapshot, "2024-01-05").collect()
+    assert sorted((r.customer_id or "", r.city, r.effective_to, r.is_current, r.dim_version) for r in got) == [
+        ("", "Z", None, True, 1), ("c1", "A", d(2024, 1, 3), False, 1), ("c1", "B", d(2024, 1, 5), False, 2),
+        ("c1", "C", None, True, 3), ("c2", "A", d(2024, 1, 2), False, 1), ("c2", "D", None, True, 1)]
