@@ -34,17 +34,20 @@ class Blocks:
     def __init__(self, ids: np.ndarray, lengths: np.ndarray, row_of: np.ndarray, class_of: np.ndarray, start: int):
         counts = -(-lengths // SPAN)
         first = np.cumsum(counts) - counts
-        place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        self.slot = np.repeat(first * SPAN, lengths) + place
+        opening = np.cumsum(lengths) - lengths
+        self.slot = np.repeat(first * SPAN - opening, lengths)
+        self.slot += np.arange(len(ids))
         self.n = int(counts.sum())
-        rows = row_of[ids]
+        opening = opening[lengths > 0]
+        last = row_of.take(ids)
         self.now = np.full(self.n * SPAN, row_of[start], np.int32)
         self.before = self.now.copy()
-        later, third = place > 0, place > 1
-        self.now[self.slot[later]] = rows[np.flatnonzero(later) - 1]
-        self.before[self.slot[third]] = rows[np.flatnonzero(third) - 2]
+        for out in (self.now, self.before):  # each symbol's predecessor, then that one's
+            last[1:] = last[:-1].copy()
+            last[opening] = row_of[start]
+            out[self.slot] = last
         self.kind = np.zeros(self.n * SPAN, np.int32)
-        self.kind[self.slot] = class_of[ids]
+        self.kind[self.slot] = class_of.take(ids)
         self.real = np.zeros(self.n * SPAN, np.float32)
         self.real[self.slot] = 1
         self.opens = np.zeros(self.n, bool)
@@ -58,6 +61,7 @@ def _distance() -> np.ndarray:
 
 
 _DIST = _distance()
+_LAG = np.maximum(_DIST, 0)
 _CAUSAL = np.where(_DIST >= 0, np.float32(0), _FAR).astype(np.float32)
 _OPENING = _CAUSAL.copy()
 _OPENING[:, :SPAN] = _FAR
@@ -98,15 +102,20 @@ def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([weights[k].ravel() for k in SHAPES]).astype(float)
 
 
-def unflat(values: np.ndarray) -> dict[str, np.ndarray]:
+def views(values: np.ndarray) -> dict[str, np.ndarray]:
+    """The weights as parts of one flat array."""
     out, at = {}, 0
     for k, s in SHAPES.items():
         n = math.prod(s)
-        out[k] = values[at : at + n].reshape(s).astype(np.float32)
+        out[k] = values[at : at + n].reshape(s)
         at += n
     return out
 
 
+def unflat(values: np.ndarray) -> dict[str, np.ndarray]:
+    return views(values.astype(np.float32))
+
+
 class Room:
     """Arrays used again at every step; fresh ones of this size would come from the system each time."""
 
@@ -131,17 +140,25 @@ def _keys(out: np.ndarray, own: np.ndarray, last: np.ndarray | None) -> np.ndarr
     return out
 
 
-def forward(w: dict[str, np.ndarray], table: np.ndarray, room: Room, now: np.ndarray, before: np.ndarray, opens: np.ndarray, last: tuple | None = None):
-    """Logits of the classes at each position (``table``: the bigrams' part), and what the backward pass needs."""
+#: A sum of exponentials below this has none of a logit or score beyond LIMIT.
+_SAFE = np.exp(LIMIT) / 2
+
+
+def forward(w: dict[str, np.ndarray], table: np.ndarray, room: Room, now: np.ndarray, before: np.ndarray, opens: np.ndarray, last: tuple | None = None, limited: bool = True):
+    """Logits of the classes at each position (``table``: the bigrams' part), and what the backward pass needs.
+
+    Without ``limited`` nothing is held below LIMIT: that is the same if the sums of the exponentials stay under _SAFE.
+    """
     n = len(opens)
     m = n * SPAN
     x, p = w["embed"].take(now, axis=0, out=room("x", m, WIDTH), mode="clip"), w["embed"].take(before, axis=0, out=room("p", m, WIDTH), mode="clip")
     q, k, v = (np.matmul(x, w[c], out=room(c, m, WIDTH)).reshape(n, SPAN, WIDTH) for c in ("query", "key", "value"))
     keys, values = _keys(room("keys", n, 2 * SPAN, WIDTH), k, last and last[0]), _keys(room("values", n, 2 * SPAN, WIDTH), v, last and last[1])
     a = np.matmul(q, keys.transpose(0, 2, 1), out=room("a", n, SPAN, 2 * SPAN))
-    a += w["near"][np.maximum(_DIST, 0)] + _CAUSAL
+    a += w["near"][_LAG] + _CAUSAL
     a[opens, :, :SPAN] = _FAR
-    np.minimum(a, LIMIT, out=a)
+    if limited:
+        np.minimum(a, LIMIT, out=a)
     np.exp(a, out=a)
     mass = a.reshape(m, 2 * SPAN) @ _ONES[: 2 * SPAN]
     mass += np.float32(1e-30)
@@ -154,7 +171,8 @@ def forward(w: dict[str, np.ndarray], table: np.ndarray, room: Room, now: np.nda
     np.maximum(hidden, 0, out=hidden)
     logits = np.matmul(hidden, w["w_out"], out=room("logits", m, CLASSES))
     logits += table.take(now, axis=0, out=room("table", m, CLASSES), mode="clip")
-    np.minimum(logits, LIMIT, out=logits)
+    if limited:
+        np.minimum(logits, LIMIT, out=logits)
     return logits, (x, p, q, keys, values, a, mass, seen, hidden, (k[-1].copy(), v[-1].copy()))
 
 
@@ -186,9 +204,8 @@ class Scorer:
         self.query = (w["embed"] @ w["query"] * _BITS).astype(np.float32)
         self.key, self.value = w["embed"] @ w["key"], w["embed"] @ w["value"]
         self.now, self.before = w["embed"] @ w["w_now"] + w["b_hidden"], w["embed"] @ w["w_before"]
-        self.near = (w["near"][np.maximum(_DIST, 0)] * _BITS + _ZERO).astype(np.float32)
-        self.near[_DIST < 0] = 0  # power zero: a later key has no share
-        self.causal = (_DIST >= 0).astype(np.float32)
+        self.near = (w["near"][_LAG] * _BITS + _ZERO).astype(np.float32)
+        self.near[_DIST < 0] = _FAR * np.float32(_BITS)  # power zero: a later key has no share
         self.w_seen, self.out = w["w_seen"], (w["w_out"] * _BITS).astype(np.float32)
         self.table = (np.maximum(table, -45) * _BITS + _ZERO).astype(np.float32)
 
@@ -202,7 +219,6 @@ class Scorer:
         )
         keys, values = _keys(room("keys", n, 2 * SPAN, WIDTH), k, last and last[0]), _keys(room("values", n, 2 * SPAN, WIDTH), v, last and last[1])
         a = np.matmul(q, keys.transpose(0, 2, 1), out=room("a", n, SPAN, 2 * SPAN))
-        a *= self.causal
         a += self.near
         a[opens, :, :SPAN] = 0
         a = _power(a, room("whole a", n, SPAN, 2 * SPAN).view(np.int32))
@@ -236,12 +252,24 @@ class Scorer:
 
 def gradient(w: dict[str, np.ndarray], table: np.ndarray, room: Room, now: np.ndarray, before: np.ndarray, kind: np.ndarray, real: np.ndarray, opens: np.ndarray):
     """Sum of losses, number of positions, and the gradient of their mean."""
-    logits, (x, p, q, keys, values, a, mass, seen, hidden, _) = forward(w, table, room, now, before, opens)
+    loss, total, g, rows = _gradient(w, table, room, now, before, kind, real, opens)
+    out = np.zeros(SHAPES["embed"], np.float32)
+    out[rows] = g["embed"]
+    return loss, total, g | {"embed": out}
+
+
+def _gradient(w: dict[str, np.ndarray], table: np.ndarray, room: Room, now: np.ndarray, before: np.ndarray, kind: np.ndarray, real: np.ndarray, opens: np.ndarray):
+    """As ``gradient``, with the embedding's part for the rows that are read only, and these rows."""
     n, total = len(opens), max(float(real.sum()), 1.0)
-    rows = np.arange(len(logits))
-    chosen = logits[rows, kind]
-    np.exp(logits, out=logits)
-    z = logits @ _ONES[:CLASSES]
+    rows = np.arange(n * SPAN)
+    for limited in (False, True):  # again with the limit if it may be reached
+        with np.errstate(over="ignore", invalid="ignore"):
+            logits, (x, p, q, keys, values, a, mass, seen, hidden, _) = forward(w, table, room, now, before, opens, limited=limited)
+            chosen = logits[rows, kind]
+            np.exp(logits, out=logits)
+            z = logits @ _ONES[:CLASSES]
+            if z.max() <= _SAFE and mass.max() <= _SAFE:
+                break
     loss = float(((np.log(z) - chosen) * real).sum())
     logits *= (real / z / np.float32(total))[:, None]
     logits[rows, kind] -= real / np.float32(total)
@@ -249,7 +277,9 @@ def gradient(w: dict[str, np.ndarray], table: np.ndarray, room: Room, now: np.nd
     dh = np.matmul(logits, w["w_out"].T, out=room("part", len(rows), HIDDEN))
     dh *= hidden > 0
     g |= {"w_now": x.T @ dh, "w_before": p.T @ dh, "w_seen": seen.T @ dh, "b_hidden": dh.sum(axis=0)}
-    dx, dp = dh @ w["w_now"].T, dh @ w["w_before"].T
+    d = room("d", 2, len(rows), WIDTH)  # of what is read now, and before
+    dx = np.matmul(dh, w["w_now"].T, out=d[0])
+    np.matmul(dh, w["w_before"].T, out=d[1])
     ds = (dh @ w["w_seen"].T).reshape(n, SPAN, WIDTH)
     a /= mass.reshape(n, SPAN, 1)
     da = np.matmul(ds, values.transpose(0, 2, 1), out=room("da", *a.shape))
@@ -257,45 +287,59 @@ def gradient(w: dict[str, np.ndarray], table: np.ndarray, room: Room, now: np.nd
     # The mean of da under the attention is what the position's own output gives.
     da -= (ds.reshape(-1, WIDTH) * seen).sum(axis=1).reshape(n, SPAN, 1)
     da *= a
-    g["near"] = np.bincount(np.maximum(_DIST, 0).ravel(), da.sum(axis=0).ravel(), 2 * SPAN).astype(np.float32)
+    g["near"] = np.bincount(_LAG.ravel(), da.sum(axis=0).ravel(), 2 * SPAN).astype(np.float32)
     g["query"] = x.T @ (dq := np.matmul(da, keys).reshape(-1, WIDTH))
     dx += dq @ w["query"].T
-    for name, d in (("key", np.matmul(da.transpose(0, 2, 1), q)), ("value", dv)):  # a key belongs to its own block and to the next one's window
-        o = d[:, SPAN:].copy()
-        o[:-1] += d[1:, :SPAN]
-        o = o.reshape(-1, WIDTH)
-        g[name] = x.T @ o
-        dx += o @ w[name].T
-    g["embed"] = _scatter(np.concatenate([now, before]), np.concatenate([dx, dp]))
-    return loss, total, g
-
-
-def _scatter(rows: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Sums of values by row of the embedding table."""
-    order = np.argsort(rows, kind="stable")
-    ranked = rows[order]
-    starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-    out = np.zeros(SHAPES["embed"], np.float32)
-    out[ranked[starts]] = np.add.reduceat(values[order], starts, axis=0)
-    return out
+    for name, o in (("key", np.matmul(da.transpose(0, 2, 1), q)), ("value", dv)):  # a key belongs to its own block and to the next one's window
+        own = o[:, SPAN:].copy()
+        own[:-1] += o[1:, :SPAN]
+        own = own.reshape(-1, WIDTH)
+        g[name] = x.T @ own
+        dx += own @ w[name].T
+    read, g["embed"] = _by_row(np.concatenate([now, before]), d.reshape(-1, WIDTH))
+    return loss, total, g, read
+
+
+def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of the embedding table that occur, and the sums of their values."""
+    order = np.argsort(rows.astype(np.min_scalar_type(ROWS)), kind="stable")  # numbers of two bytes are sorted by digits
+    ranked = rows.take(order)
+    starts = np.flatnonzero(ranked[1:] != ranked[:-1]) + 1
+    starts = np.concatenate([np.zeros(1, starts.dtype), starts])
+    return ranked.take(starts), np.add.reduceat(values.take(order, axis=0), starts, axis=0)
 
 
 class Adam:
-    def __init__(self, w: dict[str, np.ndarray], rate: float):
-        self.w, self.rate, self.t = w, rate, 0
-        self.m = {k: np.zeros_like(x) for k, x in w.items()}
-        self.v = {k: np.zeros_like(x) for k, x in w.items()}
+    """Weights and their two moments, each one flat array; ``w`` has views of the weights."""
 
-    def step(self, g: dict[str, np.ndarray]) -> None:
+    #: Moments below TINY change nothing; every FLUSH steps they are set to zero, as sums with denormal floats are slow.
+    TINY, FLUSH = np.float32(1e-30), 64
+
+    def __init__(self, w: dict[str, np.ndarray], rate: float):
+        self.rate, self.t = rate, 0
+        self.x = np.concatenate([w[k].ravel() for k in SHAPES])
+        self.m, self.v, self.top, self.low = (np.zeros_like(self.x) for _ in range(4))
+        self.w, (self.m_embed, self.v_embed) = views(self.x), (views(x)["embed"] for x in (self.m, self.v))
+        self.rest = math.prod(SHAPES["embed"])  # the other weights, which come after the embeddings
+
+    def step(self, g: dict[str, np.ndarray], rows: np.ndarray) -> None:
+        """``g["embed"]`` has the gradient of these rows of the embedding table; that of all others is zero."""
         self.t += 1
         scale = np.float32(self.rate * math.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t))
-        for k, x in self.w.items():
-            m, v, d = self.m[k], self.v[k], g[k].astype(np.float32)
-            m *= np.float32(0.9)
-            m += np.float32(0.1) * d
-            v *= np.float32(0.99)
-            v += np.float32(0.01) * d * d
-            x -= scale * m / (np.sqrt(v) + np.float32(1e-8))
+        rest = np.concatenate([g[k].ravel() for k in SHAPES if k != "embed"])
+        self.m *= np.float32(0.9)
+        self.v *= np.float32(0.99)
+        for m, v, at, d in ((self.m_embed, self.v_embed, rows, g["embed"]), (self.m, self.v, slice(self.rest, None), rest)):
+            m[at] += np.float32(0.1) * d
+            v[at] += np.float32(0.01) * d * d
+        np.sqrt(self.v, out=self.low)
+        self.low += np.float32(1e-8)
+        np.multiply(self.m, scale, out=self.top)
+        self.top /= self.low
+        self.x -= self.top
+        if self.t % self.FLUSH == 0:
+            for moment in (self.m, self.v):
+                moment[np.abs(moment) < self.TINY] = 0
 
 
 def learn(adam: Adam, table: np.ndarray, b: Blocks, room: Room | None = None) -> tuple[float, float]:
@@ -306,7 +350,7 @@ def learn(adam: Adam, table: np.ndarray, b: Blocks, room: Room | None = None) ->
         cut = slice(at * SPAN, end * SPAN)
         opens = b.opens[at:end].copy()
         opens[0] = True  # the block before the step isn't in it
-        some, n, g = gradient(adam.w, table, room, b.now[cut], b.before[cut], b.kind[cut], b.real[cut], opens)
-        adam.step(g)
+        some, n, g, rows = _gradient(adam.w, table, room, b.now[cut], b.before[cut], b.kind[cut], b.real[cut], opens)
+        adam.step(g, rows)
         loss, seen = loss + some, seen + n
     return loss, seen

@@ -39,6 +39,8 @@ RATES = (4e-3, 1.5e-3)
 ROUNDS = len(RATES)
 #: Bytes of text that a task counts or scores at once (a longer text is taken alone).
 COUNT_BYTES, SCORE_BYTES = 8_000_000, 2_000_000
+#: Words that the tokenizer takes in one call.
+ENCODED = 1000
 #: Weight of a word's share of the training tokens; the rest is the network's.
 MIX = 0.3
 #: Added to a word's count, and to an id's count within its class.
@@ -97,9 +99,15 @@ class Subwords:
 
     def encode(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each word, and all ids in order."""
-        encode = self.encoding.encode_ordinary
-        out = [encode(" " + w) for w in some]
-        return np.fromiter(map(len, out), np.int64, len(out)), np.fromiter((i for ids in out for i in ids), np.int32)
+        sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for at in range(0, len(some), ENCODED):
+            part = some[at : at + ENCODED]
+            text = " ".join(part)
+            # Many words in one call: its ids are those of the words if no word has white space of any kind inside.
+            out = [self.encoding.encode_ordinary(" " + w) for w in ([text] if text.split() == part else part)]
+            ids += [np.array(x, np.int32) for x in out]
+            sizes.append(np.fromiter(map(len, out), np.int64, len(out)) if len(out) == len(part) else np.diff(np.flatnonzero(self.opens[ids[-1]]), append=len(ids[-1])))
+        return np.concatenate(sizes), np.concatenate(ids)
 
 
 _subwords: dict[str, Subwords] = {}

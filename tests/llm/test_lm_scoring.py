@@ -178,3 +178,72 @@ def test_words_and_chunks():
     parts = [c.column(0).to_pylist() for c in chunks([batch, batch.slice(0, 1)], 8)]
     assert [i for p in parts for i in p] == [0, 1, 2, 3, 4, 5, 0]
     assert parts == [[0], [1], [2, 3, 4, 5], [0]]
+
+
+def test_words_are_encoded_as_if_alone():
+    sub = L.subwords(PATH)
+    calls = []
+
+    class Spy:
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return sub.encoding.encode_ordinary(text)
+
+    spy = L.Subwords.__new__(L.Subwords)
+    spy.encoding, spy.end, spy.opens = Spy(), sub.end, sub.opens
+    plain = ["the", "it's", "'s", "été,", "y" * 300, "x1y2", "a_b", "...", "日本", "😀", "<|endoftext|>"] * 300
+    odd = ["a\u00a0", "\u00a0b", "\u3000", "\x1c", "\x85x", ""]
+    for some in (plain, odd, plain[:5] + odd + plain[:5], ["one"], []):
+        alone = [sub.encoding.encode_ordinary(" " + w) for w in some]
+        sizes, ids = spy.encode(some)
+        assert sizes.tolist() == [len(x) for x in alone] and ids.tolist() == [i for x in alone for i in x]
+        assert (sizes.dtype, ids.dtype) == (np.int64, np.int32)
+    calls.clear()
+    spy.encode(plain)
+    assert len(calls) < 10
+
+
+def plain_steps(w, table, b, rate):
+    """Weights after Adam over dense gradients, every moment kept, as in the formula."""
+    w = {k: x.copy() for k, x in w.items()}
+    m, v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
+    for t, at in enumerate(range(0, b.n, A.STEP), 1):
+        cut, opens = slice(at * A.SPAN, (at + A.STEP) * A.SPAN), b.opens[at : at + A.STEP].copy()
+        opens[0] = True
+        g = A.gradient(w, table, A.Room(), b.now[cut], b.before[cut], b.kind[cut], b.real[cut], opens)[2]
+        for k, x in w.items():
+            m[k] = np.float32(0.9) * m[k] + np.float32(0.1) * g[k]
+            v[k] = np.float32(0.99) * v[k] + np.float32(0.01) * g[k] * g[k]
+            x -= np.float32(rate * math.sqrt(1 - 0.99**t) / (1 - 0.9**t)) * m[k] / (np.sqrt(v[k]) + np.float32(1e-8))
+    return w
+
+
+def test_rows_that_were_read_once_hold_no_denormal_moments(model):
+    # Ids of the first text are not seen again for more than a thousand steps: 0.9 to the power of 1000 is below the smallest float.
+    _, (ids, per_text, _, _) = ids_of(model, ["the and of a in to " * 90, *["x y " * 250] * 1100])
+    b = model.blocks(ids, per_text)
+    adam = A.Adam({k: x.copy() for k, x in model.weights.items()}, 4e-3)
+    A.learn(adam, model.table, b)
+    assert adam.t > 1000
+    for moment in (adam.m, adam.v):
+        some = np.concatenate([np.ravel(x) for x in moment.values()]) if isinstance(moment, dict) else moment
+        assert not ((some != 0) & (np.abs(some) < np.finfo(np.float32).tiny)).any()
+    want = plain_steps(model.weights, model.table, b, 4e-3)
+    assert all(np.array_equal(adam.w[k], want[k]) for k in want)
+
+
+def test_logits_and_scores_beyond_the_limit_are_held(model):
+    _, (ids, per_text, _, _) = ids_of(model, ["the and of " * 30, "x"])
+    b = model.blocks(ids, per_text)
+    args = b.now, b.before, b.kind, b.real, b.opens
+    high = model.table.copy()
+    high[:, 3] += 200  # its exponential is beyond the largest float
+    held_table = np.where(np.arange(A.CLASSES) == 3, np.float32(1000), model.table)
+    w = {**model.weights, "w_out": np.zeros_like(model.weights["w_out"])}
+    one, two = (A.gradient(w, t, A.Room(), *args) for t in (high, held_table))
+    assert math.isfinite(one[0]) and one[0] == two[0] and all(np.array_equal(one[2][k], two[2][k]) for k in w)
+    near = {**model.weights, "near": np.full(2 * A.SPAN, 500, np.float32)}
+    loss, _, g = A.gradient(near, model.table, A.Room(), *args)
+    # All scores are at the limit, so all keys weigh the same.
+    flat = A.gradient({**near, "near": np.zeros(2 * A.SPAN, np.float32), "query": np.zeros_like(near["query"])}, model.table, A.Room(), *args)
+    assert math.isclose(loss, flat[0], rel_tol=1e-5) and all(np.isfinite(g[k]).all() for k in g)
